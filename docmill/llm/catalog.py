@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import bpe
+from docmill.llm import bpe, neardup
 from docmill.session import spread, table
 
 
@@ -13,5 +13,19 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {"p6_ids": p6_ids}
+def _near(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates:
+    return neardup.NearDuplicates(spread(table(spark, sf_dir, "chunks").select("id", "text")))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(chunk_id_a, chunk_id_b) of near-duplicate passages."""
+    return _near(spark, sf_dir).pairs().toDF("chunk_id_a", "chunk_id_b")
+
+
+def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(chunk_id, class_id, links) of every passage of 40 words or more."""
+    return _near(spark, sf_dir).classes().withColumnRenamed("id", "chunk_id")
+
+
+QUERIES = {"p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids}
 SQL: dict[str, str] = {}
