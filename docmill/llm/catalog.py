@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import bpe, neardup
+from docmill.llm import bpe, neardup, similar
 from docmill.session import spread, table
 
 
@@ -13,6 +13,21 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.usable_vectors(spread(table(spark, sf_dir, "chunk_embeddings")), table(spark, sf_dir, "models"), table(spark, sf_dir, "chunks").select("id"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(model, chunk_id_a, chunk_id_b): mutual neighbours with a cosine of at least 0.75."""
+    return similar.mutual_pairs(_vectors(spark, sf_dir)).toDF("model", "chunk_id_a", "chunk_id_b")
+
+
+def p1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(model, chunk_id, neighbour, rank) of the ten nearest, for every chunk_id divisible by 100 against all vectors."""
+    top = similar.most_similar(_vectors(spark, sf_dir), similar.WIDE, queries="chunk_id % 100 = 0")
+    return top.select("model", "chunk_id", "neighbour", "rank")
+
+
 def _near(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates:
     return neardup.NearDuplicates(spread(table(spark, sf_dir, "chunks").select("id", "text")))
 
@@ -27,5 +42,5 @@ def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _near(spark, sf_dir).classes().withColumnRenamed("id", "chunk_id")
 
 
-QUERIES = {"p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids}
+QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids}
 SQL: dict[str, str] = {}
