@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docmill.llm import bpe, neardup, similar
+from docmill.llm import bpe, cutting, neardup, similar
 from docmill.session import spread, table
 
 
@@ -28,6 +29,24 @@ def p1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("model", "chunk_id", "neighbour", "rank")
 
 
+def _cut(spark: SparkSession, sf_dir: str, with_text: bool) -> DataFrame:
+    capacity, overlap = cutting.budget(table(spark, sf_dir, "budgets"), "piece")
+    items = cutting.oversized_items(table(spark, sf_dir, "sources"), table(spark, sf_dir, "chunks"), capacity)
+    return cutting.cut_items(items, capacity=capacity, overlap=overlap, with_text=with_text)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item_kind, item_id, run_start): oversized items (-1) and their stretches without a boundary."""
+    rows = _cut(spark, sf_dir, False).where("piece is null or piece = 0")
+    return rows.select("item_kind", "item_id", F.when(F.col("piece") == 0, F.lit(-1).cast("long")).otherwise(F.col("start_char")).alias("run_start"))
+
+
+def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item_kind, item_id, chunk_index, start_char, end_char, text) of all pieces of oversized items."""
+    rows = _cut(spark, sf_dir, True).where("piece is not null")
+    return rows.select("item_kind", "item_id", F.col("piece").alias("chunk_index"), "start_char", "end_char", "text")
+
+
 def _near(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates:
     return neardup.NearDuplicates(spread(table(spark, sf_dir, "chunks").select("id", "text")))
 
@@ -42,5 +61,5 @@ def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _near(spark, sf_dir).classes().withColumnRenamed("id", "chunk_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids}
-SQL: dict[str, str] = {}
+QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids}
+SQL: dict[str, str] = {"p3_found": cutting.FOUND_SQL}
