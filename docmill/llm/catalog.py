@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm import bpe, cutting, neardup, similar
+from docmill.llm import bpe, cutting, neardup, packing, similar
 from docmill.session import spread, table
 
 
@@ -61,5 +61,12 @@ def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _near(spark, sf_dir).classes().withColumnRenamed("id", "chunk_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids}
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(container_id, doc_id, piece, token_start, n_tokens) of every document with a text."""
+    capacity, _ = cutting.budget(table(spark, sf_dir, "budgets"), "container")
+    sizes = bpe.count_tokens(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return packing.pack(sizes, capacity)
+
+
+QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids, "p7_containers": p7_containers}
 SQL: dict[str, str] = {"p3_found": cutting.FOUND_SQL}
