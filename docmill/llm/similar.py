@@ -51,7 +51,9 @@ class Settings:
     block: int = 8192
 
 
-#: For neighbours far below a clear similarity: more lists for each query.
+#: For neighbours with a clear similarity (0.75 and more): near vectors share one of the few nearest lists.
+CLEAR = Settings(probe=1.05, probes=4, least_probes=3, replicate=1.05, replicas=2)
+#: For neighbours far below that: more lists for each query.
 WIDE = Settings(probe=1.6, probes=48, beam=64, rounds=16, least_probes=12)
 
 
@@ -340,7 +342,7 @@ def most_similar(vectors: DataFrame, s: Settings = Settings(), *, at_least: floa
     return one.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= s.k)
 
 
-def mutual_pairs(vectors: DataFrame, s: Settings = Settings(), *, at_least: float = 0.75) -> DataFrame:
+def mutual_pairs(vectors: DataFrame, s: Settings = CLEAR, *, at_least: float = 0.75) -> DataFrame:
     """(model, a, b), a < b: each among the other's k most similar, at least that similar."""
     top = most_similar(vectors, s, at_least=at_least)
     pair = top.select("model", F.least("chunk_id", "neighbour").alias("a"), F.greatest("chunk_id", "neighbour").alias("b"))
