@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm import bpe, cutting, neardup, packing, similar
+from docmill.llm import bpe, cutting, neardup, packing, sentences, similar
 from docmill.session import spread, table
 
 
@@ -68,5 +68,10 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(sizes, capacity)
 
 
-QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids, "p7_containers": p7_containers}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, start_char, end_char) of every sentence unit."""
+    return sentences.split_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
+
+
+QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found}
 SQL: dict[str, str] = {"p3_found": cutting.FOUND_SQL}
