@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmill.llm import bpe, cutting, neardup, packing, sentences, similar
+from docmill.llm import boilerplate, bpe, cutting, neardup, packing, sentences, similar
 from docmill.session import spread, table
 
 
@@ -47,6 +47,20 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("item_kind", "item_id", F.col("piece").alias("chunk_index"), "start_char", "end_char", "text")
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "sources").select("source_id", "path", "title", "content"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source_id, line_no) of the frame lines of every page."""
+    return boilerplate.classify(_pages(spark, sf_dir)).where("is_frame").select("source_id", "line_no")
+
+
+def p4_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source_id, body): the main body of every page."""
+    return boilerplate.bodies(_pages(spark, sf_dir))
+
+
 def _near(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates:
     return neardup.NearDuplicates(spread(table(spark, sf_dir, "chunks").select("id", "text")))
 
@@ -73,5 +87,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.split_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
 
 
-QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found}
+QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_bodies": p4_bodies, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found}
 SQL: dict[str, str] = {"p3_found": cutting.FOUND_SQL}
