@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from docmill.pointer import Pointer
 from docmill.session import new_folder, written
 
 #: A parsed time is year, month, day, hour, minute, second, fraction, offset (ISO 8601, extended or basic).
@@ -62,33 +63,12 @@ class ChangeState:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._path(self.root).getFileSystem(self._conf)
-        self._fs.mkdirs(self._path(self.root))
+        self.pointer = Pointer(spark, self.root)
+        self.pointer.make_folder()
 
     def current(self) -> int:
         """The committed version; 0 before the first."""
-        at = self._path(f"{self.root}/CURRENT")
-        if not self._fs.exists(at):
-            return 0
-        stream = self._fs.open(at)
-        try:
-            return int(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
-
-    def _swap(self, version: int) -> None:
-        jvm = self.spark.sparkContext._jvm
-        fresh, at = self._path(f"{self.root}/CURRENT.new"), self._path(f"{self.root}/CURRENT")
-        out = self._fs.create(fresh, True)
-        out.write(str(version).encode())
-        out.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri() if fresh.toUri().getScheme() else self._fs.getUri(), self._conf)
-        modes = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        modes[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(fresh, at, modes)
+        return int(self.pointer.read() or 0)
 
     def state(self) -> DataFrame:
         """The committed state: key, newest(version, row_id, hash)."""
@@ -125,9 +105,9 @@ class ChangeState:
         cases.write.mode("overwrite").parquet(f"{self.root}/cases/v{version}")
         merged = self.state().select("key", "newest").unionByName(newest.select("key", "newest")).groupBy("key").agg(F.max("newest").alias("newest"))
         merged.write.mode("overwrite").parquet(f"{self.root}/state/v{version}")
-        self._swap(version)
+        self.pointer.swap(str(version))
         if version > 2:  # the version before stays for readers that opened it
-            self._fs.delete(self._path(f"{self.root}/state/v{version - 2}"), True)
+            self.pointer.delete(f"{self.root}/state/v{version - 2}")
         return self.spark.read.schema("run long, key string, row_id long").parquet(f"{self.root}/cases/v{version}")
 
 
