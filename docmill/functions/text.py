@@ -70,7 +70,7 @@ def estimate_tokens(text: Column | str) -> Column:
 
 
 def replace_nbsp(text: Column | str) -> Column:
-    return F.translate(_c(text), " ", " ")
+    return F.translate(_c(text), "\u00a0", " ")
 
 
 def contextual_text(context: Column | str, text: Column | str) -> Column:

@@ -60,7 +60,7 @@ def structural_chunks(blocks: list[dict] | None, p: ChunkParameters) -> list[dic
     headings: list[tuple[int, str]] = []
     out: list[dict] = []
     for b in blocks or []:
-        text = (b["text"] or "").replace(" ", " ").strip()
+        text = (b["text"] or "").replace("\u00a0", " ").strip()
         if not text or b["kind"] == "title":
             continue
         if b["kind"] == "heading":

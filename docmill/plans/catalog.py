@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from docmill.plans import changes
+from docmill.plans import changes, retrieval_queries
+from docmill.plans.retrieval_queries import flagship
 
-QUERIES = {**changes.QUERIES}
-SQL = {**changes.SQL}
+__all__ = ["QUERIES", "SQL", "flagship"]
+QUERIES = {**changes.QUERIES, **retrieval_queries.QUERIES}
+SQL = {**changes.SQL, **retrieval_queries.SQL}

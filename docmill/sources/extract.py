@@ -24,7 +24,7 @@ _ENDS = {"p", "div", "li", "tr", "td", "th", "table", "ul", "ol", "br", "section
 
 def _decode(data: bytes | str, html: bool = False) -> str:
     if isinstance(data, str):
-        return data.removeprefix("﻿")
+        return data.removeprefix("\ufeff")
     if data.startswith(b"\xef\xbb\xbf"):
         return data[3:].decode("utf-8", "replace")
     declared = re.search(rb"""charset=["']?([\w-]+)""", data[:2048]) if html else None
