@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_PAGES = 1500
+SAMPLE_PAGES = 2000
 WIDTH = 1 << 17  # hashed features
 TOP, ARTICLE, WITHIN, AFTER = range(4)
 
@@ -48,17 +48,22 @@ _BULLET = regex.compile(r"^\s*(?:[-*•+]\s+|\d{1,3}[.)]\s+)+")
 _TAIL = regex.compile(r"\s*(?:\(\d+\)|\[[0-9a-f]+\]|[–-]\s[\w-]+)\s*$")
 _WORD = regex.compile(r"[\p{L}\p{M}]+|\p{N}+")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]")
+_DIGITS = regex.compile(r"\d+")
+_FILE = regex.compile(r"\(\d[\d.,]* ?[KMG]i?B\)$|\.\w{2,5}$")
+_DATE = regex.compile(r"\d{4}-\d\d-\d\d")
+_COUNTER = regex.compile(r"\(\d+\)$|\[[0-9a-f]+\]$")
+_LEVEL = regex.compile(r"h[1-6]")
 _SEPARATED = regex.compile(r"\s*[|/>›»·]\s+|\s{2,}")
 
 
 class Block:
-    __slots__ = ("line", "tags", "text", "full", "low", "words", "gap", "link", "bullet", "head")
+    __slots__ = ("line", "tags", "text", "full", "low", "words", "gap", "link", "bullet", "head", "whole", "size")
 
     def __init__(self, line: int, raw: str, gap: int):
         self.line, self.gap = line, gap
         tags = [m[2].lower() for m in _TAG.finditer(raw) if m[2] and not m[1]]
         text = _TAG.sub(" ", raw).strip() if "<" in raw else raw.strip()
-        self.head = len(text) - len(text.lstrip("#")) if text.startswith("#") else (int(tags[0][1]) if tags and regex.fullmatch(r"h[1-6]", tags[0]) else 0)
+        self.head = len(text) - len(text.lstrip("#")) if text.startswith("#") else (int(tags[0][1]) if tags and _LEVEL.fullmatch(tags[0]) else 0)
         text = text.lstrip("#").strip()
         self.bullet = bool(_BULLET.match(text)) or "li" in tags
         self.full = _LINK.sub(r"\1", text).strip().lower()
@@ -68,6 +73,8 @@ class Block:
         self.tags = tags
         self.low = _TAIL.sub("", self.text.lower()).strip()
         self.words = _WORD.findall(self.low)
+        self.size = _bucket(len(self.text))
+        self.whole = _DIGITS.sub("0", self.low) if len(self.text) < 160 else ""
 
 
 def blocks_of(content: str | None) -> list[Block]:
@@ -143,7 +150,13 @@ def label_page(blocks: list[Block], title: str | None, site: str, menu: frozense
             states[n] = WITHIN
     last = max((n for n, s in enumerate(states) if s == ARTICLE), default=-1)
     # lines between the last share, side or site line and the legal lines, without an empty line, are the blurb
-    tail = next((n for n in range(at + 1, len(blocks)) if kinds[n] in ("share", "side", "site", "legal") and all(not (blocks[k].gap and kinds[k] is None) for k in range(n, len(blocks))) and "legal" in kinds[n:] and not any(regex.match(r"[|]", blocks[k].text) for k in range(n, len(blocks)))), -1)
+    tail, legal = -1, False
+    for n in range(len(blocks) - 1, at, -1):
+        legal = legal or kinds[n] == "legal"
+        if legal and kinds[n] in ("share", "side", "site", "legal") and blocks[n].text[:1] != "|":
+            tail = n
+        if (blocks[n].gap and kinds[n] is None) or blocks[n].text[:1] == "|":
+            break
     end = tail if tail >= 0 else len(blocks)
     for n in range(max(at + 1, end - 4), end):  # a menu line and the blurb, right before the legal lines
         if tail >= 0 and kinds[tail] == "legal" and blocks[n].low in menu and not any(blocks[k].gap for k in range(n + 1, end + 1) if k < len(blocks)):
@@ -157,6 +170,17 @@ def label_page(blocks: list[Block], title: str | None, site: str, menu: frozense
     return states
 
 
+class _Names(dict):
+    """Feature name -> hashed number."""
+
+    def __missing__(self, name: str) -> int:
+        value = self[name] = zlib.crc32(name.encode("utf-8", "surrogatepass")) % WIDTH
+        return value
+
+
+_NAMES = _Names()
+
+
 def _bucket(n: int) -> int:
     return n if n < 4 else 4 + int(np.log2(n / 4) * 2)
 
@@ -167,40 +191,42 @@ def features(blocks: list[Block], title: str | None, site: str) -> list[list[int
     n = len(blocks)
     own: list[list[str]] = []
     seen = False
+    if len(_NAMES) > 500_000:
+        _NAMES.clear()
+    look = _NAMES.__getitem__
     gaps = np.cumsum([min(b.gap, 1) for b in blocks])
     for i, b in enumerate(blocks):
-        low, size = b.low, len(b.text)
+        low, size, k = b.low, len(b.text), b.size
         last = b.text[-1:] or " "
         end = last if last in ".!?。！？:：…)]" else "w" if last.isalpha() else "n" if last.isdigit() else "o"
         parts = _joined(low)
-        f = [f"l{_bucket(size)}", f"n{_bucket(len(b.words))}", f"e{end}", f"g{min(b.gap, 2)}", f"t{'.'.join(b.tags[:2])}", f"h{b.head}", f"a{b.link:d}{b.bullet:d}", f"s{min(len(parts), 5)}"]
-        f += [f"le{_bucket(size)}{end}", f"tg{b.tags[0] if b.tags else ''}{b.link:d}{b.bullet:d}{_bucket(size)}", f"gl{min(b.gap, 2)}{_bucket(size)}"]
+        f = [f"l{k}", f"n{_bucket(len(b.words))}", f"e{end}", f"g{min(b.gap, 2)}", f"t{'.'.join(b.tags[:2])}", f"h{b.head}", f"a{b.link:d}{b.bullet:d}", f"s{min(len(parts), 5)}"]
+        f += [f"le{k}{end}", f"tg{b.tags[0] if b.tags else ''}{b.link:d}{b.bullet:d}{k}", f"gl{min(b.gap, 2)}{k}"]
         is_title = bool(name) and name in (b.full, b.text.lower())
         seen = seen or is_title or (not name and b.head == 1)
-        f += [f"T{is_title:d}", f"S{seen:d}", f"SL{seen:d}{_bucket(size)}{end}", f"C{bool(name) and not is_title and low.endswith(name):d}{min(len(parts), 3)}"]
+        f += [f"T{is_title:d}", f"S{seen:d}", f"SL{seen:d}{k}{end}", f"C{bool(name) and not is_title and low.endswith(name):d}{min(len(parts), 3)}"]
         f += [f"H{low == site:d}{bool(site) and site in low:d}", f"p{min(i, 12)}", f"q{min(n - 1 - i, 12)}", f"U{b.text.isupper():d}"]
         ahead, behind = int(gaps[-1] - gaps[i]), int(gaps[i])
-        f += [f"G{min(ahead, 3)}{min(behind, 3)}", f"GA{min(ahead, 2)}{_bucket(size)}{end}", f"GS{min(ahead, 2)}{seen:d}{min(b.gap, 2)}"]
+        f += [f"G{min(ahead, 3)}{min(behind, 3)}", f"GA{min(ahead, 2)}{k}{end}", f"GS{min(ahead, 2)}{seen:d}{min(b.gap, 2)}"]
         if "©" in b.text:
             f.append("copyright")
-        if regex.search(r"\(\d[\d.,]* ?[KMG]i?B\)$|\.\w{2,5}$", b.text):
+        if _FILE.search(b.text):
             f.append("file")
         if b.text[:1] == "|":
             f.append("row")
-        if regex.match(r"\d{4}-\d\d-\d\d", b.text):
+        if _DATE.match(b.text):
             f.append(f"date{b.text[10:11] == 'T':d}")
-        if regex.search(r"\(\d+\)$|\[[0-9a-f]+\]$", b.text):
+        if _COUNTER.search(b.text):
             f.append("counter")
         # the line's own words count for short lines; long ones tell little by them
         if size < 160:
-            whole = regex.sub(r"\d+", "0", low)
-            f += [f"W{whole}", f"WS{seen:d}{whole}"]
+            f += [f"W{b.whole}", f"WS{seen:d}{b.whole}"]
         for p in parts if size < 400 else ():
-            f.append(f"P{regex.sub(r'\d+', '0', _TAIL.sub('', p))}")
+            f.append("P" + _DIGITS.sub("0", _TAIL.sub("", p)))
         if size < 120:
             f += [f"w{w}" for w in b.words]
             if _CJK.search(low):
-                f += [f"b{low[k : k + 3]}" for k in range(len(low))]
+                f += [f"b{low[at : at + 3]}" for at in range(len(low))]
         own.append(f)
     out = []
     for i, b in enumerate(blocks):
@@ -208,12 +234,12 @@ def features(blocks: list[Block], title: str | None, site: str) -> list[list[int
         for label, j in (("<", i - 1), (">", i + 1)):
             if 0 <= j < n:
                 o = blocks[j]
-                f += [f"{label}l{_bucket(len(o.text))}", f"{label}h{o.low == site:d}", f"{label}W{regex.sub(r'\d+', '0', o.low) if len(o.low) < 160 else ''}", f"{label}t{o.tags[0] if o.tags else ''}{o.link:d}{o.bullet:d}{o.head}", f"{label}ll{_bucket(len(o.text))},{_bucket(len(b.text))}"]
+                f += [f"{label}l{o.size}", f"{label}h{o.low == site:d}", f"{label}W{o.whole}", f"{label}t{o.tags[0] if o.tags else ''}{o.link:d}{o.bullet:d}{o.head}", f"{label}ll{o.size},{b.size}"]
                 if label == ">":
                     f.append(f">g{min(o.gap, 2)}")
             else:
                 f.append(f"{label}none")
-        out.append([zlib.crc32(x.encode("utf-8", "surrogatepass")) % WIDTH for x in f])
+        out.append(list(map(look, f)))
     return out
 
 
@@ -251,56 +277,69 @@ class Field:
     def train(self, pages: list[tuple[list[list[int]], list[int], list[int]]], *, rounds: int = 6, rate: float = 0.25, decay: float = 1e-5, seed: int = 5) -> None:
         """Maximum likelihood by AdaGrad on batches of pages (features, gaps, states)."""
         rng = np.random.default_rng(seed)
-        square = np.full((WIDTH, 4), 1e-2, np.float32)
-        square_move, square_first = np.full((2, 4, 4), 1e-2), np.full(4, 1e-2)
         order = np.argsort([len(p[2]) for p in pages], kind="stable")
-        batches = [order[i : i + 32] for i in range(0, len(order), 32)]
+        batches = [_Batch([pages[i] for i in order[at : at + 32]]) for at in range(0, len(order), 32)]
+        used, dense = np.unique(np.concatenate([b.flat for b in batches]), return_inverse=True)
+        at = 0
+        for b in batches:  # features by their place among those that occur
+            b.flat, at = dense[at : at + len(b.flat)], at + len(b.flat)
+        emit = self.emit[used].astype(np.float64)
+        square = np.full(emit.shape, 1e-2)
+        square_move, square_first = np.full((2, 4, 4), 1e-2), np.full(4, 1e-2)
         for _ in range(rounds):
             for k in rng.permutation(len(batches)):
-                batch = [pages[i] for i in batches[k]]
-                sizes = np.array([len(p[2]) for p in batch])
-                most = int(sizes.max())
-                flat = np.fromiter((x for p in batch for f in p[0] for x in f), np.int64)
-                count = np.fromiter((len(f) for p in batch for f in p[0]), np.int64)
-                starts = np.concatenate([[0], np.cumsum(count)[:-1]])
-                row = np.repeat(np.arange(len(batch)), sizes)
-                col = np.concatenate([np.arange(s) for s in sizes])
-                e = np.zeros((len(batch), most, 4))
-                e[row, col] = np.add.reduceat(self.emit[flat], starts, axis=0)
-                gap = np.zeros((len(batch), most), int)
-                gold = np.zeros((len(batch), most), int)
-                gap[row, col] = np.minimum(np.concatenate([p[1] for p in batch]), 1)
-                gold[row, col] = np.concatenate([p[2] for p in batch])
-                live = np.arange(most)[None, :] < sizes[:, None]
+                b = batches[k]
+                e = np.zeros((len(b.sizes), b.most, 4))
+                e[b.row, b.col] = np.add.reduceat(emit[b.flat], b.starts, axis=0)
                 alpha, beta = np.zeros_like(e), np.zeros_like(e)
                 alpha[:, 0] = self.first + e[:, 0]
-                for t in range(1, most):
-                    new = _lse(alpha[:, t - 1, :, None] + self.move[gap[:, t]], 1) + e[:, t]
-                    alpha[:, t] = np.where(live[:, t, None], new, alpha[:, t - 1])
-                for t in range(most - 2, -1, -1):
-                    new = _lse(self.move[gap[:, t + 1]] + (e[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-                    beta[:, t] = np.where(live[:, t + 1, None], new, 0)
+                for t in range(1, b.most):
+                    new = _lse(alpha[:, t - 1, :, None] + self.move[b.gap[:, t]], 1) + e[:, t]
+                    alpha[:, t] = np.where(b.live[:, t, None], new, alpha[:, t - 1])
+                for t in range(b.most - 2, -1, -1):
+                    new = _lse(self.move[b.gap[:, t + 1]] + (e[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
+                    beta[:, t] = np.where(b.live[:, t + 1, None], new, 0)
                 total = _lse(alpha[:, -1], 1)[:, None, None]
                 node = np.exp(alpha + beta - total)
-                node[~live] = 0
+                node[~b.live] = 0
                 grad_node = -node
-                grad_node[row, col, gold[row, col]] += 1
+                grad_node[b.row, b.col, b.gold[b.row, b.col]] += 1
                 grad_move = np.zeros((2, 4, 4))
-                for t in range(1, most):
-                    on = live[:, t]
-                    pair = np.exp(alpha[on, t - 1, :, None] + self.move[gap[on, t]] + (e[on, t] + beta[on, t])[:, None, :] - total[on])
-                    np.add.at(grad_move, gap[on, t], -pair)
-                    np.add.at(grad_move, (gap[on, t], gold[on, t - 1], gold[on, t]), 1.0)
-                g = np.repeat(grad_node[row, col], count, axis=0).astype(np.float32)
-                used, where = np.unique(flat, return_inverse=True)
-                grad = np.stack([np.bincount(where, g[:, s], len(used)) for s in range(4)], 1).astype(np.float32) - decay * self.emit[used]
-                square[used] += grad * grad
-                self.emit[used] += rate * grad / np.sqrt(square[used])
+                if b.most > 1:
+                    pair = np.exp(alpha[:, :-1, :, None] + self.move[b.gap[:, 1:]] + (e + beta)[:, 1:, None, :] - total[..., None])[b.live[:, 1:]]
+                    gap = b.gap[:, 1:][b.live[:, 1:]]
+                    for g in (0, 1):
+                        grad_move[g] -= pair[gap == g].sum(0)
+                    np.add.at(grad_move, (gap, b.gold[:, :-1][b.live[:, 1:]], b.gold[:, 1:][b.live[:, 1:]]), 1.0)
+                g = np.repeat(grad_node[b.row, b.col], b.count, axis=0)
+                grad = np.stack([np.bincount(b.flat, g[:, s], len(emit)) for s in range(4)], 1)
+                hit = np.bincount(b.flat, minlength=len(emit)) > 0
+                grad[hit] -= decay * emit[hit]
+                square += grad * grad
+                emit += rate * grad / np.sqrt(square)
                 square_move += grad_move**2
                 self.move += rate * grad_move / np.sqrt(square_move)
                 grad_first = grad_node[:, 0].sum(0)
                 square_first += grad_first**2
                 self.first += rate * grad_first / np.sqrt(square_first)
+        self.emit[used] = emit
+
+
+class _Batch:
+    """Pages of about one length as arrays."""
+
+    def __init__(self, pages: list[tuple[list[list[int]], list[int], list[int]]]):
+        self.sizes = np.array([len(p[2]) for p in pages])
+        self.most = int(self.sizes.max())
+        self.flat = np.fromiter((x for p in pages for f in p[0] for x in f), np.int64)
+        self.count = np.fromiter((len(f) for p in pages for f in p[0]), np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.count)[:-1]])
+        self.row = np.repeat(np.arange(len(pages)), self.sizes)
+        self.col = np.concatenate([np.arange(s) for s in self.sizes])
+        self.gap, self.gold = np.zeros((2, len(pages), self.most), int)
+        self.gap[self.row, self.col] = np.minimum(np.concatenate([p[1] for p in pages]), 1)
+        self.gold[self.row, self.col] = np.concatenate([p[2] for p in pages])
+        self.live = np.arange(self.most)[None, :] < self.sizes[:, None]
 
 
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
@@ -322,7 +361,10 @@ def train_field(pages: list[tuple[str | None, str | None, str | None]], **settin
     for blocks, title, site in parsed:
         states = label_page(blocks, title, site, menu) if blocks else None
         if states:
-            rows.append((features(blocks, title, site), [b.gap for b in blocks], states))
+            gaps = [b.gap for b in blocks]
+            rows.append((features(blocks, title, site), gaps, states))
+            if title and zlib.crc32(site.encode()) + len(blocks) & 7 == 0:  # some pages have no title: learn to do without
+                rows.append((features(blocks, None, site), gaps, states))
     if not rows:
         return None
     field = Field()
