@@ -216,7 +216,7 @@ def units(text: str | None, language: str | None = None) -> list[tuple[int, int]
             close(pos)
         elif (special := _SPECIAL.match(line)) and not (
             # a number that a line break happened to bring to the start of a line
-            special["list"] and special["list"][0].isdigit() and open_at >= 0 and not item and not _ENDED.search(text, open_at, pos)
+            special["list"] and (special["list"][0].isdigit() or special["list"][0] == "(") and open_at >= 0 and not item and not _ENDED.search(text, open_at, pos)
         ):
             close(pos)
             if special["list"]:
