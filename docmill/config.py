@@ -16,20 +16,18 @@ _VARIABLES = {"POSTGRES_HOST": "host", "POSTGRES_PORT": "port", "POSTGRES_DB": "
 
 
 def parse_url(url: str) -> dict[str, str]:
-    """postgresql://user[:password]@host[:port]/database"""
+    """postgresql://user[:password]@host[:port][/database]; what is not given is left to the other sources."""
     parts = urlsplit(url)
     if parts.scheme not in ("postgresql", "postgres"):
-        raise ConfigurationError("DATABASE_URL must start with postgresql:// or postgres://")
-    if "@" not in parts.netloc or not parts.hostname or not parts.path.strip("/"):
-        raise ConfigurationError("DATABASE_URL needs user@host/database")
+        raise ConfigurationError(f"DATABASE_URL must start with postgresql:// or postgres://, not {parts.scheme}")
+    if "@" not in parts.netloc or not parts.hostname:
+        raise ConfigurationError("DATABASE_URL needs user@host")
     try:
         port = parts.port
     except ValueError:
         raise ConfigurationError("the port of DATABASE_URL is no number") from None
-    out = {"host": parts.hostname, "port": str(port or DEFAULTS["port"]), "database": parts.path.strip("/"), "user": unquote(parts.username or "")}
-    if parts.password is not None:
-        out["password"] = unquote(parts.password)
-    return out
+    given = {"host": parts.hostname, "port": port and str(port), "database": parts.path.strip("/"), "user": unquote(parts.username or ""), "password": parts.password and unquote(parts.password)}
+    return {k: v for k, v in given.items() if v}
 
 
 def parse_compose(text: str) -> dict[str, str]:

@@ -93,15 +93,15 @@ def preview(text: Column | str, size: int = 100) -> Column:
 
 def parse_bool(text: Column | str) -> Column:
     """struct(value, clear): ``none`` clears; true/t/yes/y/1 and false/f/no/n/0; anything else is an error; null is null."""
-    low = F.lower(F.trim(_c(text)))
+    low = F.lower(_c(text))
     value = F.when(low.isin("true", "t", "yes", "y", "1"), F.lit(True)).when(low.isin("false", "f", "no", "n", "0"), F.lit(False)).when(low == "none", F.lit(None)).when(low.isNotNull(), F.raise_error(F.concat(F.lit("not a boolean: "), low)).cast("boolean"))
     return F.struct(value.alias("value"), F.coalesce(low == "none", F.lit(False)).alias("clear"))
 
 
 def parse_number(text: Column | str, kind: str = "int") -> Column:
     """struct(value, clear): ``none`` clears; otherwise a number (padding and single underscores allowed) or an error."""
-    low = F.lower(F.trim(_c(text)))
-    digits = F.regexp_replace(low, r"(?<=\d)_(?=\d)", "")
+    low = F.lower(_c(text))
+    digits = F.regexp_replace(F.trim(low), r"(?<=\d)_(?=\d)", "")
     number = (F.when(digits.rlike(r"^[+-]?\d+$"), digits) if kind in ("int", "bigint") else digits).try_cast(kind)
     value = F.when(low == "none", F.lit(None)).when(low.isNotNull() & number.isNull(), F.raise_error(F.concat(F.lit("not a number: "), low)).cast(kind)).otherwise(number)
     return F.struct(value.alias("value"), F.coalesce(low == "none", F.lit(False)).alias("clear"))

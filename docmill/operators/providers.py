@@ -11,7 +11,7 @@ from typing import Protocol
 
 from docmill.errors import ConfigurationError
 from docmill.functions.text import pack_words
-from docmill.schemas import CHARS_PER_TOKEN, CONTEXT_SHARE, DEFAULT_CONTEXT_LIMIT
+from docmill.schemas import CHARS_PER_TOKEN, CONTEXT_LIMITS, CONTEXT_SHARE, DEFAULT_CONTEXT_LIMIT
 
 SUMMARY_RESERVE = 600
 
@@ -34,6 +34,11 @@ def usable_tokens(limit: int | None) -> int:
     return int((limit or DEFAULT_CONTEXT_LIMIT) * CONTEXT_SHARE)
 
 
+def context_limit(model: str | None, override: int | None = None) -> int:
+    """The override, else the model's limit, else the default."""
+    return override or CONTEXT_LIMITS.get(model or "", DEFAULT_CONTEXT_LIMIT)
+
+
 def map_reduce_summarize(text: str, max_tokens: int, summarize: Callable[[str], str]) -> tuple[str, int]:
     """Summary of a text of any length and the number of parts asked for: parts are summarised, joined by an empty line
     and summarised again while the result is too long. A summary that does not shrink ends it."""
@@ -95,7 +100,7 @@ class ChatProvider(Session):
     def __init__(self, url: str, model: str, *, key: str | None = None, limit: int | None = None, timeout: float = 60.0, post: Callable[[str, dict, dict], dict] | None = None):
         if not url or not model:
             raise ConfigurationError("a chat provider needs a URL and a model")
-        super().__init__(limit)
+        super().__init__(context_limit(model, limit))
         self.url, self.model, self.key, self.timeout = url.rstrip("/"), model, key or os.environ.get("LLM_API_KEY"), timeout
         self.post = post or self._post
 

@@ -459,7 +459,7 @@ def settings_parse(spark, d):
 _SETTINGS = "(1, 5, '10'), (2, 5, 'none'), (3, 5, NULL), (4, NULL, ' 7 '), (5, NULL, NULL)"
 
 
-@query("settings_merge", f"SELECT id, CASE WHEN lower(trim(t)) = 'none' THEN NULL ELSE coalesce(CAST(CASE WHEN lower(trim(t)) <> 'none' THEN trim(t) END AS INT), old) END AS value FROM (VALUES {_SETTINGS}) v(id, old, t)")
+@query("settings_merge", f"SELECT id, CASE WHEN lower(t) = 'none' THEN NULL ELSE coalesce(CAST(CASE WHEN lower(t) <> 'none' THEN trim(t) END AS INT), old) END AS value FROM (VALUES {_SETTINGS}) v(id, old, t)")
 def settings_merge(spark, d):
     rows = spark.sql(f"SELECT id, old, t FROM VALUES {_SETTINGS} AS v(id, old, t)")
     return rows.select("id", "old", tx.parse_number("t").alias("p")).select("id", status.merged(F.col("old"), F.col("p")).alias("value"))

@@ -55,6 +55,26 @@ EMBEDDING_MODELS = {
     "avsolatorio/NoInstruct-small-Embedding-v0": ("noins", 384, 32),
     "intfloat/e5-small-v2": ("e5sm", 384, 32),
 }
+#: context limits of language models in tokens; unknown models have the default
+CONTEXT_LIMITS = {
+    "ibm/granite-3-8b-instruct": 131072,
+    "ibm/granite-3-2-8b-instruct": 8192,
+    "ibm/granite-3-2b-instruct": 8192,
+    "ibm/granite-3-3-8b-instruct": 8192,
+    "meta-llama/llama-3-3-70b-instruct": 8192,
+    "meta-llama/llama-3-1-70b-gptq": 131072,
+    "meta-llama/llama-3-1-8b": 131072,
+    "meta-llama/llama-3-405b-instruct": 131072,
+    "qwen2.5:7b-instruct": 32768,
+    "qwen2.5:3b-instruct": 32768,
+    "qwen2.5:1.5b-instruct": 32768,
+    "llama3.2:3b": 131072,
+    "llama3.2:1b": 131072,
+    "gemma2:2b": 8192,
+    "gpt-4o-mini": 128000,
+    "gpt-4o": 128000,
+    "gpt-3.5-turbo": 16385,
+}
 DEFAULT_CONTEXT_LIMIT, CONTEXT_SHARE = 32768, 0.7
 INGESTIBLE_SUFFIXES = (".html", ".htm", ".pdf", ".docx", ".pptx", ".xlsx", ".md", ".csv")
 CONTENT_TYPES = {".json": "application/json", ".txt": "text/plain", ".md": "text/markdown", ".html": "text/html", ".pdf": "application/pdf"}

@@ -48,15 +48,37 @@ def write_manifest(store: Store, target: str) -> None:
     manifest(store.table("documents")).coalesce(1).write.mode("overwrite").text(target)
 
 
+#: Labels of a shown change row: fixed values of the display format.
+_CHANGE_LABELS = {
+    "changed_at": "Timestamp      ",
+    "changed_by_user": "User           ",
+    "changed_by_version": "Version        ",
+    "changed_by_tool": "Tool           ",
+    "documents_added": "Documents added",
+    "documents_deleted": "Documents deleted",
+    "chunks_added": "Chunks added   ",
+    "chunks_deleted": "Chunks deleted ",
+    "embeddings_added": "Embeds added   ",
+    "embeddings_deleted": "Embeds deleted ",
+    "embedding_models_added": "Models added   ",
+    "notes": "Notes          ",
+}
+
+
 def change_text() -> Column:
-    """A change row as text; empty facts are left out."""
-    lines = [F.concat(F.lit("#"), F.col("id").cast("string"), F.lit(" "), tx.shown_time("changed_at"))]
-    for label, c in (("by ", "changed_by_user"), ("tool ", "changed_by_tool"), ("version ", "changed_by_version")):
-        lines.append(F.when(F.length(c) > 0, F.concat(F.lit(label), F.col(c))))
-    for c in ("documents_added", "documents_deleted", "chunks_added", "chunks_deleted", "embeddings_added", "embeddings_deleted"):
-        lines.append(F.when(F.col(c) > 0, F.concat(F.lit(c.replace("_", " ") + ": "), F.col(c).cast("string"))))
-    lines.append(F.when(F.size("embedding_models_added") > 0, F.concat(F.lit("models: "), F.array_join("embedding_models_added", ", "))))
-    lines.append(F.when(F.length("notes") > 0, F.col("notes")))
+    """A change row as text; facts without a value are left out."""
+    lines = [F.concat(F.lit("\nUpdate #"), F.col("id").cast("string"), F.lit(":"))]
+    for name, label in _CHANGE_LABELS.items():
+        c = F.col(name)
+        if name == "changed_at":
+            shown, there = F.coalesce(tx.shown_time(c), F.lit("Unknown")), F.lit(True)
+        elif name == "embedding_models_added":
+            shown, there = F.array_join(c, ", "), F.size(c) > 0
+        elif name.endswith(("_added", "_deleted")):
+            shown, there = c.cast("string"), c > 0
+        else:
+            shown, there = c, F.length(c) > 0
+        lines.append(F.when(there, F.concat(F.lit(f"  {label}: "), shown)))
     return F.array_join(F.array_compact(F.array(*lines)), "\n")
 
 

@@ -66,7 +66,7 @@ class Store:
         empty = {n: self.spark.createDataFrame([], s) for n, s in schemas.TABLES.items()}
         one = self.spark.range(1)
         empty["schema_metadata"] = one.select(F.lit(1).alias("id"), F.lit(None).alias("title"), F.lit(None).alias("description"), F.lit(schemas.DB_SCHEMA_VERSION).alias("schema_version"), F.lit(0).alias("embedding_models_count"), now.alias("last_modified_at"))
-        empty["schema_changes"] = _change(one, 1, now, user=user, notes="Database schema initialized")
+        empty["schema_changes"] = _change(one, 1, now, user=user, notes="Database initialized")
         self.commit(empty)
         return True
 

@@ -82,6 +82,7 @@ def test_providers():
         providers.map_reduce_summarize("x", 600, str)
     with pytest.raises(ConfigurationError):
         providers.provider_factory(skip_context=False)
+    assert providers.context_limit("gemma2:2b") == 8192 and providers.context_limit("x") == 32768 and providers.context_limit("x", 5) == 5 and providers.usable_tokens(8192) == 5734
     sent = []
     chat = providers.ChatProvider("http://h/", "m", limit=100, post=lambda url, body, headers: sent.append((url, body)) or {"choices": [{"message": {"content": " ok "}}]})
     chat.set_document("short")
@@ -130,4 +131,5 @@ def test_config(tmp_path):
     for env in ({"DATABASE_URL": "mysql://u@h/d"}, {"DATABASE_URL": "postgresql://h/d"}, {"DATABASE_URL": "postgresql://u@h/d", "POSTGRES_DB": "x"}, {"POSTGRES_PORT": "x"}, {"DATABASE_URL": "postgresql://u@h:x/d"}):
         with pytest.raises(ConfigurationError):
             config.resolve(env, None)
+    assert config.resolve({"DATABASE_URL": "postgresql://u@h"}, None) == config.DEFAULTS | {"host": "h", "user": "u"}
     assert config.jdbc_options(config.DEFAULTS)["url"] == "jdbc:postgresql://localhost:5432/ragdb"

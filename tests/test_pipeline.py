@@ -64,8 +64,8 @@ def test_stages_are_incremental(spark, folder, tmp_path):
     pipeline.load_content(content, store, prune=True)
     assert of_notes() == 1
     log = store.table("schema_changes").orderBy("id").collect()
-    assert log[0].notes == "Database schema initialized" and log[1].embedding_models_added == [DEFAULT_MODEL] and len(log) >= 4
-    assert "documents added: 4" in store.table("schema_changes").where("id = 2").select(status.change_text()).first()[0]
+    assert log[0].notes == "Database initialized" and log[1].embedding_models_added == [DEFAULT_MODEL] and len(log) >= 4
+    assert "Documents added: 4" in store.table("schema_changes").where("id = 2").select(status.change_text()).first()[0]
     # dump, restore, manifest, tree
     assert store.dump(str(tmp_path / "bundle"))["documents"] == 4
     other = Store(spark, str(tmp_path / "other"))
@@ -143,3 +143,16 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert run("db-destroy", "--yes") == 0
     with pytest.raises(StoreError):
         run("db-status")
+
+
+def test_search(spark, folder, tmp_path):
+    from docmill.operators.retrieval import overlap_reranker, refined, search
+
+    content, store = pipeline.Content(spark, str(tmp_path / "content")), Store(spark, str(tmp_path / "store"))
+    pipeline.run(spark, str(folder), content, store)
+    rows = search(store, "first para", rerank=overlap_reranker("first para")).collect()
+    assert rows[0].document_path == "web/pages/one page.v1" and rows[0].bm25 > 0 and rows[0].similarity > 0
+    status.configure(store, max_chunks="2", max_tokens_in_context="400", similarity_threshold="0.99")
+    few = search(store, "first para").collect()
+    assert len(few) <= 2 and all(r.similarity is None for r in few)
+    assert refined("q", 2, lambda q, n: [q + "?"] * 5) == ["q", "q?", "q?"] and refined("q", 3) == ["q"]
