@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -178,6 +179,27 @@ def bm25(index: DataFrame, query: list[str], *, key: str, k1: float = 1.2, b: fl
     return hits.join(F.broadcast(frequency), "term").groupBy(key).agg(F.sum(part).alias("score"))
 
 
+def _equal_to(term: str):
+    return lambda w: w == term
+
+
+def bm25_scan(docs: DataFrame, query: list[str], *, key: str, text: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """The same scores straight from the texts: one scan for the corpus statistics (all documents), one for the scores;
+    nothing is exploded and nothing but the statistics is shuffled."""
+    terms = sorted(set(query))
+    rows = docs.select(key, words(text).alias("ws")).withColumn("size", F.size("ws")).where(F.col("size") > 0)
+    counts = rows.agg(F.count("*").alias("n"), F.avg("size").alias("mean"), *[F.count_if(F.array_contains("ws", t)).alias(f"df{i}") for i, t in enumerate(terms)]).first()
+    if not counts.n:
+        return rows.select(key, F.lit(None).cast("double").alias("score")).limit(0)
+    score = F.lit(0.0)
+    for i, t in enumerate(terms):
+        df = counts[f"df{i}"]
+        idf = math.log(1 + (counts.n - df + 0.5) / (df + 0.5))
+        tf = F.size(F.filter("ws", _equal_to(t)))
+        score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("size") / F.lit(float(counts.mean))))
+    return rows.where(F.arrays_overlap("ws", F.array(*map(F.lit, terms)))).select(key, score.alias("score"))
+
+
 def reciprocal_rank_fusion(left: DataFrame, right: DataFrame, *, key: str, constant: int = 60) -> DataFrame:
     """(key, rrf_score) of two ranked lists (key, rank)."""
     both = left.select(key, F.col("rank").alias("a")).join(right.select(key, F.col("rank").alias("b")), key, "full")

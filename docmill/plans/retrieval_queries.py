@@ -530,8 +530,7 @@ s AS (SELECT i.doc_id, sum(ln(1 + (n.docs - f.df + 0.5) / (f.df + 0.5)) * i.tf *
 
 @query("bm25", _BM25 + " SELECT doc_id, round(score, 6) AS score FROM s")
 def bm25(spark, d):
-    index = ts.inverted_index(_docs(spark, d), key="doc_id", text="text")
-    return ts.bm25(index, WORDS, key="doc_id").select("doc_id", F.round("score", 6).alias("score"))
+    return ts.bm25_scan(_docs(spark, d), WORDS, key="doc_id", text="text").select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query("hybrid_rrf", _BM25.replace("WITH", f"WITH {_QUERY},", 1) + f""",
@@ -545,8 +544,7 @@ def hybrid_rrf(spark, d):
         top = rows.select(F.col(key).alias("key"), F.round(score, 6).alias("score")).orderBy(F.desc("score"), "key").limit(50)
         return top.groupBy().agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "key"))).alias("l")).select(F.posexplode("l").alias("n", "x")).select("x.key", (F.col("n") + 1).alias("rank"))
 
-    index = ts.inverted_index(_docs(spark, d), key="doc_id", text="text")
-    words = ranked(ts.bm25(index, WORDS, key="doc_id"), "doc_id", "score")
+    words = ranked(ts.bm25_scan(_docs(spark, d), WORDS, key="doc_id", text="text"), "doc_id", "score")
     vectors = ranked(vx.top_k(table(spark, d, "embeddings"), _query_vector(spark, d), 60, key="vec_id"), "vec_id", "similarity")
     return ts.reciprocal_rank_fusion(words, vectors, key="key").select("key", F.round("rrf_score", 6).alias("rrf_score"))
 

@@ -113,6 +113,14 @@ def test_stems(spark):
     assert [r.id for r in ts.bm25(index, ["battery"], key="id").collect()] == [2]
 
 
+def test_bm25_by_index_and_scan_agree(spark):
+    f = spark.createDataFrame([(1, "alpha beta the beta"), (2, "beta gamma"), (3, ""), (4, None), (5, "delta")], "id int, t string")
+    by_index = {r.id: round(r.score, 9) for r in ts.bm25(ts.inverted_index(f, key="id", text="t"), ["beta", "delta"], key="id").collect()}
+    by_scan = {r.id: round(r.score, 9) for r in ts.bm25_scan(f, ["beta", "delta"], key="id", text="t").collect()}
+    assert by_index == by_scan and set(by_scan) == {1, 2, 5}
+    assert ts.bm25_scan(f.limit(0), ["beta"], key="id", text="t").count() == 0
+
+
 def test_upsert(spark):
     target = spark.createDataFrame([(5, "a", 1, "old"), (9, "b", 2, "old")], "id long, path string, size int, kind string")
     incoming = spark.createDataFrame([("b", 3, "new"), ("d", 4, "new"), ("c", 5, "new"), (None, 6, "new")], "path string, size int, kind string")
