@@ -257,3 +257,14 @@ def _compare(numerator: int, denominator: int):
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return run
+
+
+FOUND_SQL = r"""
+WITH c AS (SELECT id, min(text) AS text FROM chunks WHERE text IS NOT NULL GROUP BY id),
+w AS (SELECT id, regexp_extract_all(text, '[\p{L}\p{N}]+') AS ws FROM c),
+l AS (SELECT id, list_transform(ws, lambda x: lower(x)) AS ws FROM w WHERE len(ws) >= 40),
+s AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(ws) - 1), lambda k: ws[k] || ' ' || ws[k + 1] || ' ' || ws[k + 2])) AS run FROM l),
+n AS (SELECT id, count(*) AS size FROM s GROUP BY id),
+p AS (SELECT a.id AS a, b.id AS b, count(*) AS common FROM s a JOIN s b ON a.run = b.run AND a.id < b.id GROUP BY a.id, b.id)
+SELECT a AS chunk_id_a, b AS chunk_id_b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 10 * common >= 7 * (x.size + y.size - common)
+"""

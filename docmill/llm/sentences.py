@@ -121,9 +121,9 @@ CASCADES: dict[str, tuple[str, ...]] = {
 
 _SPECIAL = regex.compile(
     r"\s*(?:(?P<heading>\#{1,6}\s)|(?P<list>(?:[-*•+–‣◦·]|\p{N}{1,3}[.)]|\([a-z0-9]{1,2}\))\s)|(?P<row>\|)"
-    r"|(?P<log>\p{N}{4}-\p{N}{2}-\p{N}{2}[T ]\p{N}{2}:\p{N}{2}|[0-9a-f]{6,}:\s|\[?\p{N}{2}:\p{N}{2}:\p{N}{2}|```|(?:>>>|\$)\s|(?:def|class|import|from|SELECT|INSERT|CREATE)\s.*[;:(){}]\s*$))"
+    r"|(?P<log>\p{N}{4}-\p{N}{2}-\p{N}{2}[T ]\p{N}{2}:\p{N}{2}|[0-9a-f]{6,}:\s|\[?\p{N}{2}:\p{N}{2}:\p{N}{2}|```|(?:>>>|\$)\s|def \w+\(|class \w+[:(]|import [\w.]+\s*$|from [\w.]+ import |SELECT\s|INSERT\s+INTO\s|CREATE\s+TABLE\s))"
 )
-_LINE = regex.compile(r"[^\r\n\v\f\x85\u2028\u2029]*(?:\r\n|[\r\n\v\f\x85\u2028\u2029]|\Z)")
+_LINE = regex.compile(r"[^\r\n]*(?:\r\n|[\r\n]|\Z)")
 _MARKS = regex.compile(rf"[.!?…。！？।॥؟۔]+(?:[\s ]?[»]|{_CLOSE})*")
 _ENCLOSED = regex.compile(r"“[^“”]*”|„[^„“”]*[“”]|«[^«»]*»|「[^「」]*」|『[^『』]*』|（[^（）]*）|\([^()]*\)|\"[^\"]*\"")
 _OPENER = regex.compile(r"[“„«「『（(\"]")
