@@ -17,7 +17,7 @@ member is dropped. The union is made distinct, the word sets of the representati
 from their texts, and the exact Jaccard similarity decides (integers, no rounding).
 
 Defined results: null, empty and short texts (under ``min_words`` words) belong to no pair and no class; an id on
-several rows counts once, with the least text if they differ; pairs are a < b. Classes of up to ``expand`` copies
+several rows counts once, and if its texts differ, with the one whose word set has the least hash; pairs are a < b. Classes of up to ``expand`` copies
 give all their pairs, larger ones give the pairs of the representative with every copy (``classes`` lists all
 members, so no link is lost); likewise between two classes.
 """
@@ -158,7 +158,7 @@ def sketched(chunks: DataFrame, *, key: str = "id", text: str = "text", width: i
     return rows.mapInArrow(run, "id long, class long, keys array<int>")
 
 
-def _sets_table(chunks: DataFrame, ids: DataFrame, key: str, text: str, width: int) -> DataFrame:
+def _sets_table(chunks: DataFrame, ids: DataFrame, key: str, text: str, width: int, min_words: int) -> DataFrame:
     """(rep, words array<long>) of the representatives in ``ids`` (rep)."""
     rows = chunks.select(chunks[key].cast("long").alias("rep"), chunks[text].alias("t"))
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -167,12 +167,16 @@ def _sets_table(chunks: DataFrame, ids: DataFrame, key: str, text: str, width: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _WordHash()
         for batch in batches:
-            sets = word_sets(batch.column("t").to_pylist(), table, width, 0)
+            sets = word_sets(batch.column("t").to_pylist(), table, width, min_words)
             if len(table) > 500_000:
                 table.clear()
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["rep", "words"])
+            kept = [n for n, s in enumerate(sets) if len(s)]
+            sets = [sets[n] for n in kept]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep").take(pa.array(kept, pa.int64())), pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["rep", "class", "words"]
+            )
 
-    return rows.mapInArrow(run, "rep long, words array<long>").dropDuplicates(["rep"])
+    return rows.mapInArrow(run, "rep long, class long, words array<long>").groupBy("rep").agg(F.min_by("words", "class").alias("words"))
 
 
 def _similar(a: str, b: str, numerator: int, denominator: int):
@@ -190,20 +194,20 @@ class NearDuplicates:
         one = sketch.groupBy("id").agg(F.min("class").alias("class"))
         reps = one.groupBy("class").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
         self.members = written(one.join(reps, "class").select("id", "rep", "copies"), "members")
-        rep_keys = sketch.join(self.members.where("id = rep").select("id"), "id", "left_semi").groupBy("id").agg(F.first("keys").alias("keys"))
+        rep_keys = sketch.join(self.members.where("id = rep").select("id"), "id", "left_semi").groupBy("id").agg(F.min_by("keys", "class").alias("keys"))
         table_key = F.shiftleft(F.col("table").cast("long"), 32).bitwiseOR(F.col("k").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
         signature = rep_keys.select(F.col("id").alias("rep"), F.posexplode("keys").alias("table", "k")).select("rep", table_key.alias("key"))
         met = written(signature.groupBy("key").agg(F.collect_list("rep").alias("reps")).where(F.size("reps") > 1), "buckets")
-        self.links = written(self._links(met, chunks, key, text, width, numerator, denominator, block), "links")
+        self.links = written(self._links(met, chunks, key, text, width, min_words, numerator, denominator, block), "links")
 
     @staticmethod
-    def _links(met: DataFrame, chunks: DataFrame, key: str, text: str, width: int, numerator: int, denominator: int, block: int) -> DataFrame:
+    def _links(met: DataFrame, chunks: DataFrame, key: str, text: str, width: int, min_words: int, numerator: int, denominator: int, block: int) -> DataFrame:
         light = met.where(F.size("reps") <= block).select(F.array_sort("reps").alias("reps"))
         pairs = light.select(F.posexplode("reps").alias("n", "a"), "reps").select("a", F.explode(F.slice("reps", F.col("n") + 2, F.lit(block))).alias("b")).distinct()
         pairs = written(pairs, "candidates")
         heavy = met.where(F.size("reps") > block)
         ids = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b"))).union(heavy.select(F.explode("reps"))).distinct()
-        sets = written(_sets_table(chunks, ids, key, text, width), "sets")
+        sets = written(_sets_table(chunks, ids, key, text, width, min_words), "sets")
         a, b = sets.select(F.col("rep").alias("a"), F.col("words").alias("wa")), sets.select(F.col("rep").alias("b"), F.col("words").alias("wb"))
         links = pairs.join(a, "a").join(b, "b").where(_similar("wa", "wb", numerator, denominator)).select("a", "b")
         if heavy.isEmpty():

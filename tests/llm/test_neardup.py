@@ -72,6 +72,13 @@ def test_pairs_equal_brute_force(spark, block):
     assert set(rows) == {i for i, t in texts.items() if t and len(neardup.words_of(t)) >= 40}
 
 
+def test_an_id_with_two_texts_counts_once(spark):
+    a, b = " ".join(VOCAB[:60]), " ".join(VOCAB[100:160])
+    rows = [(1, a), (1, b), (2, a), (3, b), (None, a)]
+    pairs = {tuple(r) for r in neardup.NearDuplicates(spark.createDataFrame(rows, "id long, text string")).pairs().collect()}
+    assert pairs in ({(1, 2)}, {(1, 3)})
+
+
 def test_hot_copies_and_empty_table(spark):
     text = " ".join(VOCAB[:60])
     texts = {n: text for n in range(1, 400)} | {1000: text + " tail", 1001: " ".join(VOCAB[100:160])}
