@@ -3,6 +3,7 @@ each chunk. ``LocalContext`` is deterministic; ``ChatProvider`` speaks the publi
 
 from __future__ import annotations
 
+import importlib
 import json
 import os
 import urllib.request
@@ -130,3 +131,24 @@ def provider_factory(*, skip_context: bool = True, url: str | None = None, model
     if not url or not model:
         raise ConfigurationError("contexts need a provider: give a URL and a model")
     return lambda: ChatProvider(url, model, limit=limit)
+
+
+class FunctionProvider(Session):
+    """Any other client (a vendor's SDK, a local model) as one function from turns and a token limit to a text. The
+    function is imported by name on the executors, so its library is needed there only."""
+
+    def __init__(self, function: str | Callable[[list[dict], int], str], *, model: str | None = None, limit: int | None = None):
+        super().__init__(context_limit(model, limit))
+        if isinstance(function, str):
+            module, _, name = function.rpartition(".")
+            try:
+                function = getattr(importlib.import_module(module), name)
+            except (ImportError, AttributeError, ValueError) as e:
+                raise ConfigurationError(f"no provider function {function}: {e}") from None
+        self.ask = function
+
+    def summarize(self, text: str) -> str:
+        return self.ask([{"role": "system", "content": "Summarise the text; keep names and figures."}, {"role": "user", "content": text}], 500).strip()
+
+    def context_for(self, chunk: str) -> str:
+        return self.ask(messages(self.document, chunk), 200).strip()

@@ -83,6 +83,11 @@ def test_providers():
     with pytest.raises(ConfigurationError):
         providers.provider_factory(skip_context=False)
     assert providers.context_limit("gemma2:2b") == 8192 and providers.context_limit("x") == 32768 and providers.context_limit("x", 5) == 5 and providers.usable_tokens(8192) == 5734
+    local = providers.FunctionProvider(lambda turns, most: f" {turns[-1]['content'][:4]}{most} ", limit=50)
+    local.set_document("word " * 10)
+    assert local.context_for("c") == "Pass200" and not local.summarized
+    with pytest.raises(ConfigurationError):
+        providers.FunctionProvider("no.such.function")
     sent = []
     chat = providers.ChatProvider("http://h/", "m", limit=100, post=lambda url, body, headers: sent.append((url, body)) or {"choices": [{"message": {"content": " ok "}}]})
     chat.set_document("short")
