@@ -45,7 +45,7 @@ _TAG = regex.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)[^<>]*>|<[^<>]*>")
 _LINK = regex.compile(r"\[([^\[\]]*)\]\([^()]*\)")
 _WORDY = regex.compile(r"[\p{L}\p{N}]")
 _BULLET = regex.compile(r"^\s*(?:[-*•+]\s+|\d{1,3}[.)]\s+)+")
-_TAIL = regex.compile(r"\s*(?:\(\d+\)|\[[0-9a-f]+\]|[–-]\s[\w-]+)\s*$")
+_TAIL = regex.compile(r"(?:\(\d+\)|\[[0-9a-f]+\]|[–-]\s[\w-]+)$")
 _WORD = regex.compile(r"[\p{L}\p{M}]+|\p{N}+")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]")
 _DIGITS = regex.compile(r"\d+")
@@ -53,7 +53,12 @@ _FILE = regex.compile(r"\(\d[\d.,]* ?[KMG]i?B\)$|\.\w{2,5}$")
 _DATE = regex.compile(r"\d{4}-\d\d-\d\d")
 _COUNTER = regex.compile(r"\(\d+\)$|\[[0-9a-f]+\]$")
 _LEVEL = regex.compile(r"h[1-6]")
-_SEPARATED = regex.compile(r"\s*[|/>›»·]\s+|\s{2,}")
+_SEPARATED = regex.compile(r"(?<!\s)\s?[|/>›»·]\s+|\s{2,}(?:[|/>›»·]\s+)?")
+
+
+def _untailed(low: str) -> str:
+    """A line without the counter, mark or host name at its end."""
+    return _TAIL.sub("", low.strip()).rstrip()
 
 
 class Block:
@@ -71,7 +76,7 @@ class Block:
         self.link = "a" in tags or bool(_LINK.search(plain))
         self.text = _LINK.sub(r"\1", plain).strip()
         self.tags = tags
-        self.low = _TAIL.sub("", self.text.lower()).strip()
+        self.low = _untailed(self.text.lower())
         self.words = _WORD.findall(self.low)
         self.size = _bucket(len(self.text))
         self.whole = _DIGITS.sub("0", self.low) if len(self.text) < 160 else ""
@@ -118,7 +123,7 @@ def label_page(blocks: list[Block], title: str | None, site: str, menu: frozense
             kind = "site"
         parts = _joined(b.low)
         if kind is None and parts:
-            known = sum(_kind(_TAIL.sub("", p)) is not None for p in parts)
+            known = sum(_kind(_untailed(p)) is not None for p in parts)
             if known * 2 >= len(parts):
                 kind = "legal"
             elif name and parts[-1] == name:
@@ -222,7 +227,7 @@ def features(blocks: list[Block], title: str | None, site: str) -> list[list[int
         if size < 160:
             f += [f"W{b.whole}", f"WS{seen:d}{b.whole}"]
         for p in parts if size < 400 else ():
-            f.append("P" + _DIGITS.sub("0", _TAIL.sub("", p)))
+            f.append("P" + _DIGITS.sub("0", _untailed(p)))
         if size < 120:
             f += [f"w{w}" for w in b.words]
             if _CJK.search(low):
