@@ -52,7 +52,7 @@ class Settings:
 
 
 #: For neighbours with a clear similarity (0.75 and more): near vectors share one of the few nearest lists.
-CLEAR = Settings(probe=1.05, probes=4, least_probes=3, replicate=1.05, replicas=2)
+CLEAR = Settings(probe=1.05, probes=3, least_probes=2, replicate=1.05, replicas=2)
 #: For neighbours far below that: more lists for each query.
 WIDE = Settings(probe=1.6, probes=48, beam=64, rounds=16, least_probes=12)
 
@@ -332,6 +332,9 @@ def most_similar(vectors: DataFrame, s: Settings = Settings(), *, at_least: floa
 
     placed = compared.select("model", "chunk_id", "vec", asked.alias("asked")).mapInArrow(place, "model long, list int, block int, chunk_id long, role tinyint, vec binary")
     answers = placed.groupBy("model", "list", "block").applyInArrow(compare, "model long, chunk_id long, neighbour long, cosine float")
+    if queries is None and at_least > -1:  # what either side found holds for both
+        answers = written(answers, "answers")
+        answers = answers.unionByName(answers.select("model", F.col("neighbour").alias("chunk_id"), F.col("chunk_id").alias("neighbour"), "cosine"))
     one = answers.groupBy("model", "chunk_id", "neighbour").agg(F.max("cosine").alias("cosine"))
     if crowd is not None:
         # the others of a large class: their k nearest are its k smallest ids
@@ -347,3 +350,16 @@ def mutual_pairs(vectors: DataFrame, s: Settings = CLEAR, *, at_least: float = 0
     top = most_similar(vectors, s, at_least=at_least)
     pair = top.select("model", F.least("chunk_id", "neighbour").alias("a"), F.greatest("chunk_id", "neighbour").alias("b"))
     return pair.groupBy("model", "a", "b").agg(F.count("*").alias("n")).where("n = 2").select("model", "a", "b")
+
+
+FOUND_SQL = """
+WITH usable AS (
+  SELECT e.model, e.chunk_id, CAST(e.embedding AS DOUBLE[]) AS v, row_number() OVER (PARTITION BY e.model, e.chunk_id ORDER BY e.created_at DESC NULLS LAST, e.id DESC) AS n
+  FROM chunk_embeddings e JOIN models m ON m.id = e.model
+  WHERE len(e.embedding) = m.dimensions AND len(list_filter(e.embedding, lambda x: x IS NULL OR isnan(x))) = 0 AND len(list_filter(e.embedding, lambda x: x <> 0)) > 0
+    AND e.chunk_id IN (SELECT id FROM chunks)
+), u AS (SELECT model, chunk_id, v FROM usable WHERE n = 1),
+s AS (SELECT a.model, a.chunk_id AS a, b.chunk_id AS b, list_cosine_similarity(a.v, b.v) AS c FROM u a JOIN u b ON a.model = b.model AND a.chunk_id <> b.chunk_id),
+t AS (SELECT model, a, b FROM (SELECT *, row_number() OVER (PARTITION BY model, a ORDER BY round(c, 6) DESC, b) AS r FROM s WHERE c >= 0.75) WHERE r <= 10)
+SELECT t.model, t.a AS chunk_id_a, t.b AS chunk_id_b FROM t JOIN t r ON r.model = t.model AND r.a = t.b AND r.b = t.a WHERE t.a < t.b
+"""
