@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docmill import status
 from docmill.functions import text as tx
@@ -18,6 +17,7 @@ from docmill.functions.hashing import content_hash
 from docmill.operators import staleness as st
 from docmill.operators.chunking import chunk_documents
 from docmill.operators.embedding import embed
+from docmill.operators.ordered import previous_row
 from docmill.operators.providers import usable_tokens
 from docmill.operators.upsert import delete_documents, insert_missing, upsert
 from docmill.schemas import EMBEDDING_MODELS, MAX_TOKENS
@@ -129,9 +129,9 @@ WITH h AS ({_HASHES}), v AS (SELECT d.doc_id, d.path, h.hash, h.mtime, h.doc_id
 SELECT doc_id, CASE WHEN old_id IS NULL THEN true WHEN mtime IS NULL AND hash IS NULL THEN false WHEN NOT has_meta THEN true WHEN mtime IS NOT NULL AND (old_time IS NULL OR old_time <> mtime) THEN true WHEN hash IS NOT NULL AND (old_hash IS NULL OR old_hash <> hash) THEN true ELSE false END AS needs FROM v""")
 def needs_update(spark, d):
     rows = _docs(spark, d).select("doc_id", "path").join(_hashes(spark, d).withColumn("has", F.lit(True)), "doc_id", "left")
-    w = Window.partitionBy("path").orderBy("doc_id")
-    rows = rows.select("*", F.lag("hash").over(w).alias("old_hash"), F.lag("mtime").over(w).alias("old_time"), F.lag("doc_id").over(w).alias("old_id"))
-    return rows.select("doc_id", st.needs_update(exists=F.col("old_id").isNotNull(), has_meta=F.col("has").isNotNull(), given_time=F.col("mtime"), stored_time=F.col("old_time"), given_hash=F.col("hash"), stored_hash=F.col("old_hash")).alias("needs"))
+    rows = previous_row(rows, key="path", order="doc_id", columns=["doc_id", "hash", "mtime"])
+    p = F.col("previous")
+    return rows.select("doc_id", st.needs_update(exists=p.isNotNull(), has_meta=F.col("has").isNotNull(), given_time=F.col("mtime"), stored_time=p["mtime"], given_hash=F.col("hash"), stored_hash=p["hash"]).alias("needs"))
 
 
 @query("ingest_stale", "SELECT doc_id FROM documents WHERE updated_at IS NULL OR last_modified IS NULL OR last_modified > updated_at")

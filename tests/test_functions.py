@@ -134,6 +134,16 @@ def test_upsert(spark):
     assert upsert(target.limit(0), incoming.limit(0), keys=["path"], updated=["size"]).count() == 0
 
 
+def test_previous_row(spark):
+    from docmill.operators.ordered import previous_row
+
+    rows = [("hot", n, n * 10) for n in range(300)] + [(k, n, n) for k in ("a", "z", None) for n in range(3)]
+    f = spark.createDataFrame(rows, "k string, n int, v int").repartition(5)
+    got = {(r.k, r.n): r.previous and (r.previous.n, r.previous.v) for r in previous_row(f, key="k", order="n", columns=["n", "v"]).collect()}
+    assert got == {(k, n): None if n == 0 else (n - 1, (n - 1) * (10 if k == "hot" else 1)) for k, n, _ in rows}
+    assert previous_row(f.limit(0), key="k", order="n", columns=["v"]).count() == 0
+
+
 def test_config(tmp_path):
     assert config.resolve({}, None) == config.DEFAULTS
     compose = tmp_path / "c.yml"
