@@ -126,6 +126,7 @@ _SPECIAL = regex.compile(
 _LINE = regex.compile(r"[^\r\n]*(?:\r\n|[\r\n]|\Z)")
 _MARKS = regex.compile(rf"[.!?…。！？।॥؟۔]+(?:[\s ]?[»]|{_CLOSE})*")
 _ENCLOSED = regex.compile(r"“[^“”]*”|„[^„“”]*[“”]|«[^«»]*»|「[^「」]*」|『[^『』]*』|（[^（）]*）|\([^()]*\)|\"[^\"]*\"")
+_THAI_UNIT = regex.compile(r"\S+(?:[ \u00a0]+\p{N}+(?!\S))?")  # a heading's number stays with it
 _OPENER = regex.compile(r"[“„«「『（(\"]")
 _WORDY = regex.compile(r"[\p{L}\p{N}]")
 _ENDED = regex.compile(rf"[.!?…。！？।॥؟۔:：]\s?{_CLOSE}*\s*\Z")
@@ -162,7 +163,7 @@ def _running(text: str, a: int, b: int, language: str | None, out: list[tuple[in
     kind = kind_of(part, language)
     start = 0
     if kind == "th":
-        for m in regex.finditer(r"\S+", part):
+        for m in _THAI_UNIT.finditer(part):
             _unit(text, a + m.start(), a + m.end(), out)
         return
     pattern, breaks = _RULES[kind]

@@ -42,6 +42,10 @@ def test_lines_that_are_units():
     ]
 
 
+def test_a_thai_heading_keeps_its_number():
+    assert texts("มาตรวัดเก่า 19\n\nลบ5รายการ ใช้ไฟ 7 หน่วย\n", "th") == ["มาตรวัดเก่า 19", "ลบ5รายการ", "ใช้ไฟ 7", "หน่วย"]
+
+
 def test_missing_space_and_unpaired_marks():
     assert texts("It does not.At night it runs. See not.json now", "en") == ["It does not.", "At night it runs.", "See not.json now"]
     assert texts('One " two. Three (four. Five', "en") == ['One " two.', "Three (four.", "Five"]
