@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -44,6 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="docmill-")
+        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
     return _local_dir
 
 
@@ -68,9 +71,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *, rows_per_task: int = 4000) -> DataFrame:
-    """``df`` unchanged if its scan already splits; a hook kept in one place for small single-file inputs."""
-    spark = df.sparkSession
-    wanted = spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df if have >= wanted else df.repartition(wanted)
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores: a small single-file input is dealt out before costly
+    Python work; an input whose scan already splits is left as it is."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
