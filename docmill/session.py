@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, once for a context, so they need no copy of the repository."""
+    context = spark.sparkContext
+    if getattr(context, "_docmill_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="docmill-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/docmill.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, Path("docmill") / f.relative_to(package))
+    context.addPyFile(path)
+    context._docmill_shipped = True
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A name, not yet used, for a table in the shared folder."""
     return f"{shared_dir(spark)}/docmill/{label}-{uuid.uuid4().hex}"
