@@ -41,6 +41,7 @@ class Settings:
     max_lists: int = 16_384
     sample_per_list: int = 8
     links: int = 16
+    entries: int = 256
     beam: int = 24
     rounds: int = 6
     replicate: float = 1.06
@@ -52,7 +53,7 @@ class Settings:
 
 
 #: For neighbours with a clear similarity (0.75 and more): near vectors share one of the few nearest lists.
-CLEAR = Settings(probe=1.05, probes=3, least_probes=2, replicate=1.05, replicas=2)
+CLEAR = Settings(list_size=1024, sample_per_list=16, probe=1.1, probes=4, least_probes=3, replicate=1.15, replicas=3, beam=16, rounds=6)
 #: For neighbours far below that: more lists for each query.
 WIDE = Settings(probe=1.6, probes=48, beam=64, rounds=16, least_probes=12)
 
@@ -112,7 +113,9 @@ class Lists:
         for i in range(0, n, 1024):
             d = self.centre[i : i + 1024] @ self.centre.T
             self.links[i : i + 1024] = np.argpartition(-d, links - 1, 1)[:, :links]
-        self.entry = np.unique((top @ self.centre.T).argmax(1)).astype(np.int32)
+        # entry points: the ones nearest to the upper level, and evenly spaced ones of every part of it
+        even = np.arange(0, n, max(1, n // max(s.entries, int(8 * n**0.5))))
+        self.entry = np.union1d((top @ self.centre.T).argmax(1), even).astype(np.int32)
         first, _ = self.search(sample, s, 1)
         held = np.bincount(first[:, 0], minlength=n) * (count / max(1, len(sample)))
         self.blocks = np.maximum(1, np.ceil(held * 1.5 / s.block)).astype(np.int32)
@@ -150,9 +153,8 @@ class Lists:
             all_done = np.concatenate([done[active], np.zeros(new.shape, bool)], 1)
             keep = np.argpartition(-all_cos, beam - 1, 1)[:, :beam]
             ids[active], cos[active], done[active] = (np.take_along_axis(a, keep, 1) for a in (all_ids, all_cos, all_done))
-            open_best = np.where(done[active] | (ids[active] < 0), -9.0, cos[active]).max(1)
-            kth = np.partition(cos[active], beam - min(want, beam), 1)[:, beam - min(want, beam)]
-            active = active[open_best > kth]
+            # a row is done when every centroid it still holds has been expanded
+            active = active[((ids[active] >= 0) & ~done[active]).any(1)]
             if not len(active):
                 break
         order = np.argsort(-cos, 1, kind="stable")[:, :want]
