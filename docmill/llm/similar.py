@@ -83,15 +83,23 @@ def unpack(rows: list[bytes], dim: int) -> np.ndarray:
     return normal(out.view(np.float32))
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The rows without repeats, in their order."""
+    rows = np.ascontiguousarray(x + 0.0).view(np.dtype((np.void, x.itemsize * x.shape[1]))).ravel()
+    return x[np.sort(np.unique(rows, return_index=True)[1])]
+
+
 def _kmeans(x: np.ndarray, c: int, seed: int, rounds: int = 6) -> np.ndarray:
+    """At most ``c`` centroids, all of them distinct and in use: copies start one, and one that loses all its rows goes."""
     rng = np.random.default_rng(seed)
-    centre = x[rng.choice(len(x), min(c, len(x)), replace=False)].copy()
+    start = _distinct(x)
+    centre = start[rng.choice(len(start), min(c, len(start)), replace=False)].copy()
     for _ in range(rounds):
         near = np.concatenate([(x[i : i + 8192] @ centre.T).argmax(1) for i in range(0, len(x), 8192)])
         order = np.argsort(near, kind="stable")
         used, at = np.unique(near[order], return_index=True)
-        centre[used] = normal(np.add.reduceat(x[order], at, axis=0))
-    return centre
+        centre = normal(np.add.reduceat(x[order], at, axis=0))
+    return _distinct(centre)
 
 
 class Lists:
@@ -106,7 +114,7 @@ class Lists:
             own = sample[near == t]
             if len(own):
                 parts.append(_kmeans(own, max(1, round(want * len(own) / len(sample))), seed + t + 1))
-        self.centre = np.concatenate(parts)
+        self.centre = _distinct(np.concatenate(parts))
         n = len(self.centre)
         links = min(s.links, n)
         self.links = np.empty((n, links), np.int32)
@@ -228,6 +236,13 @@ def _crowded(vectors: DataFrame, k: int) -> DataFrame | None:
     return written(copies.select("model", "chunk_id", "h").join(first, ["model", "chunk_id"], "left").withColumn("place", F.coalesce("place", F.lit(0))), "crowd")
 
 
+def without_surplus(vectors: DataFrame, crowd: DataFrame | None) -> DataFrame:
+    """The vectors that are compared: all but the copies that can be nobody's neighbours."""
+    if crowd is None:
+        return vectors
+    return vectors.join(crowd.where("place = 0").select("model", "chunk_id"), ["model", "chunk_id"], "left_anti")
+
+
 def fit(vectors: DataFrame, s: Settings) -> dict[int, tuple[int, Lists]]:
     """model -> (dimensions, lists), fitted on a sample whose size follows the number of lists, which is bounded."""
     out = {}
@@ -251,11 +266,8 @@ def most_similar(vectors: DataFrame, s: Settings = Settings(), *, at_least: floa
     """
     spark = vectors.sparkSession
     crowd = _crowded(vectors, s.k)
-    index = fit(vectors, s)
-    if crowd is not None:
-        compared = vectors.join(crowd.where("place = 0").select("model", "chunk_id"), ["model", "chunk_id"], "left_anti")
-    else:
-        compared = vectors
+    compared = without_surplus(vectors, crowd)
+    index = fit(compared, s)  # on what is compared, so that surplus copies take no part of the sample and no centroids
     asked = F.expr(queries) if queries else F.lit(True)
     shared = spark.sparkContext.broadcast(index)
 

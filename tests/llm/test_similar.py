@@ -1,3 +1,5 @@
+import dataclasses
+
 import numpy as np
 import pytest
 
@@ -92,3 +94,32 @@ def test_few_vectors(spark, n):
     table = similar.usable_vectors(*tables(spark, vectors))
     rows = similar.most_similar(table, SMALL).collect()
     assert len(rows) == n * min(10, n - 1)
+
+
+def test_copies_do_not_take_the_lists(spark):
+    rng = np.random.default_rng(11)
+    hot = rng.normal(size=16)
+    copies = {i: hot.astype(np.float32) for i in range(1, 2001)}
+    families = lambda first: (first + 0.2 * rng.normal(size=(166, 12, 16))).reshape(-1, 16)
+    near = dict(enumerate(families(hot + 0.6 * rng.normal(size=(166, 1, 16))).astype(np.float32), 2001))
+    far = dict(enumerate(families(rng.normal(size=(166, 1, 16))).astype(np.float32), 4001))
+    table = similar.usable_vectors(*tables(spark, copies | near | far))
+    s = dataclasses.replace(similar.CLEAR, list_size=128)
+    ids = [*range(1, 12), *near, *far]  # of the copies only the eleven smallest ids can be in a pair
+    high = brute({i: (copies | near | far)[i] for i in ids}, 10, 0.75)
+    pairs = {(a, b) for a in high for b in high[a] if a < b and a in high[b]}
+    found = {(r.a, r.b) for r in similar.mutual_pairs(table, s).collect()}
+    assert len(found & pairs) >= 0.996 * len(pairs)
+    crowd = similar._crowded(table, s.k)
+    compared = similar.without_surplus(table, crowd)
+    centre = similar.fit(compared, s)[1][1].centre
+    assert compared.count() == 11 + len(near) + len(far) and len(np.unique(centre, axis=0)) == len(centre)
+
+
+def test_centres_are_distinct_and_used():
+    rng = np.random.default_rng(4)
+    x = similar.normal(np.concatenate([np.tile(rng.normal(size=(1, 16)), (400, 1)), rng.normal(size=(800, 16))]).astype(np.float32))
+    centre = similar._kmeans(x, 120, 7)
+    assert len(np.unique(centre, axis=0)) == len(centre) >= 110
+    assert len(np.unique((x @ centre.T).argmax(1))) >= 0.97 * len(centre)
+    assert len(similar._kmeans(x[:400], 50, 7)) == 1
