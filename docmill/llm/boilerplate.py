@@ -1,7 +1,8 @@
 """The main body of web pages, by a linear-chain conditional random field over leaf blocks (problem 4).
 
-A page is the sequence of its blocks: the lines that have a letter or digit outside of tags. Each block has
-features of its markup (leaf and ancestor tags, list, link, heading), its text (whole line, words, length, marks,
+A page is the sequence of its blocks: the lines that have a letter or digit outside of tags. A stack of open elements
+over the page's lines gives each block its ancestors; an element that is never closed holds nothing, and a line of
+nothing but tags is no empty line. Each block has features of its markup (leaf and ancestor tags, list, link, heading), its text (whole line, words, length, marks,
 likeness to the title and to the host's name), its place and its neighbours. The field has four states (frame
 before the article, article, frame within it, frame after it) and two transition tables, one for neighbours with
 an empty line between them. It is trained by maximum likelihood on labelled pages and decoded by Viterbi.
@@ -18,6 +19,7 @@ repeated pages are decoded each for itself; a table with no page that can be lab
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +55,11 @@ _FILE = regex.compile(r"\(\d[\d.,]* ?[KMG]i?B\)$|\.\w{2,5}$")
 _DATE = regex.compile(r"\d{4}-\d\d-\d\d")
 _COUNTER = regex.compile(r"\(\d+\)$|\[[0-9a-f]+\]$")
 _LEVEL = regex.compile(r"h[1-6]")
+_END = regex.compile(r"</([a-zA-Z][a-zA-Z0-9]*)[^<>]*>")
+#: Parts of a page, the elements that can hold lines, and those that end where the next of their kind begins.
+_REGIONS = frozenset("nav footer aside header main article section form table".split())
+_HOLDERS = _REGIONS | frozenset("a address blockquote body center dd details dialog div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 html li menu ol p pre span summary tbody td tfoot th thead tr ul".split())
+_SIBLINGS = frozenset("dd dt li p td th tr".split())
 _SEPARATED = regex.compile(r"(?<!\s)\s?[|/>›»·]\s+|\s{2,}(?:[|/>›»·]\s+)?")
 
 
@@ -62,18 +69,19 @@ def _untailed(low: str) -> str:
 
 
 class Block:
-    __slots__ = ("line", "tags", "text", "full", "low", "words", "gap", "link", "bullet", "head", "whole", "size")
+    __slots__ = ("line", "tags", "text", "full", "low", "words", "gap", "link", "bullet", "head", "whole", "size", "path", "region")
 
-    def __init__(self, line: int, raw: str, gap: int):
-        self.line, self.gap = line, gap
+    def __init__(self, line: int, raw: str, gap: int, path: tuple[str, ...] = ()):
+        self.line, self.gap, self.path = line, gap, path
+        self.region = next((x for x in reversed(path) if x in _REGIONS), "")
         tags = [m[2].lower() for m in _TAG.finditer(raw) if m[2] and not m[1]]
         text = _TAG.sub(" ", raw).strip() if "<" in raw else raw.strip()
-        self.head = len(text) - len(text.lstrip("#")) if text.startswith("#") else (int(tags[0][1]) if tags and _LEVEL.fullmatch(tags[0]) else 0)
+        self.head = len(text) - len(text.lstrip("#")) if text.startswith("#") else next((int(x[1]) for x in (*tags[:1], *path[-1:]) if _LEVEL.fullmatch(x)), 0)
         text = text.lstrip("#").strip()
-        self.bullet = bool(_BULLET.match(text)) or "li" in tags
+        self.bullet = bool(_BULLET.match(text)) or "li" in tags or "li" in path[-2:]
         self.full = _LINK.sub(r"\1", text).strip().lower()
         plain = _BULLET.sub("", text)
-        self.link = "a" in tags or bool(_LINK.search(plain))
+        self.link = "a" in tags or "a" in path or bool(_LINK.search(plain))
         self.text = _LINK.sub(r"\1", plain).strip()
         self.tags = tags
         self.low = _untailed(self.text.lower())
@@ -86,11 +94,34 @@ def blocks_of(content: str | None) -> list[Block]:
     """The blocks of a page."""
     out: list[Block] = []
     gap = 0
-    for n, raw in enumerate((content or "").split("\n")):
-        if _WORDY.search(_TAG.sub("", raw) if "<" in raw else raw):
-            out.append(Block(n, raw, gap))
+    content = content or ""
+    ends = Counter(name.lower() for name in _END.findall(content)) if "</" in content else Counter()
+    stack: list[str] = []
+    for n, raw in enumerate(content.split("\n")):
+        path, at = None, 0
+        for m in _TAG.finditer(raw) if "<" in raw else ():
+            if path is None and _WORDY.search(raw, at, m.start()):
+                path = tuple(stack)
+            at = m.end()
+            name = (m[2] or "").lower()
+            if name not in _HOLDERS:
+                continue
+            if m[1]:
+                ends[name] -= 1
+                if name in stack:
+                    while stack.pop() != name:
+                        pass
+            else:
+                if name in _SIBLINGS and stack[-1:] == [name]:
+                    stack.pop()
+                if ends[name] > stack.count(name) and not m[0].endswith("/>"):
+                    stack.append(name)
+        if path is None and _WORDY.search(raw, at):
+            path = tuple(stack)
+        if path is not None:
+            out.append(Block(n, raw, gap, path))
             gap = 0
-        else:
+        elif not at or _TAG.sub("", raw).strip():
             gap += 1
     return out
 
@@ -207,6 +238,7 @@ def features(blocks: list[Block], title: str | None, site: str) -> list[list[int
         parts = _joined(low)
         f = [f"l{k}", f"n{_bucket(len(b.words))}", f"e{end}", f"g{min(b.gap, 2)}", f"t{'.'.join(b.tags[:2])}", f"h{b.head}", f"a{b.link:d}{b.bullet:d}", f"s{min(len(parts), 5)}"]
         f += [f"le{k}{end}", f"tg{b.tags[0] if b.tags else ''}{b.link:d}{b.bullet:d}{k}", f"gl{min(b.gap, 2)}{k}"]
+        f += [f"A{'>'.join(b.path[-3:])}", f"R{b.region}", f"RK{b.region}{k}{b.link:d}", *{f"I{x}" for x in b.path}]
         is_title = bool(name) and name in (b.full, b.text.lower())
         seen = seen or is_title or (not name and b.head == 1)
         f += [f"T{is_title:d}", f"S{seen:d}", f"SL{seen:d}{k}{end}", f"C{bool(name) and not is_title and low.endswith(name):d}{min(len(parts), 3)}"]
@@ -239,7 +271,7 @@ def features(blocks: list[Block], title: str | None, site: str) -> list[list[int
         for label, j in (("<", i - 1), (">", i + 1)):
             if 0 <= j < n:
                 o = blocks[j]
-                f += [f"{label}l{o.size}", f"{label}h{o.low == site:d}", f"{label}W{o.whole}", f"{label}t{o.tags[0] if o.tags else ''}{o.link:d}{o.bullet:d}{o.head}", f"{label}ll{o.size},{b.size}"]
+                f += [f"{label}l{o.size}", f"{label}h{o.low == site:d}", f"{label}W{o.whole}", f"{label}t{o.tags[0] if o.tags else ''}{o.link:d}{o.bullet:d}{o.head}", f"{label}ll{o.size},{b.size}", f"{label}R{o.region}>{b.region}"]
                 if label == ">":
                     f.append(f">g{min(o.gap, 2)}")
             else:

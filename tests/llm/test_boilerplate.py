@@ -70,6 +70,42 @@ def test_blocks():
     assert bp.blocks_of(None) == bp.blocks_of("") == bp.blocks_of("<p></p>\n ---") == []
 
 
+def test_ancestors():
+    content = "<nav>\n<ul>\n<li><a href='/a'>One</a></li>\n<li>\nTwo\n</li>\n</ul>\n</nav>\n<h1>\nHead\n</h1>\nUse <nav> and <aside> here\n<p>Plain<br>\n\nMore</p>\n<footer>\n</p><div>Legal</div></footer>Last"
+    blocks = {b.text: b for b in bp.blocks_of(content)}
+    assert [(x, b.path, b.gap) for x, b in blocks.items()] == [
+        ("One", ("nav", "ul", "li", "a"), 0), ("Two", ("nav", "ul", "li"), 0), ("Head", ("h1",), 0), ("Use   and   here", (), 0),
+        ("Plain", ("p",), 0), ("More", ("p",), 1), ("Legal  Last", ("footer", "div"), 0)]
+    assert blocks["Two"].bullet and blocks["Head"].head == 1 and blocks["One"].region == "nav" and blocks["More"].region == ""
+
+
+def test_ancestors_decide():
+    """The same lines in random order, frame if a multi-line nav or footer holds them."""
+    rng = random.Random(6)
+
+    def made(n):
+        lines, frame = [], set()
+        for part in rng.choices(["nav", "div", "footer"], k=6):
+            lines.append(f"<{part}>")
+            for _ in range(rng.randint(1, 3)):
+                if part != "div":
+                    frame.add(len(lines))
+                lines.append(f"<p>{rng.choice(WORDS)} {rng.choice(WORDS)}</p>")
+            lines.append(f"</{part}>")
+        return bp.blocks_of("\n".join(lines)), frame
+
+    field, rows = bp.Field(), []
+    for blocks, frame in map(made, range(150)):
+        rows.append((bp.features(blocks, None, ""), [b.gap for b in blocks], [bp.WITHIN if b.line in frame else bp.ARTICLE for b in blocks]))
+    field.train(rows)
+    right = total = 0
+    for blocks, frame in map(made, range(40)):
+        states = field.decode(bp.features(blocks, None, ""), [b.gap for b in blocks])
+        right += sum((s != bp.ARTICLE) == (b.line in frame) for b, s in zip(blocks, states))
+        total += len(blocks)
+    assert right >= 0.98 * total
+
+
 def test_sources(spark):
     made = pages(4, 80)
     rows = [(n, p, t, c, "clash", 1) for n, (p, t, c, _) in enumerate(made, 1)]
