@@ -30,6 +30,8 @@ from docmill.store import Store
 INGESTED = "doc_path string, filename string, file_size long, last_modified timestamp, source_hash string, title string, blocks array<struct<kind:string,level:int,text:string,page:int>>, meta string, error string"
 CHUNKED = "doc_path string, filename string, file_size long, last_modified timestamp, source_hash string, parameters string, chunks array<struct<text:string,contextual_text:string,metadata:string>>, chunk_count int, chunks_hash string, chunks_file_path string, error string"
 EMBEDDED = "doc_path string, model string, dimensions int, vectors array<array<float>>, count int, chunks_hash string, embedded_at timestamp"
+#: Error of a source whose path another one of the same stem has.
+_TAKEN = "ContentError: its path belongs to "
 _README = "# Content folder\n\nStage tables of docmill; they are made again from the sources where they are stale.\n"
 
 
@@ -94,28 +96,60 @@ def _merge(content: Content, stage: str, schema: str, old: DataFrame, new: DataF
 
 def ingest(spark: SparkSession, source: str, content: Content, *, force: bool = False, dry_run: bool = False, now: Column | None = None) -> StageResult | DataFrame:
     """Parses new or changed source files. ``dry_run`` returns the work list."""
-    return ingest_frame(content, find_files(spark, source), force=force, dry_run=dry_run, now=now)
-
-
-def ingest_frame(content: Content, files: DataFrame, *, force: bool = False, dry_run: bool = False, now: Column | None = None) -> StageResult | DataFrame:
-    """The same for rows of (path, relative, modified, size, content)."""
+    return ingest_frame(content, find_files(spark, source), complete=os.path.isdir(source) or "://" in source, force=force, dry_run=dry_run, now=now)
+
+
+def _judged(files: DataFrame, old: DataFrame, complete: bool) -> tuple[DataFrame, DataFrame]:
+    """The files with ``held``, null for the one source that has its path and an error for the others; and the stored
+    sources that lose their path to one of them."""
+    first = files.groupBy("doc_path").agg(F.min(F.struct("name", "path", "modified", "source_hash")).alias("first"))
+    stored = old.where(F.col("error").isNull() | ~F.col("error").startswith(_TAKEN))
+    first = first.join(stored.select("doc_path", F.col("filename").alias("stored") if not complete else F.lit(None).cast("string").alias("stored")).distinct(), "doc_path", "left")
+    first = written(first.withColumn("holder", F.least("first.name", "stored")), "paths")
+    rows = files.join(first, "doc_path")
+    same = (F.col("name") == F.col("first.name")) & (F.col("source_hash") == F.col("first.source_hash"))
+    rows = rows.withColumn("held", F.when(~same | (F.col("holder") != F.col("name")), F.concat(F.lit(_TAKEN), "holder")))
+    exact = F.col("path").eqNullSafe(F.col("first.path")) & F.col("modified").eqNullSafe(F.col("first.modified"))
+    rows = rows.where(F.col("held").isNotNull() | exact).select(*files.columns, "held")
+    lost = stored.join(first.where("stored <> holder").select("doc_path", "holder"), "doc_path")
+    given = files.select("doc_path", F.col("name").alias("filename")).distinct()
+    return rows, lost.join(given, ["doc_path", "filename"], "left_anti")
+
+
+def ingest_frame(content: Content, files: DataFrame, *, complete: bool = False, force: bool = False, dry_run: bool = False, now: Column | None = None) -> StageResult | DataFrame:
+    """The same for rows of (path, relative, modified, size, content).
+
+    Sources of one stem share a path. It belongs to the first of them by name (then by path, time and hash); each other
+    one is an error row. ``complete``: the files are all there are; without it a stored source counts among them.
+    """
     content.ensure_readme()
     now = now if now is not None else F.current_timestamp()
-    hashed = files.withColumn("source_hash", content_hash("content")).withColumn("doc_path", tx.content_path("relative"))
+    hashed = files.withColumn("source_hash", content_hash("content")).withColumn("doc_path", tx.content_path("relative")).withColumn("name", F.regexp_extract("relative", r"([^/]+)$", 1))
     old = content.read("ingested", INGESTED)
-    todo = work_list(hashed.select("doc_path", "source_hash", "path", "relative", "modified", "size", "content"), old.select("doc_path", "source_hash"), ["doc_path"], ["source_hash"], force=force)
+    judged, lost = _judged(hashed.select("doc_path", "name", "source_hash", "path", "modified", "size", "content"), old, complete)
+    keys = ["doc_path", "name", "source_hash", "held"]
+    held = F.when(F.col("error").startswith(_TAKEN), F.col("error")).alias("held")
+    todo = work_list(judged, old.select("doc_path", F.col("filename").alias("name"), "source_hash", held).distinct(), keys, [], force=force)
     if dry_run:
-        return todo.select("doc_path", "path", "size")
-    parsed = extract(todo.withColumn("name", F.regexp_extract("relative", r"([^/]+)$", 1)).select("doc_path", "name", "path", "modified", "size", "source_hash", "content"), name="name")
+        return todo.where("held is null").select("doc_path", "path", "size")
+    parsed = extract(todo.where("held is null").drop("held"), name="name")
+    taken = todo.where("held is not null").drop("content").withColumn("title", F.lit(None).cast("string")).withColumn("blocks", F.lit(None).cast(parsed.schema["blocks"].dataType)).withColumnRenamed("held", "error")
+    parsed = parsed.unionByName(taken)
     meta = meta_json(ingested_at=tx.iso_utc(now), source_hash=F.col("source_hash"), original_path=F.col("path"), size=F.col("size"), modified=tx.iso_utc("modified"), mime=tx.content_type("name"), title=F.col("title"))
     rows = parsed.select("doc_path", F.col("name").alias("filename"), F.col("size").alias("file_size"), F.col("modified").alias("last_modified"), "source_hash", "title", "blocks", meta.alias("meta"), "error")
-    # two sources of one stem share a path: the first name counts, the others are errors of the same stage
-    rows = written(rows.dropDuplicates(["doc_path"]), "ingested")
+    lost = lost.withColumn("error", F.concat(F.lit(_TAKEN), "holder")).withColumn("title", F.lit(None).cast("string")).withColumn("blocks", F.lit(None).cast(rows.schema["blocks"].dataType))
+    rows = written(rows.dropDuplicates(["doc_path", "filename", "source_hash"]).unionByName(lost.select(*rows.columns)), "ingested")
     made, errors = rows.count(), rows.where("error is not null").count()
-    kept = old.count()
-    if made:
-        _merge(content, "ingested", INGESTED, old, rows, ["doc_path"])
-    return StageResult(made - errors, kept, errors)
+    before = old.count()
+    same = ["doc_path", "filename"]
+    kept = old.join(rows.select(*same).distinct(), same, "left_anti")
+    if complete:  # a name that is no longer there gives its path up
+        names = written(judged.select("doc_path", F.col("name").alias("filename")).distinct(), "names")
+        gone = old.select(*same).join(names.select("doc_path").distinct(), "doc_path").join(names, same, "left_anti")
+        kept = kept.join(gone.distinct(), same, "left_anti")
+    if made or kept.count() < before:
+        content.replace("ingested", kept.select(*rows.columns).unionByName(rows))
+    return StageResult(made - errors, before, errors)
 
 
 def generate_chunks(content: Content, *, pattern: str | None = None, parameters: ChunkParameters = ChunkParameters(), provider=None, force: bool = False, dry_run: bool = False) -> StageResult | DataFrame:

@@ -103,6 +103,33 @@ def test_single_file_and_stream(spark, folder, tmp_path):
     assert pick(streamed) == pick(content)
 
 
+def test_sources_of_one_stem(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    text = {"a.md": "# From md\n\ntext", "a.html": "<h1>From html</h1><p>text</p>", "a.csv": "From,csv\n1,2", "b.md": "# Other"}
+    for name, body in text.items():
+        (src / name).write_text(body)
+    content = pipeline.Content(spark, str(tmp_path / "c"))
+    state = lambda c: sorted((r.doc_path, r.filename, r.error is None) for r in c.read("ingested", pipeline.INGESTED).collect())
+    ingest = lambda: (lambda r: (r.made, r.errors))(pipeline.ingest(spark, str(src), content))
+    assert pipeline.ingest(spark, str(src), content, dry_run=True).count() == 2
+    assert ingest() == (2, 2)
+    first = [("a", "a.csv", True), ("a", "a.html", False), ("a", "a.md", False), ("b", "b.md", True)]
+    assert state(content) == first
+    for _ in range(2):  # nothing changed, so nothing takes turns
+        assert ingest() == (0, 0) and state(content) == first
+    assert pipeline.generate_chunks(content).made == 2
+    # one by one, in whatever order, the end is the same
+    singly = pipeline.Content(spark, str(tmp_path / "d"))
+    found = [(r.made, r.errors) for r in (pipeline.ingest(spark, str(src / n), singly) for n in ("a.html", "b.md", "a.csv", "a.md"))]
+    assert found == [(1, 0), (1, 0), (1, 1), (0, 1)] and state(singly) == first
+    # the holder goes: the next name has the path
+    (src / "a.csv").unlink()
+    assert ingest() == (1, 1) and state(content) == [("a", "a.html", True), ("a", "a.md", False), ("b", "b.md", True)]
+    (src / "a.md").unlink()
+    assert ingest() == (0, 0) and state(content) == [("a", "a.html", True), ("b", "b.md", True)]
+
+
 def test_settings(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     with pytest.raises(StoreError):
