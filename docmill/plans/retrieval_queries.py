@@ -20,7 +20,7 @@ from docmill.operators.embedding import embed
 from docmill.operators.ordered import previous_row
 from docmill.operators.providers import usable_tokens
 from docmill.operators.upsert import delete_documents, insert_missing, upsert
-from docmill.schemas import EMBEDDING_MODELS, MAX_TOKENS
+from docmill.schemas import EMBEDDING_MODELS, MAX_TOKENS, TABLES
 from docmill.session import new_folder, table
 from docmill.sources.discovery import collisions, leaf_folders
 from docmill.sources.extract import extract, page_text
@@ -465,17 +465,32 @@ def settings_merge(spark, d):
     return rows.select("id", "old", tx.parse_number("t").alias("p")).select("id", status.merged(F.col("old"), F.col("p")).alias("value"))
 
 
+def _content_sums(store) -> dict[str, tuple]:
+    """Of every table the number of rows and the sum of their hashes over all columns."""
+    out = {}
+    for name in TABLES:
+        rows = store.table(name)
+        out[name] = tuple(rows.agg(F.count("*"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first())
+    return out
+
+
 @query("dump_roundtrip", "SELECT provider, count(*) AS models, sum(dimensions) AS dimensions FROM models GROUP BY provider")
 def dump_roundtrip(spark, d):
+    """A store of all test tables, dumped and restored; counts and content sums of every table must agree."""
+    from docmill.errors import StoreError
     from docmill.store import Store
 
     store = Store(spark, new_folder(spark, "store"))
     store.initialize(now=_now())
-    store.commit({"models": table(spark, d, "models")})
+    documents = _docs(spark, d).withColumn("id", F.col("doc_id"))
+    chunks = table(spark, d, "chunks").withColumn("text_search_vector", ts.search_vector("contextual_text"))
+    store.commit({"documents": documents, "chunks": chunks, "embeddings": table(spark, d, "chunk_embeddings"), "models": table(spark, d, "models")})
     bundle = new_folder(spark, "bundle")
     store.dump(bundle)
     other = Store(spark, new_folder(spark, "store"))
     other.restore(bundle)
+    if (before := _content_sums(store)) != (after := _content_sums(other)):
+        raise StoreError(f"the restored store differs: {before} and {after}")
     return other.table("models").groupBy("provider").agg(F.count("*").alias("models"), F.sum("dimensions").alias("dimensions"))
 
 
