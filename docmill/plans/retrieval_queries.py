@@ -354,11 +354,18 @@ def upsert_chunks(spark, d):
 @query("upsert_embeddings", """WITH e AS (SELECT chunk_id, model, max(coalesce(len(embedding), 0)) AS n FROM chunk_embeddings GROUP BY chunk_id, model)
 SELECT chunk_id, model, CASE WHEN chunk_id % 7 = 0 OR chunk_id % 10 = 0 THEN -n ELSE n END AS n FROM e""")
 def upsert_embeddings(spark, d):
+    """Vectors replaced by their negatives; the size (negative where replaced) is given only where the upserted vector is
+    the one expected, else null."""
     n = F.coalesce(F.when(F.col("embedding").isNotNull(), F.size("embedding")), F.lit(0))
-    rows = table(spark, d, "chunk_embeddings").groupBy("chunk_id", "model").agg(F.max(n).cast("bigint").alias("n"), F.min("id").alias("id"))
-    target = rows.where("chunk_id % 10 <> 0").select("id", "chunk_id", "model", "n")
-    incoming = rows.where("chunk_id % 10 = 0 or chunk_id % 7 = 0").select("chunk_id", "model", (-F.col("n")).alias("n"))
-    return upsert(target, incoming, keys=["chunk_id", "model"], updated=["n"], now=_now()).select("chunk_id", "model", "n")
+    rows = table(spark, d, "chunk_embeddings").groupBy("chunk_id", "model").agg(F.max_by("embedding", F.struct(n, "id")).alias("embedding"), F.min("id").alias("id"))
+    replaced = F.expr("chunk_id % 10 = 0 or chunk_id % 7 = 0")
+    negative = F.transform("embedding", lambda x: -x)
+    target = rows.where("chunk_id % 10 <> 0").select("id", "chunk_id", "model", "embedding")
+    out = upsert(target, rows.where(replaced).select("chunk_id", "model", negative.alias("embedding")), keys=["chunk_id", "model"], updated=["embedding"], now=_now())
+    expected = rows.select("chunk_id", "model", F.xxhash64(F.when(replaced, negative).otherwise(F.col("embedding"))).alias("expected"))
+    size = F.coalesce(F.when(F.col("embedding").isNotNull(), F.size("embedding")), F.lit(0)).cast("bigint")
+    kept = F.xxhash64("embedding") == F.col("expected")
+    return out.join(expected, ["chunk_id", "model"]).select("chunk_id", "model", F.when(kept, F.when(replaced, -size).otherwise(size)).alias("n"))
 
 
 @query("cascade_delete", """SELECT count(*) AS chunks, (SELECT count(*) FROM chunk_embeddings e WHERE e.chunk_id NOT IN (SELECT id FROM chunks WHERE document_id % 7 = 0)) AS embeddings FROM chunks WHERE document_id IS NULL OR document_id % 7 <> 0""")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docmill import schemas
 from docmill.errors import StoreError
-from docmill.plans import catalog
+from docmill.plans import catalog, retrieval_queries
 from docmill.store import Store
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
@@ -29,3 +29,16 @@ def test_dump_roundtrip_covers_every_table(spark, monkeypatch):
     monkeypatch.setattr(Store, "restore", restore)
     with pytest.raises(StoreError):
         catalog.QUERIES["dump_roundtrip"](spark, SMALL)
+
+
+def test_upsert_embeddings_carries_vectors(spark, monkeypatch):
+    given, upsert = [], retrieval_queries.upsert
+
+    def lossy(target, incoming, **settings):  # the sizes survive, the values do not
+        given.append(dict(target.dtypes) | dict(incoming.dtypes))
+        out = upsert(target, incoming, **settings)
+        return out.withColumn("embedding", F.transform("embedding", lambda x: x + 1)) if "embedding" in out.columns else out
+
+    monkeypatch.setattr(retrieval_queries, "upsert", lossy)
+    rows = catalog.QUERIES["upsert_embeddings"](spark, SMALL)
+    assert given[0]["embedding"] == "array<float>" and rows.where("n <> 0").isEmpty()
