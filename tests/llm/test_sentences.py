@@ -46,6 +46,26 @@ def test_a_thai_heading_keeps_its_number():
     assert texts("มาตรวัดเก่า 19\n\nลบ5รายการ ใช้ไฟ 7 หน่วย\n", "th") == ["มาตรวัดเก่า 19", "ลบ5รายการ", "ใช้ไฟ 7", "หน่วย"]
 
 
+def test_ends_behind_initials_and_shortened_words():
+    for language, units in [
+        ("en", ["Follow Me.", "Then stop."]), ("en", ["That was plan B.", "We will go on."]), ("en", ["It lies in the U.S.", "The country is large."]), ("en", ["It is on Main St.", "The shop is shut."]),
+        ("en", ["The gap is 11.65 m.", "Nimbrook measures it at 67.1 °C.", "J. Hale of St. Mary agrees."]), ("de", ["Es kostet 3 Mio. Euro im Jahr.", "Es waren 4 Mrd.", "Der Rest folgt."]),
+    ]:
+        assert texts(" ".join(units), language) == units
+        assert texts(" ".join(units), None) == units
+
+
+def test_a_sentence_of_another_language_than_the_tag():
+    assert texts("It runs. Voir fig. 3 et art. 4 ici. Am 8. Mai kostet es ca. 7 Punkte. Véase la pág. 2 allí.", "en") == ["It runs.", "Voir fig. 3 et art. 4 ici.", "Am 8. Mai kostet es ca. 7 Punkte.", "Véase la pág. 2 allí."]
+
+
+def test_terminal_marks_of_other_scripts():
+    for units, between in [
+        (["ខ្ញុំទៅផ្សារ។", "គាត់នៅផ្ទះ។"], ""), (["Սա առաջինն է։", "Սա երկրորդն է։"], " "), (["ကျွန်တော်သွားသည်။", "သူနေသည်။"], " "), (["ይህ አንድ ነው።", "ይህ ሁለት ነው።"], " "), (["བོད་ཡིག།", "གཉིས་པ།"], " "), (["これは一つ｡", "二つ｡"], ""),
+    ]:
+        assert texts(between.join(units), None) == units
+
+
 def test_missing_space_and_unpaired_marks():
     assert texts("It does not.At night it runs. See not.json now", "en") == ["It does not.", "At night it runs.", "See not.json now"]
     assert texts('One " two. Three (four. Five', "en") == ['One " two.', "Three (four.", "Five"]
