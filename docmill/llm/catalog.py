@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.llm import boilerplate, bpe, cutting, neardup, packing, sentences, similar
-from docmill.session import spread, table
+from docmill.session import spread, table, written
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,14 +29,25 @@ def p1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("model", "chunk_id", "neighbour", "rank")
 
 
-def _cut(spark: SparkSession, sf_dir: str, with_text: bool) -> DataFrame:
+def _oversized(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int, int]:
     capacity, overlap = cutting.budget(table(spark, sf_dir, "budgets"), "piece")
-    items = cutting.oversized_items(table(spark, sf_dir, "sources"), table(spark, sf_dir, "chunks"), capacity)
+    return cutting.oversized_items(table(spark, sf_dir, "sources"), table(spark, sf_dir, "chunks"), capacity), capacity, overlap
+
+
+def _cut(spark: SparkSession, sf_dir: str, with_text: bool) -> DataFrame:
+    items, capacity, overlap = _oversized(spark, sf_dir)
     return cutting.cut_items(items, capacity=capacity, overlap=overlap, with_text=with_text)
 
 
+def p3_method(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item_kind, item_id, n_chars, digest, within, natural, shared): every oversized item cut and put together again."""
+    items, capacity, overlap = _oversized(spark, sf_dir)
+    items = written(items, "oversized")
+    return cutting.invariants(items, cutting.cut_items(items, capacity=capacity, overlap=overlap).where("piece is not null"), capacity, overlap)
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(item_kind, item_id, run_start): oversized items (-1) and their stretches without a boundary."""
+    """(item_kind, item_id, run_start): oversized items (-1) and their stretches without a boundary, around the cuts that met none."""
     rows = _cut(spark, sf_dir, False).where("piece is null or piece = 0")
     return rows.select("item_kind", "item_id", F.when(F.col("piece") == 0, F.lit(-1).cast("long")).otherwise(F.col("start_char")).alias("run_start"))
 
@@ -87,5 +98,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.split_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
 
 
-QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_bodies": p4_bodies, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found}
-SQL: dict[str, str] = {"p1_found": similar.FOUND_SQL, "p3_found": cutting.FOUND_SQL, "p5_found": neardup.FOUND_SQL}
+QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_method": p3_method, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_bodies": p4_bodies, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found}
+SQL: dict[str, str] = {"p1_found": similar.FOUND_SQL, "p3_method": cutting.METHOD_SQL, "p3_found": cutting.FOUND_SQL, "p5_found": neardup.FOUND_SQL}

@@ -6,7 +6,10 @@ or sentence end if one lies close, else at the nearest boundary of any kind that
 the whole capacity, else at the last boundary that still makes progress, and only where a stretch has no boundary
 at all at the capacity itself (but not before a combining mark). Landmarks depend on nothing but the text around
 them, so an edit moves the cuts next to it and the later ones meet the old landmarks again. The next piece starts
-``overlap`` characters before the cut, at the boundary nearest to that; pieces cover the item without a gap.
+``overlap`` characters before the cut, at the boundary nearest to that (half to one and a half times the overlap,
+and inside a word only where that window has no boundary). A piece that ends early, before a stretch without
+boundaries, may be shorter than that; the next one then starts at a boundary within it. Pieces cover the item
+without a gap.
 
 Boundaries are U+0020, tab, line feed, carriage return, U+3000 and the marks 。！？; a piece ends after one.
 
@@ -102,19 +105,29 @@ def cut(text: str, capacity: int, overlap: int) -> list[tuple[int, int, bool]]:
         if not natural:
             end = _unattached(c, hi, last)
         out.append((start, end, natural))
-        back = _nearest(bounds, end - overlap, end - overlap - overlap // 2, end - overlap // 2)
-        back = back if back >= 0 else _unattached(c, end - overlap, start)
-        start, last = max(back, start + 1), end
+        if end - start <= overlap + overlap // 2:  # a short head before a long stretch: as much of it as begins behind a boundary
+            back = _nearest(bounds, end - overlap, start + 1, end)
+        else:
+            back = _nearest(bounds, end - overlap, end - overlap - overlap // 2, end - overlap // 2)
+            back = back if back >= 0 else _unattached(c, end - overlap, start)
+        start, last = back, end
     out.append((start, n, True))
     return out
 
 
-def unbroken(text: str, capacity: int) -> list[int]:
-    """Starts of the maximal stretches without a boundary that are longer than the capacity."""
+def unbroken(text: str, pieces: list[tuple[int, int, bool]], capacity: int) -> list[int]:
+    """Starts of the maximal stretches without a boundary that are longer than the capacity, from an item's pieces.
+
+    Ends of consecutive pieces lie at most the capacity apart, so every such stretch has an end inside, and that end is
+    at no boundary. Only stretches around such ends are measured.
+    """
+    forced = np.array([end for _, end, natural in pieces if not natural], np.int64)
+    if not len(forced):
+        return []
     c = _codes(text)
-    at = np.nonzero(_in(c, BOUNDARIES))[0]
-    starts, ends = np.concatenate([[0], at + 1]), np.concatenate([at, [len(c)]])
-    return starts[ends - starts > capacity].tolist()
+    edges = np.concatenate([[0], np.nonzero(_in(c, BOUNDARIES))[0] + 1, [len(c) + 1]])
+    k = np.unique(np.searchsorted(edges, forced, "right"))
+    return edges[k - 1][edges[k] - 1 - edges[k - 1] > capacity].tolist()
 
 
 def cut_items(items: DataFrame, *, capacity: int, overlap: int, with_text: bool = True) -> DataFrame:
@@ -131,9 +144,9 @@ def cut_items(items: DataFrame, *, capacity: int, overlap: int, with_text: bool
         for batch in batches:
             rows: list[tuple] = []
             for kind, item, text in zip(*(batch.column(x).to_pylist() for x in ("item_kind", "item_id", "text"))):
-                for n, (a, b, natural) in enumerate(cut(text, capacity, overlap)):
-                    rows.append((kind, item, n, a, b, natural, text[a:b] if with_text else None))
-                rows += [(kind, item, None, a, None, None, None) for a in unbroken(text, capacity)]
+                found = cut(text, capacity, overlap)
+                rows += [(kind, item, n, a, b, natural, text[a:b] if with_text else None) for n, (a, b, natural) in enumerate(found)]
+                rows += [(kind, item, None, a, None, None, None) for a in unbroken(text, found, capacity)]
                 if len(rows) > 5000:
                     yield _batch(rows)
                     rows = []
@@ -149,6 +162,34 @@ def cut_items(items: DataFrame, *, capacity: int, overlap: int, with_text: bool
     return big.mapInArrow(run, schema)
 
 
+def invariants(items: DataFrame, pieces: DataFrame, capacity: int, overlap: int) -> DataFrame:
+    """(item_kind, item_id, n_chars, digest, within, natural, shared) of every oversized item, from its pieces alone.
+
+    ``digest`` is the MD5 of the text put together again from the pieces; ``within``: no piece is over the capacity;
+    ``natural``: each piece but the last ends behind a boundary, or there is none in what it adds; ``shared``: each piece
+    starts behind a boundary or in an overlap without one, and shares half to one and a half times the overlap with the
+    one before, unless that one is short itself.
+    """
+    # the pieces of one item are as large as its text, which is a row of the input
+    rows = pieces.groupBy("item_kind", "item_id").agg(F.array_sort(F.collect_list(F.struct(F.col("piece").alias("n"), F.col("start_char").alias("a"), F.col("end_char").alias("b"), "natural", "text"))).alias("p"))
+    bound = "[" + "".join(f"\\x{{{ord(x):x}}}" for x in BOUNDARIES) + "]"
+    before = F.slice("p", F.lit(1), F.size("p") - 1)
+    pairs = F.arrays_zip(before.alias("x"), F.slice("p", F.lit(2), F.size("p")).alias("y"))
+    added = F.concat(F.col("p")[0]["text"], F.array_join(F.transform(pairs, lambda q: F.substring(q["y"]["text"], (q["x"]["b"] - q["y"]["a"] + 1).cast("int"), F.lit(1 << 30))), ""))
+    joined = F.forall(pairs, lambda q: (q["y"]["n"] == q["x"]["n"] + 1) & (q["y"]["a"] > q["x"]["a"]) & (q["y"]["a"] <= q["x"]["b"]) & (q["y"]["b"] > q["x"]["b"]))
+    natural = F.forall(before, lambda x: F.when(x["natural"], F.right(x["text"], F.lit(1)).rlike(bound)).otherwise(~F.right(x["text"], F.lit(capacity // 2)).rlike(bound)))
+
+    def share(q):
+        common, head = q["x"]["b"] - q["y"]["a"], q["x"]["b"] - q["x"]["a"]
+        size = common.between(overlap // 2, overlap + overlap // 2 + 32) | (head <= overlap + overlap // 2)
+        lead = F.substring(q["x"]["text"], (q["y"]["a"] - q["x"]["a"]).cast("int"), F.lit(1))
+        window = F.substring(F.right(q["x"]["text"], F.lit(overlap + overlap // 2)), 1, overlap)
+        return size & (lead.rlike(bound) | ~window.rlike(bound))
+
+    whole = rows.select("item_kind", "item_id", F.char_length(added).alias("n_chars"), F.when(joined, F.md5(added)).alias("digest"), F.forall("p", lambda x: (F.char_length(x["text"]) <= capacity) & (x["b"] - x["a"] == F.char_length(x["text"]))).alias("within"), natural.alias("natural"), F.forall(pairs, share).alias("shared"))
+    return items.select("item_kind", "item_id").join(whole, ["item_kind", "item_id"], "left")
+
+
 def oversized_items(sources: DataFrame, chunks: DataFrame, capacity: int) -> DataFrame:
     """(item_kind, item_id, text) over the capacity; the length test runs before ids are made distinct."""
     s = sources.select(F.lit("source").alias("item_kind"), F.col("source_id").alias("item_id"), F.col("content").alias("text"))
@@ -164,6 +205,14 @@ def budget(budgets: DataFrame, purpose: str) -> tuple[int, int]:
     return int(row.capacity), int(row.overlap or 0)
 
 
+METHOD_SQL = """
+WITH b AS (SELECT capacity FROM budgets WHERE purpose = 'piece' ORDER BY budget_id LIMIT 1),
+items AS (
+  SELECT 'source' AS item_kind, source_id AS item_id, content AS t FROM sources
+  UNION ALL SELECT 'chunk', id, min(text) FROM chunks GROUP BY id
+)
+SELECT item_kind, item_id, CAST(length(t) AS INT) AS n_chars, md5(t) AS digest, true AS within, true AS "natural", true AS shared FROM items, b WHERE length(t) > capacity
+"""
 FOUND_SQL = r"""
 WITH b AS (SELECT capacity FROM budgets WHERE purpose = 'piece' ORDER BY budget_id LIMIT 1),
 items AS (

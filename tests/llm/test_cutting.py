@@ -46,6 +46,31 @@ def test_an_edit_changes_only_its_neighbours():
     assert len(before - after) <= 12 and len(before) > 60
 
 
+def test_a_short_head_keeps_its_words():
+    for text in ("hello brave world " + "x" * 5000, "a b " + "y" * 900 + " c d " + "z" * 900, "w " * 30 + "q" * 700):
+        for (a, b, _), (c, _, _) in zip(cutting.cut(text, CAP, LAP), cutting.cut(text, CAP, LAP)[1:]):
+            assert text[c - 1] in cutting.BOUNDARIES or not any(x in cutting.BOUNDARIES for x in text[b - LAP * 3 // 2 : b - LAP // 2])
+    assert cutting.cut("hello brave world " + "x" * 5000, 1800, 200)[1][0] == len("hello ")
+
+
+def stretches(text, capacity):
+    out, start = [], 0
+    for n, x in enumerate(text + " "):
+        if x in cutting.BOUNDARIES:
+            if n - start > capacity:
+                out.append(start)
+            start = n + 1
+    return out
+
+
+def test_stretches_from_the_forced_cuts():
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice(["word ", "節。", "x" * rng.randint(1, 900), "👩‍👩‍👧" * rng.randint(1, 200), " ", "e\u0301" * rng.randint(1, 300)]) for _ in range(rng.randint(1, 14)))
+        if len(text) > CAP:
+            assert cutting.unbroken(text, cutting.cut(text, CAP, LAP), CAP) == stretches(text, CAP)
+
+
 def test_no_split_inside_a_character():
     text = "é" * 2000
     assert all(not cutting._attached(ord(text[a])) for a, _, _ in cutting.cut(text, 399, 41))
@@ -70,6 +95,11 @@ def test_items(spark):
         assert whole == (long if key[1] in (1, None) else dict((r[0], r[1]) for r in rows)[key[1]])
     assert {(r.item_kind, r.item_id) for r in got} == {("source", 1), ("source", 4), ("source", 6), ("source", None), ("chunk", 1)}
     assert cutting.cut_items(items.limit(0), capacity=2000, overlap=200).count() == 0
+    known = items.where("item_id is not null")
+    rows = cutting.invariants(known, cutting.cut_items(known, capacity=2000, overlap=200).where("piece is not null"), 2000, 200).collect()
+    assert len(rows) == 4 and all(r.within and r.natural and r.shared and r.digest for r in rows)
+    broken = cutting.cut_items(known, capacity=2000, overlap=200).where("piece is not null and not (piece = 1 and item_id = 4)")
+    assert [r.item_id for r in cutting.invariants(known, broken, 2000, 200).collect() if not r.digest] == [4]
 
 
 def test_budget(spark):
