@@ -93,10 +93,25 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(sizes, capacity)
 
 
+#: Capacities of ``p7_method`` that bind: documents in a container and, as a share of the token budget's square, attention.
+METHOD_DOCUMENTS, METHOD_ATTENTION = 8, 0.5
+
+
+def p7_method(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(choose, documents, whole, kept, gapless) of packing all documents under three capacities that bind, by the norm of
+    the residual and by the dot product."""
+    capacity, _ = cutting.budget(table(spark, sf_dir, "budgets"), "container")
+    limits = {"documents": METHOD_DOCUMENTS, "attention": int(METHOD_ATTENTION * capacity * capacity)}
+    sizes = written(bpe.count_tokens(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))), "sizes")
+    rows = [packing.invariants(sizes, written(packing.pack(sizes, capacity, choose=choose, **limits), "packed"), capacity, **limits).select(F.lit(choose).alias("choose"), "documents", "whole", "kept", "gapless") for choose in ("residual", "dot")]
+    return rows[0].unionByName(rows[1])
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, start_char, end_char) of every sentence unit."""
     return sentences.split_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
 
 
-QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_method": p3_method, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_bodies": p4_bodies, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found}
-SQL: dict[str, str] = {"p1_found": similar.FOUND_SQL, "p3_method": cutting.METHOD_SQL, "p3_found": cutting.FOUND_SQL, "p5_found": neardup.FOUND_SQL}
+P7_SQL = "SELECT choose, (SELECT count(*) FROM documents WHERE text <> '') AS documents, true AS whole, true AS kept, true AS gapless FROM (VALUES ('residual'), ('dot')) v(choose)"
+QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_method": p3_method, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_bodies": p4_bodies, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_method": p7_method, "p8_found": p8_found}
+SQL: dict[str, str] = {"p1_found": similar.FOUND_SQL, "p3_method": cutting.METHOD_SQL, "p3_found": cutting.FOUND_SQL, "p5_found": neardup.FOUND_SQL, "p7_method": P7_SQL}

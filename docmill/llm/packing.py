@@ -1,5 +1,8 @@
 """Filling fixed-capacity containers by vector best-fit (problem 7).
 
+A container has three capacities: tokens, documents and attention cost (the sum of the squared sizes). The largest item
+that fits alone is the lesser of the token capacity and the root of the attention capacity; a larger document is cut.
+
 Sizes are whole token counts up to the capacity, so the whole corpus is described by how many items there are of
 each size: at most ``capacity`` numbers, which is all the driver ever sees. The packing is planned on that
 histogram: sizes in falling order, each put where it fits best. A container has three residual capacities (tokens,
@@ -12,13 +15,14 @@ The plan says which ranks of each size go to which containers. Items get their r
 bounded hash share of one size, counted first, so a size that a third of all documents have is ranked by many
 tasks. Everything that moves is narrow (id, piece, size).
 
-Defined results: null and empty texts are in no container; a document of at most the capacity is never divided; a
+Defined results: null and empty texts are in no container; a document that fits a container alone is never divided; a
 larger one gives full pieces, each a container of its own, and one rest that is packed like a document. Repeated
 rows and null ids are items of their own. Container ids run from 0 without gaps.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,8 +94,19 @@ def plan(histogram: dict[int, int], capacity: int, *, documents: int | None = No
     return np.array(rows, np.int64).reshape(-1, 5), containers
 
 
+def largest_item(capacity: int, attention: int | None = None) -> int:
+    """The most tokens that fit a container alone."""
+    return min(capacity, math.isqrt(attention)) if attention else capacity
+
+
+def lower_bound(histogram: dict[int, int], capacity: int, *, documents: int | None = None, attention: int | None = None) -> int:
+    """Fewer containers cannot hold these items."""
+    needs = [(sum(s * n for s, n in histogram.items()), capacity), (sum(histogram.values()), documents or capacity), (sum(s * s * n for s, n in histogram.items()), attention or capacity * capacity)]
+    return max(-(-need // each) for need, each in needs)
+
+
 def items_of(sizes: DataFrame, capacity: int) -> DataFrame:
-    """(doc_id, piece, token_start, size): a document over the capacity as full pieces and a rest."""
+    """(doc_id, piece, token_start, size): a document over the capacity of one item as full pieces and a rest."""
     n = F.col("n_tokens")
     pieces = F.sequence(F.lit(0), F.floor((n - 1) / capacity).cast("int"))
     rows = sizes.where(n > 0).select("doc_id", n.cast("long").alias("n"), F.explode(pieces).alias("piece"))
@@ -102,7 +117,7 @@ def items_of(sizes: DataFrame, capacity: int) -> DataFrame:
 def pack(sizes: DataFrame, capacity: int, *, rank_block: int = RANK_BLOCK, **constraints) -> DataFrame:
     """(container_id, doc_id, piece, token_start, n_tokens) from ``sizes`` (doc_id, n_tokens)."""
     spark = sizes.sparkSession
-    items = written(items_of(sizes, capacity), "items")
+    items = written(items_of(sizes, largest_item(capacity, constraints.get("attention"))), "items")
     counts = {r["size"]: r["count"] for r in items.groupBy("size").count().collect()}  # at most capacity rows
     rows, _ = plan(counts, capacity, **constraints)
     order = np.lexsort((rows[:, 1], rows[:, 0])) if len(rows) else np.zeros(0, int)
@@ -131,3 +146,21 @@ def pack(sizes: DataFrame, capacity: int, *, rank_block: int = RANK_BLOCK, **con
     kind = sizes.schema["doc_id"].dataType.simpleString()
     rows_in = ranked.select("doc_id", "piece", "token_start", "size", (F.col("n") - 1 + F.col("skip")).cast("long").alias("rank"))
     return rows_in.mapInArrow(look_up, f"container_id long, doc_id {kind}, piece int, token_start long, n_tokens int")
+
+
+def invariants(sizes: DataFrame, packed: DataFrame, capacity: int, *, documents: int | None = None, attention: int | None = None) -> DataFrame:
+    """One row about a packing: documents, tokens, kept (no container over any of its capacities), whole (every document's
+    pieces follow each other and hold all its tokens, and one that fits is in one piece), gapless container ids."""
+    most = largest_item(capacity, attention)
+    n = F.col("n_tokens").cast("long")
+    load = packed.groupBy("container_id").agg(F.sum(n).alias("tokens"), F.count("*").alias("items"), F.sum(n * n).alias("cost"))
+    fits = (F.col("tokens") <= capacity) & (F.col("items") <= (documents or capacity)) & (F.col("cost") <= (attention or capacity * capacity))
+    kept = load.agg(F.coalesce(F.bool_and(fits), F.lit(True)).alias("kept"), (F.count("*") == F.coalesce(F.max("container_id") + 1, F.lit(0))).alias("gapless"))
+    end = F.col("token_start") + F.col("n_tokens")
+    parts = packed.groupBy("doc_id").agg(F.count("*").alias("pieces"), F.countDistinct("piece").alias("distinct"), F.max("piece").alias("last"), F.sum(n).alias("held"), F.max(end).alias("reach"), F.bool_and(F.col("token_start") == F.col("piece").cast("long") * most).alias("placed"))
+    there = sizes.where("n_tokens > 0").select("doc_id", F.col("n_tokens").cast("long").alias("tokens"))
+    both = there.join(parts, "doc_id", "full")
+    right = (F.col("held") == F.col("tokens")) & (F.col("reach") == F.col("tokens")) & (F.col("pieces") == F.col("distinct")) & (F.col("last") + 1 == F.col("pieces")) & F.col("placed") & (F.col("pieces") == F.ceil(F.col("tokens") / most))
+    whole = both.agg(F.count("*").alias("documents"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.bool_and(F.coalesce(right, F.lit(False))), F.lit(True)).alias("whole"))
+    both = whole.unionByName(kept, allowMissingColumns=True)  # a row each
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])

@@ -68,3 +68,23 @@ def test_pack(spark, rank_block):
         assert len(parts) == -(-n // 64) and [p[1] for p in parts] == [64 * k for k in range(len(parts))] and sum(p[2] for p in parts) == n
     assert 900 not in pieces and len(pieces[1]) >= 2
     assert packing.pack(spark.createDataFrame([], "doc_id long, n_tokens int"), 64).count() == 0
+
+
+@pytest.mark.parametrize("choose", ["residual", "dot"])
+def test_all_three_capacities_bind(spark, choose):
+    rng = random.Random(3)
+    sizes = spark.createDataFrame([(n, rng.choice([2, 3, rng.randint(1, 60), rng.randint(40, 300)])) for n in range(600)], "doc_id long, n_tokens int")
+    limits = {"documents": 6, "attention": 64 * 64 // 2}
+    packed = packing.pack(sizes, 64, choose=choose, **limits)
+    row = packing.invariants(sizes, packed, 64, **limits).first()
+    assert row.documents == 600 and row.whole and row.kept and row.gapless
+    loads = packed.groupBy("container_id").agg({"n_tokens": "sum", "doc_id": "count"}).collect()
+    squares = Counter()
+    for r in packed.collect():
+        squares[r.container_id] += r.n_tokens**2
+    assert max(r["count(doc_id)"] for r in loads) == 6 and max(squares.values()) > 0.97 * limits["attention"]
+    histogram = Counter(r.n_tokens for r in packed.collect())
+    assert len(loads) <= 1.15 * packing.lower_bound(histogram, 64, **limits) + 1
+    assert not packing.invariants(sizes, packed.where("piece > 0 or doc_id <> 5"), 64, **limits).first().whole
+    assert not packing.invariants(sizes, packed, 64, documents=5, attention=limits["attention"]).first().kept
+    assert packing.invariants(sizes.limit(0), packed.limit(0), 64).first().whole
