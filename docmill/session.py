@@ -9,6 +9,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the engine relies on; sizes are left to the cluster.
@@ -52,10 +54,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+_shipped_to: dict[str, object] = {}
+
+
 def ship(spark: SparkSession) -> None:
     """Sends the package to the Python workers, once for a context, so they need no copy of the repository."""
     context = spark.sparkContext
-    if getattr(context, "_docmill_shipped", False):
+    if _shipped_to.get("context") is context:
         return
     package = Path(__file__).resolve().parent
     folder = tempfile.mkdtemp(prefix="docmill-ship-")
@@ -65,7 +70,7 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(package.rglob("*.py")):
             z.write(f, Path("docmill") / f.relative_to(package))
     context.addPyFile(path)
-    context._docmill_shipped = True
+    _shipped_to["context"] = context
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -74,9 +79,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts the lineage, survives lost executors."""
+    """``df`` written once to the shared folder and read back: cuts the lineage, survives lost executors. The table is
+    deleted at exit, or by :class:`Scratch` before."""
     spark = df.sparkSession
     path = new_folder(spark, label)
+    _folders.append(path)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -84,6 +91,49 @@ def written(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+_folders: list[str] = []  # of written tables, all removed at exit
+
+
+def _delete(path: str) -> None:
+    jvm = SparkContext._jvm
+    if jvm is None:
+        return
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    context = SparkContext._active_spark_context
+    conf = context._jsc.hadoopConfiguration() if context else jvm.org.apache.hadoop.conf.Configuration()
+    at.getFileSystem(conf).delete(at, True)
+
+
+@atexit.register
+def _delete_all() -> None:
+    try:
+        while _folders:
+            _delete(_folders.pop())
+    except (Py4JError, OSError):  # the JVM has gone before; a local folder is removed as a whole
+        pass
+
+
+class Scratch:
+    """Written tables of one job. ``clear`` deletes them once what was made from them is written itself; what is left
+    (results are read when the caller acts on them) goes at exit."""
+
+    def __init__(self) -> None:
+        self._mine: list[str] = []
+
+    def written(self, df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+        before = len(_folders)
+        out = written(df, label, partition_by)
+        self._mine += _folders[before:]
+        return out
+
+    def clear(self) -> None:
+        for path in self._mine:
+            _delete(path)
+            if path in _folders:
+                _folders.remove(path)
+        self._mine = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables under ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
