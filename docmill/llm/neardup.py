@@ -10,16 +10,21 @@ a similarity of 0.7 the chance that no table collides is under 0.1 %, at 0.8 und
 minima at once keep unrelated passages apart (about s^4), so the work grows with the input.
 
 Plan: passages with the same set form a class (their sketch is equal, so they would meet in every table): one
-representative per class, by partial aggregation. The 42 keys of each representative are shuffled once as
-(key, id). Keys met by few representatives give pairs at once; keys met by more than ``block`` of them are split
-into blocks by a hash and compared block against block, each in its own task, emitting only verified pairs; no
-member is dropped. The union is made distinct, the word sets of the representatives involved are built again
-from their texts, and the exact Jaccard similarity decides (integers, no rounding).
+representative per class, by partial aggregation. The keys (64 bits) of the representatives are counted first, by
+partial aggregation, so a key that half of them have is one row of each task. Keys of 2 to ``block`` representatives
+are gathered and give pairs. Members of more crowded keys are never gathered by them; they meet again, all together,
+under the rarest of their runs of words: two sets of similarity s share at least one of the first n - ceil(s n) + 1
+runs of each, in any order common to all (here the ``FREQUENT`` most frequent ones come last), so nothing is lost and
+passages that only share a template meet no more. These runs are counted before they are gathered, too; members of a
+run that is still crowded are compared block against block of ``CROWD``, each in its own task, and only verified
+pairs leave it: that work is in proportion to the pairs of passages that really share their rarest words. The union
+is made distinct, the word sets of the representatives involved are built again from their texts, and the exact
+Jaccard similarity decides (integers, no rounding).
 
 Defined results: null, empty and short texts (under ``min_words`` words) belong to no pair and no class; an id on
 several rows counts once, and if its texts differ, with the one whose word set has the least hash; pairs are a < b. Classes of up to ``expand`` copies
 give all their pairs, larger ones give the pairs of the representative with every copy (``classes`` lists all
-members, so no link is lost); likewise between two classes.
+members, so no link is lost); likewise between two classes. ``expand=None`` gives all pairs of all copies.
 """
 
 from __future__ import annotations
@@ -29,16 +34,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.session import written
+from docmill.session import Scratch, written
 
 WIDTH, MIN_WORDS, NUMERATOR, DENOMINATOR = 3, 40, 7, 10
 BLOCKS, COORDINATES = 6, 7
-#: Representatives under one key that are paired at once; more are compared block by block.
+#: Representatives under one key that are paired at once; the members of larger ones meet again under rare words.
 BLOCK = 64
+#: Members of one block where a rare run of words is crowded, and the runs that count as frequent (16 bytes each on the driver).
+CROWD, FREQUENT = 512, 500_000
 #: Copies in a class up to which all pairs of copies are listed.
 EXPAND = 200
 #: Ids that may be broadcast (8 bytes each); beyond it the join shuffles.
@@ -114,18 +122,19 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def table_keys(sketch: np.ndarray) -> np.ndarray:
-    """(set, table) 32-bit keys: for each block and mask the kept coordinates, hashed."""
+    """(set, table) 64-bit keys: for each block and mask the number of the table and the kept coordinates, hashed."""
     mixed = _mix(sketch)
     kept = masks()
-    out = np.empty((len(sketch), BLOCKS * 7), np.int32)
+    table = _constants(BLOCKS * 7, 3)
+    out = np.empty((len(sketch), BLOCKS * 7), np.uint64)
     with np.errstate(over="ignore"):
         for block in range(BLOCKS):
             for v in range(7):
-                key = np.zeros(len(sketch), np.uint64)
+                key = np.full(len(sketch), table[block * 7 + v])
                 for i in np.nonzero(kept[v])[0]:
                     key = _mix(key + mixed[:, block * COORDINATES + i])
-                out[:, block * 7 + v] = (key >> _U(32)).astype(np.uint32).view(np.int32)
-    return out
+                out[:, block * 7 + v] = key
+    return out.view(np.int64)
 
 
 def _class_of(s: np.ndarray) -> int:
@@ -133,7 +142,7 @@ def _class_of(s: np.ndarray) -> int:
 
 
 def sketched(chunks: DataFrame, *, key: str = "id", text: str = "text", width: int = WIDTH, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, class, keys array<int>) of every long enough row; no shuffle."""
+    """(id, class, keys array<long>) of every long enough row; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _WordHash()
@@ -155,7 +164,7 @@ def sketched(chunks: DataFrame, *, key: str = "id", text: str = "text", width: i
                 )
 
     rows = chunks.where(chunks[key].isNotNull() & chunks[text].isNotNull()).select(chunks[key].cast("long").alias("id"), chunks[text].alias("t"))
-    return rows.mapInArrow(run, "id long, class long, keys array<int>")
+    return rows.mapInArrow(run, "id long, class long, keys array<long>")
 
 
 def _sets_table(chunks: DataFrame, ids: DataFrame, key: str, text: str, width: int, min_words: int) -> DataFrame:
@@ -185,43 +194,83 @@ def _similar(a: str, b: str, numerator: int, denominator: int):
     return common * denominator >= (F.size(a) + F.size(b) - common) * numerator
 
 
+def _counted(signature: DataFrame, block: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Of (rep, key): the pairs (a, b) under keys of 2 to ``block`` representatives, and the crowded keys (key, n).
+
+    Rows of crowded keys leave before the others are shuffled; where too many keys are crowded to be broadcast, the
+    join leaves them behind (and splits the partitions that they skew)."""
+    met = scratch.written(signature.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "met")
+    crowded = met.where(F.col("n") > block)
+    few = crowded.count()
+    rest = signature.join(F.broadcast(crowded.select("key")), "key", "left_anti") if 0 < few <= BROADCAST_IDS else signature
+    buckets = rest.join(met.where(F.col("n") <= block).select("key"), "key", "left_semi").groupBy("key").agg(F.array_sort(F.collect_list("rep")).alias("reps"))
+    pairs = buckets.select(F.posexplode("reps").alias("n", "a"), "reps").select("a", F.explode(F.slice("reps", F.col("n") + 2, F.lit(block))).alias("b")).distinct()
+    return scratch.written(pairs, "candidates"), crowded
+
+
+def _rarest(sets: DataFrame, block: int, numerator: int, denominator: int) -> DataFrame:
+    """(rep, key) of the runs of words under which a set meets every set similar to it."""
+    words = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    rows = words.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()  # bounded; any common order serves, this one keeps the groups small
+    order = np.argsort(rows.column("word").to_numpy())
+    shared = sets.sparkSession.sparkContext.broadcast((rows.column("word").to_numpy()[order], rows.column("n").to_numpy()[order]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, count = shared.value
+        for batch in batches:
+            lists = batch.column("words")
+            flat, offset = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+            at = np.minimum(np.searchsorted(frequent, flat), max(len(frequent) - 1, 0))
+            n = np.where(frequent[at] == flat, count[at], 0) if len(frequent) else np.zeros(len(flat), np.int64)
+            rep, key = [], []
+            for row in range(len(lists)):
+                word = flat[offset[row] : offset[row + 1]]
+                size = len(word) - -(-numerator * len(word) // denominator) + 1
+                key.append(word[np.lexsort((word, n[offset[row] : offset[row + 1]]))[:size]])
+                rep.append(np.full(size, row))
+            if rep:
+                yield pa.RecordBatch.from_arrays([batch.column("rep").take(pa.array(np.concatenate(rep))), pa.array(np.concatenate(key))], ["rep", "key"])
+
+    return sets.mapInArrow(run, "rep long, key long")
+
+
 class NearDuplicates:
     """The join's parts: ``members`` (id, rep, copies) and ``links`` between representatives (a, b)."""
 
-    def __init__(self, chunks: DataFrame, *, key: str = "id", text: str = "text", width: int = WIDTH, min_words: int = MIN_WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, block: int = BLOCK):
-        sketch = written(sketched(chunks, key=key, text=text, width=width, min_words=min_words), "sketches")
+    def __init__(self, chunks: DataFrame, *, key: str = "id", text: str = "text", width: int = WIDTH, min_words: int = MIN_WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, block: int = BLOCK, crowd: int = CROWD):
+        scratch = Scratch()
+        sketch = scratch.written(sketched(chunks, key=key, text=text, width=width, min_words=min_words), "sketches")
         # an id on several rows is in one class: its least
-        one = sketch.groupBy("id").agg(F.min("class").alias("class"))
+        one = sketch.groupBy("id").agg(F.min("class").alias("class"), F.count("*").alias("rows"))
         reps = one.groupBy("class").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-        self.members = written(one.join(reps, "class").select("id", "rep", "copies"), "members")
-        rep_keys = sketch.join(self.members.where("id = rep").select("id"), "id", "left_semi").groupBy("id").agg(F.min_by("keys", "class").alias("keys"))
-        table_key = F.shiftleft(F.col("table").cast("long"), 32).bitwiseOR(F.col("k").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-        signature = rep_keys.select(F.col("id").alias("rep"), F.posexplode("keys").alias("table", "k")).select("rep", table_key.alias("key"))
-        met = written(signature.groupBy("key").agg(F.collect_list("rep").alias("reps")).where(F.size("reps") > 1), "buckets")
-        self.links = written(self._links(met, chunks, key, text, width, min_words, numerator, denominator, block), "links")
-
-    @staticmethod
-    def _links(met: DataFrame, chunks: DataFrame, key: str, text: str, width: int, min_words: int, numerator: int, denominator: int, block: int) -> DataFrame:
-        light = met.where(F.size("reps") <= block).select(F.array_sort("reps").alias("reps"))
-        pairs = light.select(F.posexplode("reps").alias("n", "a"), "reps").select("a", F.explode(F.slice("reps", F.col("n") + 2, F.lit(block))).alias("b")).distinct()
-        pairs = written(pairs, "candidates")
-        heavy = met.where(F.size("reps") > block)
-        ids = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b"))).union(heavy.select(F.explode("reps"))).distinct()
-        sets = written(_sets_table(chunks, ids, key, text, width, min_words), "sets")
+        known = scratch.written(one.join(reps, "class").select("id", "rep", "copies", "rows"), "classes")
+        self.members = written(known.select("id", "rep", "copies"), "members")
+        stands = known.where("id = rep").select("id", "rows")
+        kept = sketch.join(F.broadcast(stands) if stands.count() <= BROADCAST_IDS else stands, "id")
+        again = kept.where("rows > 1").groupBy("id").agg(F.min_by("keys", "class").alias("keys"))
+        signature = kept.where("rows = 1").select("id", "keys").unionByName(again).select(F.col("id").alias("rep"), F.explode("keys").alias("key"))
+        pairs, crowded = _counted(signature, block, scratch)
+        ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
+        hot = None
+        if not crowded.isEmpty():
+            hot = scratch.written(signature.join(crowded.select("key"), "key", "left_semi").select("rep").distinct(), "hot")
+            ids = ids.union(hot)
+        sets = scratch.written(_sets_table(chunks, ids.distinct(), key, text, width, min_words), "sets")
+        found = None
+        if hot is not None:
+            rare = scratch.written(_rarest(sets.join(hot, "rep", "left_semi"), block, numerator, denominator), "rare")
+            more, crowded = _counted(rare, block, scratch)
+            pairs = pairs.union(more).distinct()
+            if not crowded.isEmpty():
+                found = _blockwise(rare, crowded, sets, crowd, numerator, denominator)
         a, b = sets.select(F.col("rep").alias("a"), F.col("words").alias("wa")), sets.select(F.col("rep").alias("b"), F.col("words").alias("wb"))
         links = pairs.join(a, "a").join(b, "b").where(_similar("wa", "wb", numerator, denominator)).select("a", "b")
-        if heavy.isEmpty():
-            return links
-        # every member goes to each pair of blocks that holds its own: the pairs of blocks are the tasks
-        blocks = F.ceil(F.size("reps") / block)
-        rows = heavy.select("key", blocks.alias("blocks"), F.explode("reps").alias("rep")).withColumn("own", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
-        rows = rows.select("key", "rep", "own", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("other")).join(sets, "rep")
-        lo, hi = F.least("own", "other"), F.greatest("own", "other")
-        found = rows.withColumn("lo", lo).withColumn("hi", hi).groupBy("key", "lo", "hi").applyInArrow(_compare(numerator, denominator), "a long, b long")
-        return links.union(found).distinct()
-
-    def pairs(self, expand: int = EXPAND) -> DataFrame:
+        self.links = written(links.union(found).distinct() if found is not None else links, "links")
+        scratch.clear()
+
+    def pairs(self, expand: int | None = EXPAND) -> DataFrame:
         """(a, b), a < b: every linked pair of ids, copies included (see the module's text for large classes)."""
+        expand = (1 << 62) if expand is None else expand
         few = self.members.where(F.col("copies") <= expand)
         crowd = self.members.where((F.col("copies") > expand) & (F.col("id") == F.col("rep")))
         stands = few.select("id", "rep").unionByName(crowd.select("id", "rep"))
@@ -242,23 +291,44 @@ class NearDuplicates:
         return self.members.join(degree, "rep", "left").select("id", F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
+def _blockwise(rows: DataFrame, crowded: DataFrame, sets: DataFrame, crowd: int, numerator: int, denominator: int) -> DataFrame:
+    """(a, b) of the similar pairs under crowded keys: every member goes to each pair of blocks that holds its own, and
+    the pairs of blocks are the tasks."""
+    blocks = F.ceil(F.col("n") / crowd)
+    rows = rows.join(F.broadcast(crowded) if crowded.count() <= BROADCAST_IDS else crowded, "key").select("key", "rep", blocks.cast("int").alias("blocks"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
+    rows = rows.select("key", "rep", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).join(sets, "rep")
+    rows = rows.select("key", "rep", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "words")
+    return rows.groupBy("key", "lo", "hi").applyInArrow(_compare(numerator, denominator), "a long, b long")
+
+
 def _compare(numerator: int, denominator: int):
     def run(table: pa.Table) -> pa.Table:
-        # equal (key, lo, hi) rows: own tells the block; within one block each pair once, across blocks lo x hi
-        rep = table.column("rep").to_pylist()
-        own = table.column("own").to_pylist()
+        # one (key, lo, hi): own tells the block; within one block each pair once, across blocks lo x hi
+        rep, own = table.column("rep").to_numpy(), table.column("own").to_numpy()
         low, high = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
-        sets = [np.array(w, np.int64) for w in table.column("words").to_pylist()]
-        out: list[tuple[int, int]] = []
-        for i in range(len(rep)):
-            for j in range(i):
-                if (low == high or own[i] != own[j]) and rep[i] != rep[j]:
-                    if min(len(sets[i]), len(sets[j])) * denominator < max(len(sets[i]), len(sets[j])) * numerator:
-                        continue
-                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if common * denominator >= (len(sets[i]) + len(sets[j]) - common) * numerator:
-                        out.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+        lists = table.column("words").combine_chunks()
+        size = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        start = np.cumsum(size) - size
+        flat = lists.flatten().to_numpy()
+        mine = np.nonzero(own == high)[0]
+        where = np.repeat(start[mine] - (np.cumsum(size[mine]) - size[mine]), size[mine]) + np.arange(size[mine].sum())
+        word, owner = flat[where], np.repeat(mine, size[mine])
+        order = np.argsort(word, kind="stable")
+        word, owner = word[order], owner[order]
+        a, b = [], []
+        for i in np.nonzero(own == low)[0]:
+            w = flat[start[i] : start[i] + size[i]]
+            lo, n = np.searchsorted(word, w), np.searchsorted(word, w, "right")
+            n -= lo
+            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            common = np.bincount(owner[at], minlength=len(rep))
+            j = np.nonzero(common * denominator >= (size + size[i] - common) * numerator)[0]
+            j = j[(rep[j] != rep[i]) & ((low != high) | (j > i))]
+            a.append(np.minimum(rep[j], rep[i]))
+            b.append(np.maximum(rep[j], rep[i]))
+        none = np.zeros(0, np.int64)
+        return pa.table({"a": np.concatenate(a) if a else none, "b": np.concatenate(b) if b else none})
 
     return run
 

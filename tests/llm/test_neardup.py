@@ -62,7 +62,7 @@ def test_sketches_within_the_radius_collide():
 def test_pairs_equal_brute_force(spark, block):
     texts = fixture(random.Random(block))
     texts |= {900: None, 901: "", 902: "too short", 903: texts[1], 904: texts[1].upper() + " !", 905: "é " * 60, 906: "語 " * 45}
-    near = neardup.NearDuplicates(frame(spark, texts), block=block)
+    near = neardup.NearDuplicates(frame(spark, texts), block=block, crowd=4)
     assert {tuple(r) for r in near.pairs().collect()} == brute(texts)
     # large classes: the star keeps every copy reachable
     star = {tuple(r) for r in near.pairs(expand=1).collect()}
@@ -86,5 +86,36 @@ def test_hot_copies_and_empty_table(spark):
     pairs = {tuple(r) for r in near.pairs().collect()}
     assert pairs == {(1, n) for n in range(2, 400)} | {(1, 1000)}
     assert {r.id: r.links for r in near.classes().collect()} == {n: 1 for n in range(1, 400)} | {1000: 399, 1001: 0}
+    every = {tuple(r) for r in near.pairs(expand=None).collect()}
+    assert every == set(combinations(range(1, 400), 2)) | {(n, 1000) for n in range(1, 400)}
     empty = neardup.NearDuplicates(frame(spark, texts).limit(0))
     assert empty.pairs().count() == 0 and empty.classes().count() == 0
+
+
+def test_a_template_that_half_of_all_rows_share(spark, monkeypatch):
+    """Keys of tens of thousands of members: none is gathered, and members that share the template only are not compared."""
+    rng = random.Random(11)
+    template = [rng.choice(VOCAB) for _ in range(100)]
+    texts = {}
+    for n in range(100_000):
+        own = [f"{n}x{k}" for k in range(45)]
+        texts[n] = " ".join(template + own if n % 2 else own)
+    linked = {(n, n + 200_000) for n in range(1, 100_000, 400)}
+    for n, m in linked:
+        words = texts[n].split()
+        texts[m] = " ".join(words[:120] + ["edit"] + words[121:])
+    groups = []
+    plain = neardup._blockwise
+    monkeypatch.setattr(neardup, "_blockwise", lambda *a: groups.append(a[1]) or plain(*a))
+    near = neardup.NearDuplicates(spark.createDataFrame(list(texts.items()), "id long, text string").repartition(8))
+    assert {tuple(r) for r in near.links.collect()} == linked
+    assert not groups  # no group of more than BLOCK members was left
+
+
+def test_a_crowd_of_similar_passages(spark):
+    """Thousands of distinct texts that are all similar: compared in blocks, every pair found."""
+    rng = random.Random(12)
+    base = [rng.choice(VOCAB) for _ in range(120)]
+    rows = [(n, " ".join([*base, f"tail{n}"])) for n in range(1500)]
+    near = neardup.NearDuplicates(spark.createDataFrame(rows, "id long, text string"))
+    assert near.links.count() == 1500 * 1499 // 2
