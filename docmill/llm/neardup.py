@@ -44,7 +44,7 @@ from docmill.session import Scratch, written
 WIDTH, MIN_WORDS, NUMERATOR, DENOMINATOR = 3, 40, 7, 10
 BLOCKS, COORDINATES = 6, 7
 #: Representatives under one key that are paired at once; the members of larger ones meet again under rare words.
-BLOCK = 64
+BLOCK = 16
 #: Members of one block where a rare run of words is crowded, and the runs that count as frequent (16 bytes each on the driver).
 CROWD, FREQUENT = 512, 500_000
 #: Copies in a class up to which all pairs of copies are listed.
@@ -142,7 +142,7 @@ def _class_of(s: np.ndarray) -> int:
 
 
 def sketched(chunks: DataFrame, *, key: str = "id", text: str = "text", width: int = WIDTH, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, class, keys array<long>) of every long enough row; no shuffle."""
+    """(id, class, size, keys array<long>) of every long enough row; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _WordHash()
@@ -159,12 +159,12 @@ def sketched(chunks: DataFrame, *, key: str = "id", text: str = "text", width: i
                 keys = table_keys(sketches(sets))
                 offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(kept)), pa.array([_class_of(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))],
-                    ["id", "class", "keys"],
+                    [batch.column("id").take(pa.array(kept)), pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))],
+                    ["id", "class", "size", "keys"],
                 )
 
     rows = chunks.where(chunks[key].isNotNull() & chunks[text].isNotNull()).select(chunks[key].cast("long").alias("id"), chunks[text].alias("t"))
-    return rows.mapInArrow(run, "id long, class long, keys array<long>")
+    return rows.mapInArrow(run, "id long, class long, size int, keys array<long>")
 
 
 def _sets_table(chunks: DataFrame, ids: DataFrame, key: str, text: str, width: int, min_words: int) -> DataFrame:
@@ -194,8 +194,9 @@ def _similar(a: str, b: str, numerator: int, denominator: int):
     return common * denominator >= (F.size(a) + F.size(b) - common) * numerator
 
 
-def _counted(signature: DataFrame, block: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Of (rep, key): the pairs (a, b) under keys of 2 to ``block`` representatives, and the crowded keys (key, n).
+def _counted(signature: DataFrame, block: int, numerator: int, denominator: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Of (rep, size, key): the pairs (a, b) under keys of 2 to ``block`` representatives whose sizes allow the
+    similarity, and the crowded keys (key, n).
 
     Rows of crowded keys leave before the others are shuffled; where too many keys are crowded to be broadcast, the
     join leaves them behind (and splits the partitions that they skew)."""
@@ -203,14 +204,16 @@ def _counted(signature: DataFrame, block: int, scratch: Scratch) -> tuple[DataFr
     crowded = met.where(F.col("n") > block)
     few = crowded.count()
     rest = signature.join(F.broadcast(crowded.select("key")), "key", "left_anti") if 0 < few <= BROADCAST_IDS else signature
-    buckets = rest.join(met.where(F.col("n") <= block).select("key"), "key", "left_semi").groupBy("key").agg(F.array_sort(F.collect_list("rep")).alias("reps"))
-    pairs = buckets.select(F.posexplode("reps").alias("n", "a"), "reps").select("a", F.explode(F.slice("reps", F.col("n") + 2, F.lit(block))).alias("b")).distinct()
+    buckets = rest.join(met.where(F.col("n") <= block).select("key"), "key", "left_semi").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("rep", "size"))).alias("reps"))
+    a, b = F.col("a.size"), F.col("b.size")
+    pairs = buckets.select(F.posexplode("reps").alias("n", "a"), "reps").select("a", F.explode(F.slice("reps", F.col("n") + 2, F.lit(block))).alias("b"))
+    pairs = pairs.where((F.least(a, b) * denominator >= F.greatest(a, b) * numerator)).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
     return scratch.written(pairs, "candidates"), crowded
 
 
-def _rarest(sets: DataFrame, block: int, numerator: int, denominator: int) -> DataFrame:
-    """(rep, key) of the runs of words under which a set meets every set similar to it."""
-    words = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > block)
+def _rarest(sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """(rep, size, key) of the runs of words under which a set meets every set similar to it."""
+    words = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
     rows = words.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()  # bounded; any common order serves, this one keeps the groups small
     order = np.argsort(rows.column("word").to_numpy())
     shared = sets.sparkSession.sparkContext.broadcast((rows.column("word").to_numpy()[order], rows.column("n").to_numpy()[order]))
@@ -223,15 +226,17 @@ def _rarest(sets: DataFrame, block: int, numerator: int, denominator: int) -> Da
             at = np.minimum(np.searchsorted(frequent, flat), max(len(frequent) - 1, 0))
             n = np.where(frequent[at] == flat, count[at], 0) if len(frequent) else np.zeros(len(flat), np.int64)
             rep, key = [], []
+            sizes = pa.array(np.diff(offset).astype(np.int32))
             for row in range(len(lists)):
                 word = flat[offset[row] : offset[row + 1]]
                 size = len(word) - -(-numerator * len(word) // denominator) + 1
                 key.append(word[np.lexsort((word, n[offset[row] : offset[row + 1]]))[:size]])
                 rep.append(np.full(size, row))
             if rep:
-                yield pa.RecordBatch.from_arrays([batch.column("rep").take(pa.array(np.concatenate(rep))), pa.array(np.concatenate(key))], ["rep", "key"])
+                rows = pa.array(np.concatenate(rep))
+                yield pa.RecordBatch.from_arrays([batch.column("rep").take(rows), sizes.take(rows), pa.array(np.concatenate(key))], ["rep", "size", "key"])
 
-    return sets.mapInArrow(run, "rep long, key long")
+    return sets.mapInArrow(run, "rep long, size int, key long")
 
 
 class NearDuplicates:
@@ -247,9 +252,9 @@ class NearDuplicates:
         self.members = written(known.select("id", "rep", "copies"), "members")
         stands = known.where("id = rep").select("id", "rows")
         kept = sketch.join(F.broadcast(stands) if stands.count() <= BROADCAST_IDS else stands, "id")
-        again = kept.where("rows > 1").groupBy("id").agg(F.min_by("keys", "class").alias("keys"))
-        signature = kept.where("rows = 1").select("id", "keys").unionByName(again).select(F.col("id").alias("rep"), F.explode("keys").alias("key"))
-        pairs, crowded = _counted(signature, block, scratch)
+        again = kept.where("rows > 1").groupBy("id").agg(F.min_by("size", "class").alias("size"), F.min_by("keys", "class").alias("keys"))
+        signature = kept.where("rows = 1").select("id", "size", "keys").unionByName(again).select(F.col("id").alias("rep"), "size", F.explode("keys").alias("key"))
+        pairs, crowded = _counted(signature, block, numerator, denominator, scratch)
         ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
         hot = None
         if not crowded.isEmpty():
@@ -258,8 +263,8 @@ class NearDuplicates:
         sets = scratch.written(_sets_table(chunks, ids.distinct(), key, text, width, min_words), "sets")
         found = None
         if hot is not None:
-            rare = scratch.written(_rarest(sets.join(hot, "rep", "left_semi"), block, numerator, denominator), "rare")
-            more, crowded = _counted(rare, block, scratch)
+            rare = scratch.written(_rarest(sets.join(hot, "rep", "left_semi"), numerator, denominator), "rare")
+            more, crowded = _counted(rare, block, numerator, denominator, scratch)
             pairs = pairs.union(more).distinct()
             if not crowded.isEmpty():
                 found = _blockwise(rare, crowded, sets, crowd, numerator, denominator)

@@ -58,7 +58,7 @@ def test_sketches_within_the_radius_collide():
         assert (neardup.table_keys(sketch) == neardup.table_keys(other)).any()
 
 
-@pytest.mark.parametrize("block", [64, 3])
+@pytest.mark.parametrize("block", [16, 3])
 def test_pairs_equal_brute_force(spark, block):
     texts = fixture(random.Random(block))
     texts |= {900: None, 901: "", 902: "too short", 903: texts[1], 904: texts[1].upper() + " !", 905: "é " * 60, 906: "語 " * 45}
