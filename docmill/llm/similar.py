@@ -1,17 +1,24 @@
 """The k most similar vectors of every vector, by balanced posting lists (problem 1).
 
 Centroids of a two-level k-means, fitted on a bounded sample, head posting lists of about ``list_size`` vectors.
-Dense regions get centroids in proportion, which keeps the lists balanced; a list that the sample shows to be
-larger than ``block`` is cut into blocks. A graph links every centroid to its nearest ones; it is searched in
-memory, beam by beam, from a few entry points, for a whole batch of vectors at once. A boundary vector is
-replicated to every list whose centroid is almost as near as the nearest (``replicate``), unless a list already
-taken lies nearer to that centroid than the vector does. A query visits the lists within ``probe`` times the
-nearest distance, and at least ``least_probes``. Every (list, block) is one group: a blocked matrix product, of which each query keeps its k
-best. The lists' answers are merged per query.
+Dense regions get centroids in proportion, and a cluster with over twice its share of the sample is cut in two until
+none is, which balances the lists. A graph links every centroid to its nearest ones; it is searched in memory, beam by
+beam, from a few entry points, for a whole batch of vectors at once. A boundary vector is replicated to every list
+whose centroid is almost as near as the nearest (``replicate``), unless a list already taken lies nearer to that
+centroid than the vector does. A query visits the lists within ``probe`` times the nearest distance, and at least
+``least_probes``. Where a table needs more lists than ``max_lists`` centroids can head, each of them is divided by a
+second level of up to ``fine`` centroids, fitted on what the sample's vectors differ from their list's centroid by and
+common to all lists; replication and pruning work on it in the same way, so lists keep their size up to
+``max_lists * fine`` of them (16,384 x 4,096 of 256: 1.7e10 vectors; of 1,024: 6.9e10).
+
+The assignments are written, and the lists counted. A list of more data or queries than ``block`` is cut into blocks
+by those true counts, each (list, data block, query block) is one group of at most about twice ``block`` rows: a
+blocked matrix product, of which each query keeps its k best. The groups' answers are merged per query.
 
 Every vector is indexed and compared in float32 with its own values (16-bit floats travel as such when that loses
-nothing). What is broadcast is bounded: at most ``max_lists`` centroids and their links. The sample is bounded by
-``sample_per_list * max_lists``.
+nothing); a cosine that comes close to ``at_least`` is decided in float64. What is broadcast is bounded: at most
+``max_lists`` centroids with their links and ``fine`` more. The sample is bounded by ``sample_per_list * max_lists``
+vectors and by ``sample_bytes``; it is chosen by a hash of the id alone.
 
 Defined results. A vector is usable if it has models.dimensions elements, none null or NaN and not all zero, and
 its chunk exists; of each (model, chunk) the usable row with the latest created_at, then the greater id, counts
@@ -31,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docmill.session import written
+from docmill.session import Scratch, written
 
 
 @dataclass(frozen=True)
@@ -49,7 +56,11 @@ class Settings:
     probe: float = 1.12
     probes: int = 8
     least_probes: int = 2
-    block: int = 8192
+    block: int = 4096
+    fine: int = 4096
+    fine_replicas: int = 2
+    fine_probes: int = 4
+    sample_bytes: int = 512 << 20
 
 
 #: For neighbours with a clear similarity (0.75 and more): near vectors share one of the few nearest lists.
@@ -58,6 +69,10 @@ CLEAR = Settings(list_size=1024, sample_per_list=16, probe=1.1, probes=4, least_
 WIDE = Settings(probe=1.6, probes=48, beam=64, rounds=16, least_probes=12)
 
 
+#: How near to the threshold a cosine of float32 is looked at again.
+NEAR = 4e-6
+
+
 def normal(x: np.ndarray) -> np.ndarray:
     with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
         scale = np.abs(x).max(1, keepdims=True)
@@ -83,32 +98,81 @@ def unpack(rows: list[bytes], dim: int) -> np.ndarray:
     return normal(out.view(np.float32))
 
 
+def exact_cosine(a: bytes, b: bytes, dim: int) -> float:
+    """The cosine of two packed vectors in float64."""
+    x, y = (np.frombuffer(v, np.float32) if len(v) == 4 * dim else (np.frombuffer(v, np.uint16).astype(np.uint32) << 16).view(np.float32) for v in (a, b))
+    x, y = x.astype(np.float64), y.astype(np.float64)
+    return float(x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y)))
+
+
 def _distinct(x: np.ndarray) -> np.ndarray:
     """The rows without repeats, in their order."""
     rows = np.ascontiguousarray(x + 0.0).view(np.dtype((np.void, x.itemsize * x.shape[1]))).ravel()
     return x[np.sort(np.unique(rows, return_index=True)[1])]
 
 
+def _nearest(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    return np.concatenate([(x[i : i + 8192] @ centre.T).argmax(1) for i in range(0, len(x), 8192)] or [np.zeros(0, int)])
+
+
 def _kmeans(x: np.ndarray, c: int, seed: int, rounds: int = 6) -> np.ndarray:
-    """At most ``c`` centroids, all of them distinct and in use: copies start one, and one that loses all its rows goes."""
+    """About ``c`` centroids, all of them distinct and in use: copies start one, and one that loses all its rows goes. A
+    cluster of over twice the mean size is cut in two, as often as needed."""
     rng = np.random.default_rng(seed)
     start = _distinct(x)
     centre = start[rng.choice(len(start), min(c, len(start)), replace=False)].copy()
     for _ in range(rounds):
-        near = np.concatenate([(x[i : i + 8192] @ centre.T).argmax(1) for i in range(0, len(x), 8192)])
+        near = _nearest(x, centre)
         order = np.argsort(near, kind="stable")
         used, at = np.unique(near[order], return_index=True)
         centre = normal(np.add.reduceat(x[order], at, axis=0))
-    return _distinct(centre)
+    centre = _distinct(centre)
+    most = max(4, 2 * len(x) // max(c, 1))
+    if len(centre) < 2:
+        return centre
+    near, whole = _nearest(x, centre), []
+    todo = [np.nonzero(near == k)[0] for k in range(len(centre))]
+    parts = []
+    while todo:
+        rows = todo.pop()
+        own = x[rows]
+        if len(rows) > most and len(ends := _distinct(own)) > 1:
+            pair = ends[[0, (ends @ ends[0]).argmin()]]
+            for _ in range(4):
+                side = (own @ pair.T).argmax(1)
+                if side.min() == side.max():
+                    break
+                pair = normal(np.stack([own[side == 0].sum(0), own[side == 1].sum(0)]))
+            if side.min() != side.max():
+                todo += [rows[side == 0], rows[side == 1]]
+                continue
+        if len(rows):
+            parts.append(normal(own.sum(0, keepdims=True)))
+    whole = np.concatenate(parts)
+    return _distinct(whole[whole.any(1)])
+
+
+def _plain_kmeans(x: np.ndarray, c: int, seed: int, rounds: int = 6) -> np.ndarray:
+    """Centroids of vectors of any length, by squared distance."""
+    rng = np.random.default_rng(seed)
+    centre = x[rng.choice(len(x), min(c, len(x)), replace=False)].copy()
+    for _ in range(rounds):
+        half = (centre * centre).sum(1) / 2
+        near = np.concatenate([(x[i : i + 8192] @ centre.T - half).argmax(1) for i in range(0, len(x), 8192)])
+        order = np.argsort(near, kind="stable")
+        used, at, n = np.unique(near[order], return_index=True, return_counts=True)
+        centre = np.add.reduceat(x[order], at, axis=0) / n[:, None].astype(np.float32)
+    return centre
 
 
 class Lists:
-    """Centroids, their graph and the number of blocks of each list, for one model."""
+    """Centroids and their graph, and the second level of a table that needs one, for one model."""
 
     def __init__(self, sample: np.ndarray, count: int, s: Settings, seed: int = 7):
-        want = int(max(1, min(-(-count // s.list_size), s.max_lists, max(1, len(sample)))))
+        needed = max(1, -(-count // s.list_size))
+        want = int(max(1, min(needed, s.max_lists, max(1, len(sample)))))
         top = _kmeans(sample, max(1, round(want**0.5)), seed)
-        near = np.concatenate([(sample[i : i + 8192] @ top.T).argmax(1) for i in range(0, len(sample), 8192)])
+        near = _nearest(sample, top)
         parts = []
         for t in range(len(top)):
             own = sample[near == t]
@@ -124,9 +188,11 @@ class Lists:
         # entry points: the ones nearest to the upper level, and evenly spaced ones of every part of it
         even = np.arange(0, n, max(1, n // max(s.entries, int(8 * n**0.5))))
         self.entry = np.union1d((top @ self.centre.T).argmax(1), even).astype(np.int32)
-        first, _ = self.search(sample, s, 1)
-        held = np.bincount(first[:, 0], minlength=n) * (count / max(1, len(sample)))
-        self.blocks = np.maximum(1, np.ceil(held * 1.5 / s.block)).astype(np.int32)
+        self.fine = None
+        parts = min(s.fine, -(-needed // n))
+        if parts > 1 and needed > s.max_lists:
+            first, _ = self.search(sample, s, 1)
+            self.fine = _plain_kmeans(sample - self.centre[first[:, 0]], parts, seed)
 
     def search(self, x: np.ndarray, s: Settings, want: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``want`` nearest centroids of each row and their cosines, best first, by beam search on the graph."""
@@ -187,7 +253,33 @@ class Lists:
                     data[np.nonzero(both)[0][between > cos[both, j]], j] = False
         role = data + 2 * query
         row, place = np.nonzero(role)
-        return row, lists[row, place], role[row, place]
+        row, which, role = row, lists[row, place].astype(np.int64), role[row, place]
+        return (row, which, role) if self.fine is None else self._refined(x, row, which, role, s)
+
+    def _refined(self, x: np.ndarray, row: np.ndarray, which: np.ndarray, role: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same by the second level: each copy goes to the parts of its list that are nearest to it."""
+        want = min(max(s.fine_replicas, s.fine_probes), len(self.fine))
+        half = (self.fine * self.fine).sum(1) / 2
+        rows, lists, roles = [], [], []
+        for i in range(0, len(row), 4096):
+            r, w, o = row[i : i + 4096], which[i : i + 4096], role[i : i + 4096]
+            rest = x[r] - self.centre[w]
+            score = rest @ self.fine.T - half
+            part = np.argpartition(-score, want - 1, 1)[:, :want]
+            score = np.take_along_axis(score, part, 1)
+            order = np.argsort(-score, 1, kind="stable")
+            part, score = np.take_along_axis(part, order, 1), np.take_along_axis(score, order, 1)
+            far = np.sqrt(np.maximum(0, (rest * rest).sum(1)[:, None] - 2 * score))
+            data = (far <= s.replicate * far[:, :1] + 0.01) & (o & 1 > 0)[:, None]
+            data[:, s.fine_replicas :] = False
+            query = (far <= s.probe * far[:, :1] + 0.02) & (o & 2 > 0)[:, None]
+            query[:, s.fine_probes :] = False
+            both = data + 2 * query
+            n, place = np.nonzero(both)
+            rows.append(r[n])
+            lists.append(w[n] * len(self.fine) + part[n, place])
+            roles.append(both[n, place])
+        return tuple(np.concatenate(a) if a else np.zeros(0, np.int64) for a in (rows, lists, roles))
 
 
 def usable_vectors(embeddings: DataFrame, models: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -248,9 +340,9 @@ def fit(vectors: DataFrame, s: Settings) -> dict[int, tuple[int, Lists]]:
     out = {}
     for m in vectors.groupBy("model", "dim").count().orderBy("model").collect():  # a row for each model
         lists = min(-(-m["count"] // s.list_size), s.max_lists)
-        want = max(2048, lists * s.sample_per_list)
+        want = max(2048, min(lists * s.sample_per_list, s.sample_bytes // (4 * m.dim)))
         share = min(1.0, want / m["count"])
-        rows = vectors.where((F.col("model") == m.model) & (F.pmod(F.xxhash64("chunk_id"), F.lit(1 << 30)) < int(share * (1 << 30)))).select("chunk_id", "vec").limit(2 * want).toArrow()
+        rows = vectors.where((F.col("model") == m.model) & (F.pmod(F.xxhash64("chunk_id"), F.lit(1 << 30)) < int(share * (1 << 30)))).select("chunk_id", "vec").toArrow()
         order = np.argsort(rows.column("chunk_id").to_numpy(), kind="stable")
         sample = unpack(rows.column("vec").to_pylist(), m.dim)[order]
         if len(sample):
@@ -258,6 +350,26 @@ def fit(vectors: DataFrame, s: Settings) -> dict[int, tuple[int, Lists]]:
     return out
 
 
+def _spread_over_blocks(assigned: DataFrame, s: Settings, scratch: Scratch) -> DataFrame:
+    """(model, list, block, asked, chunk_id, role, vec) of every copy: data goes to its block of a list and to all query
+    blocks of it, a query to its query block and to all data blocks. Lists are cut by their true counts."""
+    place = assigned.select("model", "chunk_id", "vec", F.explode(F.arrays_zip("lists", "roles")).alias("p")).select("model", F.col("p.lists").alias("list"), "chunk_id", F.col("p.roles").alias("role"), "vec")
+    held = place.groupBy("model", "list").agg(F.ceil(F.count_if(F.col("role").bitwiseAND(1) > 0) / s.block).cast("int").alias("parts"), F.ceil(F.count_if(F.col("role").bitwiseAND(2) > 0) / s.block).cast("int").alias("turns"))
+    large = scratch.written(held.where("parts > 1 or turns > 1"), "large")
+    few = large.count()
+    if not few:
+        return place.withColumn("block", F.lit(0)).withColumn("asked", F.lit(0))
+    place = place.join(F.broadcast(large) if few <= 200_000 else large, ["model", "list"], "left")
+    parts, turns = F.greatest(F.coalesce("parts", F.lit(1)), F.lit(1)), F.greatest(F.coalesce("turns", F.lit(1)), F.lit(1))
+    own, turn = F.pmod(F.xxhash64("chunk_id", F.lit(1)), parts).cast("int"), F.pmod(F.xxhash64("chunk_id", F.lit(2)), turns).cast("int")
+    as_data = F.transform(F.sequence(F.lit(0), turns - 1), lambda q: F.struct(own.alias("block"), q.alias("asked"), F.lit(1).cast("tinyint").alias("role")))
+    as_query = F.transform(F.sequence(F.lit(0), parts - 1), lambda b: F.struct(b.alias("block"), turn.alias("asked"), F.lit(2).cast("tinyint").alias("role")))
+    none = F.array().cast("array<struct<block:int,asked:int,role:tinyint>>")
+    here = F.array(F.struct(F.lit(0).alias("block"), F.lit(0).alias("asked"), F.col("role")))
+    copies = F.when(F.col("parts").isNull(), here).otherwise(F.concat(F.when(F.col("role").bitwiseAND(1) > 0, as_data).otherwise(none), F.when(F.col("role").bitwiseAND(2) > 0, as_query).otherwise(none)))
+    return place.select("model", "list", "chunk_id", "vec", F.explode(copies).alias("c")).select("model", "list", "c.block", "c.asked", "chunk_id", "c.role", "vec")
+
+
 def most_similar(vectors: DataFrame, s: Settings = Settings(), *, at_least: float = -2.0, queries: str | None = None) -> DataFrame:
     """(model, chunk_id, neighbour, cosine, rank): the k nearest of each query among all vectors.
 
@@ -265,6 +377,7 @@ def most_similar(vectors: DataFrame, s: Settings = Settings(), *, at_least: floa
     they leave their list. ``queries`` is an SQL condition on chunk_id; without it every vector is a query.
     """
     spark = vectors.sparkSession
+    scratch = Scratch()
     crowd = _crowded(vectors, s.k)
     compared = without_surplus(vectors, crowd)
     index = fit(compared, s)  # on what is compared, so that surplus copies take no part of the sample and no centroids
@@ -287,29 +400,25 @@ def most_similar(vectors: DataFrame, s: Settings = Settings(), *, at_least: floa
                     row, which, role = lists.assign(unpack(part.column("vec").to_pylist(), dim), s)
                     role = np.where(ask[rows][row], role, role & 1)
                     row, which, role = row[role > 0], which[role > 0], role[role > 0]
-                    own = part.column("chunk_id").to_numpy()[row] * 2654435761 % 1048573 % lists.blocks[which]
-                    # data goes to its block, a query to all blocks of the list
-                    copies = np.where(role & 2, lists.blocks[which], 1)
-                    again = np.repeat(np.arange(len(row)), copies)
-                    block = np.arange(len(again)) - np.repeat(np.cumsum(copies) - copies, copies)
-                    block = np.where(role[again] & 2, block, own[again])
-                    role2 = np.where(block == own[again], role[again], role[again] & 2)
-                    keep = role2 > 0
-                    again, block, role2 = again[keep], block[keep], role2[keep]
+                    order = np.argsort(row, kind="stable")
+                    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(rows)))]).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(again), m, np.int64)), pa.array(which[again].astype(np.int32)), pa.array(block.astype(np.int32)), part.column("chunk_id").take(pa.array(row[again])), pa.array(role2.astype(np.int8)), part.column("vec").take(pa.array(row[again]))],
-                        ["model", "list", "block", "chunk_id", "role", "vec"],
+                        [part.column("model"), part.column("chunk_id"), part.column("vec"), pa.ListArray.from_arrays(ends, pa.array(which[order])), pa.ListArray.from_arrays(ends, pa.array(role[order].astype(np.int8)))],
+                        ["model", "chunk_id", "vec", "lists", "roles"],
                     )
 
     def compare(table: pa.Table) -> pa.Table:
         model = table.column("model")[0].as_py()
         dim = shared.value[model][0]
-        ids, at = np.unique(table.column("chunk_id").to_numpy(), return_index=True)  # a repeated row counts once
-        role = table.column("role").to_numpy()[at]
-        x = unpack(table.column("vec").take(pa.array(at)).to_pylist(), dim)
+        ids, at, same = np.unique(table.column("chunk_id").to_numpy(), return_index=True, return_inverse=True)  # a repeated row counts once
+        role = np.zeros(len(ids), np.int8)
+        np.bitwise_or.at(role, same, table.column("role").to_numpy())
+        packed = table.column("vec").take(pa.array(at)).to_pylist()
+        x = unpack(packed, dim)
         data, query = np.nonzero(role & 1)[0], np.nonzero(role & 2)[0]
         a_out, b_out, c_out = [], [], []
         live = x.any(1)
+        floor = at_least - NEAR if at_least > -1 else at_least
         for i in range(0, len(query), 1024):
             q = query[i : i + 1024]
             best_c = np.full((len(q), 0), 0, np.float32)
@@ -323,7 +432,7 @@ def most_similar(vectors: DataFrame, s: Settings = Settings(), *, at_least: floa
                 c[:, ~live[d]] = -9e6
                 c[~live[q]] = -9e6
                 if at_least > -1:
-                    if not best_c.shape[1] and c.max(initial=-9e6) < at_least * 1e6:
+                    if not best_c.shape[1] and c.max(initial=-9e6) < floor * 1e6:
                         continue
                 best_c, best_i = np.concatenate([best_c, c], 1), np.concatenate([best_i, np.broadcast_to(d, c.shape)], 1)
                 if best_c.shape[1] > s.k:
@@ -336,7 +445,11 @@ def most_similar(vectors: DataFrame, s: Settings = Settings(), *, at_least: floa
                 continue
             order = np.lexsort((best_i, -best_c), 1)[:, : s.k]
             best_c, best_i = np.take_along_axis(best_c, order, 1), np.take_along_axis(best_i, order, 1)
-            r, p = np.nonzero((best_c > -8e6) & (best_c >= at_least * 1e6))
+            take = (best_c > -8e6) & (best_c >= floor * 1e6)
+            if at_least > -1:  # what float32 cannot tell from the threshold is decided in float64
+                for r, p in zip(*np.nonzero(take & (best_c <= (at_least + NEAR) * 1e6))):
+                    take[r, p] = exact_cosine(packed[q[r]], packed[best_i[r, p]], dim) >= at_least
+            r, p = np.nonzero(take)
             a_out.append(ids[q[r]])
             b_out.append(ids[best_i[r, p]])
             c_out.append(best_c[r, p] / 1e6)
@@ -344,10 +457,11 @@ def most_similar(vectors: DataFrame, s: Settings = Settings(), *, at_least: floa
         a = join(a_out, np.int64)
         return pa.table({"model": pa.array(np.full(len(a), model, np.int64)), "chunk_id": pa.array(a), "neighbour": pa.array(join(b_out, np.int64)), "cosine": pa.array(join(c_out, np.float32))})
 
-    placed = compared.select("model", "chunk_id", "vec", asked.alias("asked")).mapInArrow(place, "model long, list int, block int, chunk_id long, role tinyint, vec binary")
-    answers = placed.groupBy("model", "list", "block").applyInArrow(compare, "model long, chunk_id long, neighbour long, cosine float")
+    assigned = scratch.written(compared.select("model", "chunk_id", "vec", asked.alias("asked")).mapInArrow(place, "model long, chunk_id long, vec binary, lists array<long>, roles array<tinyint>"), "assigned")
+    groups = _spread_over_blocks(assigned, s, scratch).groupBy("model", "list", "block", "asked")
+    answers = written(groups.applyInArrow(compare, "model long, chunk_id long, neighbour long, cosine float"), "answers")
+    scratch.clear()
     if queries is None and at_least > -1:  # what either side found holds for both
-        answers = written(answers, "answers")
         answers = answers.unionByName(answers.select("model", F.col("neighbour").alias("chunk_id"), F.col("chunk_id").alias("neighbour"), "cosine"))
     one = answers.groupBy("model", "chunk_id", "neighbour").agg(F.max("cosine").alias("cosine"))
     if crowd is not None:

@@ -123,3 +123,55 @@ def test_centres_are_distinct_and_used():
     assert len(np.unique(centre, axis=0)) == len(centre) >= 110
     assert len(np.unique((x @ centre.T).argmax(1))) >= 0.97 * len(centre)
     assert len(similar._kmeans(x[:400], 50, 7)) == 1
+
+
+def test_a_second_level_keeps_the_recall(spark):
+    vectors = clusters(1500, seed=5)
+    table = similar.usable_vectors(*tables(spark, vectors))
+    s = dataclasses.replace(SMALL, max_lists=12, fine=16, fine_probes=6, probes=10, replicas=3)
+    dim, lists = similar.fit(table, s)[1]
+    assert len(lists.centre) <= 2 * s.max_lists and len(lists.fine) > 4
+    x = similar.normal(np.array([vectors[i] for i in sorted(vectors)]))
+    row, which, role = lists.assign(x, s)
+    assert set(row[role & 1 > 0]) == set(row[role & 2 > 0]) == set(range(len(x)))  # every vector is held and asks somewhere
+    assert len(np.unique(which)) > 3 * len(lists.centre)
+    want, got = brute(vectors, 10), {}
+    for r in similar.most_similar(table, s).collect():
+        got.setdefault(r.chunk_id, set()).add(r.neighbour)
+    assert np.mean([len(got[i] & set(w)) / len(w) for i, w in want.items()]) >= 0.9
+
+
+def test_a_list_that_holds_half_of_all_vectors(spark, monkeypatch):
+    """Near copies, none of them exact: groups stay under their bound and nothing is lost."""
+    rng = np.random.default_rng(6)
+    hot = rng.normal(size=16)
+    near = {i: (hot + 1e-3 * rng.normal(size=16)).astype(np.float32) for i in range(1, 801)}
+    far = dict(enumerate(rng.normal(size=(800, 16)).astype(np.float32), 801))
+    table = similar.usable_vectors(*tables(spark, near | far))
+    s = dataclasses.replace(SMALL, list_size=64, block=40)
+    sizes, plain = [], similar._spread_over_blocks
+    monkeypatch.setattr(similar, "_spread_over_blocks", lambda *a: sizes.append(plain(*a).groupBy("model", "list", "block", "asked").agg({"*": "count"}).collect()) or plain(*a))
+    found = {(r.a, r.b) for r in similar.mutual_pairs(table, s).collect()}
+    assert max(r["count(1)"] for r in sizes[0]) <= 3.5 * s.block  # data and queries of a block, hashed
+    high = brute(far, 10, 0.75)
+    pairs = {(a, b) for a in high for b in high[a] if a < b and a in high[b]}
+    assert len(found & pairs) >= 0.98 * len(pairs)
+    assert any(a <= 800 for a, _ in found)
+
+
+def test_clusters_are_balanced():
+    rng = np.random.default_rng(8)
+    x = similar.normal(np.concatenate([rng.normal(size=(1, 16)) + 0.05 * rng.normal(size=(3000, 16)), rng.normal(size=(1000, 16))]).astype(np.float32))
+    centre = similar._kmeans(x, 40, 7)
+    assert np.bincount((x @ centre.T).argmax(1)).max() <= 3 * len(x) / 40
+
+
+def test_the_threshold_is_the_cosine_itself(spark):
+    a = np.zeros(16, np.float32)
+    a[0] = 1
+    at = lambda c: np.array([c, np.sqrt(1 - c * c)] + [0.0] * 14)
+    vectors = {1: a, 2: at(0.75 + 2e-7).astype(np.float32), 3: at(0.75 - 4e-7).astype(np.float32)}
+    exact = lambda i: float(vectors[1].astype(np.float64) @ vectors[i].astype(np.float64) / np.linalg.norm(vectors[i].astype(np.float64)))
+    assert exact(2) >= 0.75 > exact(3) > 0.7499995
+    found = {(r.a, r.b) for r in similar.mutual_pairs(similar.usable_vectors(*tables(spark, vectors)), SMALL).collect()}
+    assert found == {(1, 2), (2, 3)}
