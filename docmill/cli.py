@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import argparse
 import sys
+import time
+
+from pyspark.sql import functions as F
 
 from docmill import pipeline, status
+from docmill.config import jdbc_options, resolve
 from docmill.errors import DocmillError
+from docmill.functions import text as tx
+from docmill.operators.chunking import ChunkParameters
 from docmill.operators.embedding import DEFAULT_MODEL
 from docmill.operators.providers import provider_factory
 from docmill.session import get_session
+from docmill.sources.database import write_database
 from docmill.store import Store
 
 SETTINGS = ("refinement_prompt", "enable_refinement", "enable_reranking", "similarity_threshold", "max_chunks", "max_tokens_in_context", "refinement_questions_count")
@@ -28,15 +35,19 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(x)
         for k, v in options.items():
             c.add_argument(f"--{k.replace('_', '-')}", **({"action": "store_true"} if v is bool else {"default": v}))
+        for name in ("content_dir", "store"):  # may also stand behind the command
+            c.add_argument(f"--{name.replace('_', '-')}", default=argparse.SUPPRESS)
         return c
 
     command("ingest", "source", force=bool, dry_run=bool)
-    context = {"context": bool, "llm_url": None, "llm_model": None}
-    command("chunk", pattern=None, force=bool, dry_run=bool, **context)
+    context = {"context": bool, "skip_context": bool, "local_context": bool, "llm_provider": None, "openai_url": None, "watsonx_url": None, "context_model": None, "context_limit": None}
+    facts = {"title": None, "description": None, "username": None, "note": None}
+    connection = {"host": None, "port": None, "db": None, "user": None, "password": None}
+    command("chunk", pattern=None, tokenizer_file=None, force=bool, dry_run=bool, **context)
     command("embed", pattern=None, model=DEFAULT_MODEL, force=bool, dry_run=bool)
-    command("load", pattern=None, model=DEFAULT_MODEL, force=bool, prune=bool, title=None, description=None, user=None, note=None)
+    command("load", pattern=None, model=DEFAULT_MODEL, force=bool, prune=bool, **facts, **connection)
     command("db-status")
-    command("db-dump", "target")
+    command("db-dump", "target").add_argument("--database", action="store_true", help="also into the configured database")
     command("db-restore", "source")
     command("audit", pattern=None, model=DEFAULT_MODEL)
     command("config", **{s: None for s in SETTINGS})
@@ -45,14 +56,14 @@ def parser() -> argparse.ArgumentParser:
     command("db-start")
     command("db-stop")
     command("db-destroy", yes=bool)
-    command("db-logs")
-    command("pipeline", "source", model=DEFAULT_MODEL, dump=None, force=bool, **context)
+    command("db-logs", follow=bool)
+    command("pipeline", "source", model=DEFAULT_MODEL, output_file="docmill_dump", force=bool, **facts, **context)
     return p
 
 
 def _audit(content: pipeline.Content, args) -> bool:
     sources = pipeline.matching(content.read("ingested", pipeline.INGESTED).where("error is null"), args.pattern)
-    chunked = pipeline.matching(content.read("chunked", pipeline.CHUNKED), args.pattern)
+    chunked = pipeline.matching(content.read("chunked", pipeline.CHUNKED).where("error is null"), args.pattern)
     embedded = pipeline.matching(content.read("embedded", pipeline.EMBEDDED), args.pattern)
     meta = sources.selectExpr("doc_path", "get_json_object(meta, '$.metadata_version') AS metadata_version")
     messages = status.audit_messages(sources, chunked, embedded, meta, model=args.model)
@@ -63,7 +74,27 @@ def _audit(content: pipeline.Content, args) -> bool:
 
 
 def _provider(args):
-    return provider_factory(skip_context=not args.context, url=args.llm_url, model=args.llm_model, local=args.context and not args.llm_url)
+    asked = args.context or args.local_context or args.llm_provider or args.openai_url or args.watsonx_url
+    limit = int(args.context_limit) if args.context_limit else None
+    return provider_factory(skip_context=args.skip_context or not asked, provider=args.llm_provider, url=args.openai_url, watsonx_url=args.watsonx_url, model=args.context_model, limit=limit, local=args.local_context)
+
+
+def _facts(args) -> dict:
+    return {"title": args.title, "description": args.description, "user": args.username, "note": args.note}
+
+
+def _follow(store: Store, seconds: float = 2.0, rounds: int | None = None) -> None:
+    """Shows changes as they are made, until interrupted."""
+    last = 0
+    while rounds is None or rounds > 0:
+        fresh = store.table("schema_changes").where(F.col("id") > last).orderBy("id").select("id", status.change_text().alias("change")).collect()
+        for row in fresh:
+            print(row.change)
+            last = row.id
+        if rounds is not None:
+            rounds -= 1
+        if rounds != 0:
+            time.sleep(seconds)
 
 
 def execute(args: argparse.Namespace, spark=None) -> int:
@@ -73,17 +104,26 @@ def execute(args: argparse.Namespace, spark=None) -> int:
     if c == "ingest":
         out = pipeline.ingest(spark, args.source, content, force=args.force, dry_run=args.dry_run)
     elif c == "chunk":
-        out = pipeline.generate_chunks(content, pattern=args.pattern, provider=_provider(args), force=args.force, dry_run=args.dry_run)
+        out = pipeline.generate_chunks(content, pattern=args.pattern, parameters=ChunkParameters(tokenizer_file=args.tokenizer_file), provider=_provider(args), force=args.force, dry_run=args.dry_run)
     elif c == "embed":
         out = pipeline.generate_embeddings(content, model=args.model, pattern=args.pattern, force=args.force, dry_run=args.dry_run)
     elif c == "load":
-        out = pipeline.load_content(content, store, model=args.model, pattern=args.pattern, force=args.force, prune=args.prune, title=args.title, description=args.description, user=args.user, note=args.note)
+        out = pipeline.load_content(content, store, model=args.model, pattern=args.pattern, force=args.force, prune=args.prune, **_facts(args))
+        given = {"host": args.host, "port": args.port, "database": args.db, "user": args.user, "password": args.password}
+        if any(given.values()):
+            write_database(store, jdbc_options(resolve() | {k: v for k, v in given.items() if v}))
     elif c == "pipeline":
-        out = pipeline.run(spark, args.source, content, store, model=args.model, dump=args.dump, provider=_provider(args), force=args.force)
+        out = pipeline.run(spark, args.source, content, store, model=args.model, dump=args.output_file, provider=_provider(args), force=args.force, **_facts(args))
     elif c == "db-status":
         for name, value in status.status(store).items():
             print(f"{name}:")
-            value.show(20, False) if hasattr(value, "show") else print(value)
+            if name == "changes":
+                for row in value.orderBy("id").select(status.change_text().alias("change")).collect():
+                    print(row.change)
+            elif name == "bytes":
+                print(spark.range(1).select(tx.pretty_size(F.lit(value))).first()[0])
+            else:
+                value.show(20, False) if hasattr(value, "show") else print(value)
         return 0
     elif c == "audit":
         return 0 if _audit(content, args) else 1
@@ -94,6 +134,8 @@ def execute(args: argparse.Namespace, spark=None) -> int:
         out = args.target
     elif c == "db-dump":
         out = store.dump(args.target)
+        if args.database:
+            write_database(store, jdbc_options(resolve()))
     elif c == "db-restore":
         out = store.restore(args.source)
     elif c == "db-start":
@@ -101,6 +143,9 @@ def execute(args: argparse.Namespace, spark=None) -> int:
     elif c == "db-destroy":
         store.drop(confirm=args.yes)
         out = "destroyed"
+    elif c == "db-logs" and args.follow:
+        _follow(store)
+        return 0
     elif c == "db-logs":
         store.table("schema_changes").orderBy("id").select(status.change_text().alias("change")).show(1000, False)
         return 0

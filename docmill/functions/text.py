@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docmill.schemas import CHARS_PER_TOKEN, CONTENT_TYPES, INGESTIBLE_SUFFIXES
+from docmill.schemas import CHARS_PER_TOKEN, CONTENT_TYPES, GUESSED_TYPES, INGESTIBLE_SUFFIXES
 
 
 def _c(x: Column | str) -> Column:
@@ -24,15 +24,39 @@ def is_ingestible(path: Column | str) -> Column:
     return suffix(path).isin(*INGESTIBLE_SUFFIXES)
 
 
-def content_type(path: Column | str) -> Column:
-    """MIME type by suffix, application/octet-stream for unknown ones."""
+def _by_suffix(path: Column | str, kinds: dict[str, str]) -> Column:
     s = suffix(path)
     out = F.lit("application/octet-stream")
-    for ending, kind in CONTENT_TYPES.items():
+    for ending, kind in kinds.items():
         out = F.when(s == ending, kind).otherwise(out)
     return out
 
 
+def content_type(path: Column | str) -> Column:
+    """Type of a stored document by suffix, application/octet-stream for unknown ones."""
+    return _by_suffix(path, CONTENT_TYPES)
+
+
+def guessed_type(path: Column | str) -> Column:
+    """Media type of a source file by suffix, with all that is ingested."""
+    return _by_suffix(path, GUESSED_TYPES)
+
+
+def pretty_size(size: Column | str) -> Column:
+    """A number of bytes as shown: below ten units of the next size in the smaller one, rounded half up."""
+    n = F.abs(_c(size).cast("long"))
+    sign = F.when(_c(size) < 0, F.lit("-")).otherwise(F.lit(""))
+    out, scale = None, 1
+    steps = ["bytes", "kB", "MB", "GB", "TB", "PB"]
+    for k, unit in enumerate(steps):
+        shown = F.floor((n + scale // 2) / F.lit(scale)) if k else n
+        text = F.concat(sign, shown.cast("string"), F.lit(f" {unit}"))
+        fits = (shown < 10240) if unit != steps[-1] else F.lit(True)
+        out = F.when(fits, text) if out is None else out.when(fits, text)
+        scale *= 1024
+    return out
+
+
 def stem(path: Column | str) -> Column:
     """The path without the last suffix (a dot-file keeps its name)."""
     return F.regexp_replace(_c(path), r"(?<=[^/])\.[^./]*$", "")

@@ -6,8 +6,12 @@ from __future__ import annotations
 import importlib
 import json
 import os
+import time
+import urllib.error
+import urllib.parse
 import urllib.request
 from collections.abc import Callable
+from dataclasses import asdict, dataclass
 from typing import Protocol
 
 from docmill.errors import ConfigurationError
@@ -15,6 +19,8 @@ from docmill.functions.text import pack_words
 from docmill.schemas import CHARS_PER_TOKEN, CONTEXT_LIMITS, CONTEXT_SHARE, DEFAULT_CONTEXT_LIMIT
 
 SUMMARY_RESERVE = 600
+#: Tries of a request and the wait before the second, doubled each time.
+TRIES, WAIT = 4, 1.0
 
 
 class ContextProvider(Protocol):
@@ -95,14 +101,32 @@ def messages(document: str, chunk: str) -> list[dict]:
     ]
 
 
+def retried(call: Callable[[], dict], *, tries: int = TRIES, wait: float = WAIT, sleep: Callable[[float], None] = time.sleep) -> dict:
+    """The answer of a request that is made again after time-outs, broken connections, 429 and errors of the server."""
+    for n in range(tries):
+        try:
+            return call()
+        except urllib.error.HTTPError as e:
+            if n + 1 == tries or (e.code < 500 and e.code != 429):
+                raise
+        except OSError:  # URLError, time-outs, resets
+            if n + 1 == tries:
+                raise
+        sleep(wait * 2**n)
+    raise AssertionError("unreachable")
+
+
 class ChatProvider(Session):
     """A server with the public chat-completions interface; made on the executors, one per task."""
 
-    def __init__(self, url: str, model: str, *, key: str | None = None, limit: int | None = None, timeout: float = 60.0, post: Callable[[str, dict, dict], dict] | None = None):
+    #: Requests in flight for one document.
+    parallel = 8
+
+    def __init__(self, url: str, model: str, *, key: str | None = None, limit: int | None = None, timeout: float = 60.0, post: Callable[[str, dict, dict], dict] | None = None, wait: float = WAIT):
         if not url or not model:
             raise ConfigurationError("a chat provider needs a URL and a model")
         super().__init__(context_limit(model, limit))
-        self.url, self.model, self.key, self.timeout = url.rstrip("/"), model, key or os.environ.get("LLM_API_KEY"), timeout
+        self.url, self.model, self.key, self.timeout, self.wait = url.rstrip("/"), model, key or os.environ.get("LLM_API_KEY"), timeout, wait
         self.post = post or self._post
 
     def _post(self, url: str, body: dict, headers: dict) -> dict:
@@ -110,9 +134,12 @@ class ChatProvider(Session):
         with urllib.request.urlopen(request, timeout=self.timeout) as answer:
             return json.load(answer)
 
-    def _ask(self, turns: list[dict], most: int) -> str:
+    def _request(self, turns: list[dict], most: int) -> tuple[str, dict, dict]:
         headers = {"Authorization": f"Bearer {self.key}"} if self.key else {}
-        got = self.post(f"{self.url}/v1/chat/completions", {"model": self.model, "messages": turns, "temperature": 0.3, "max_tokens": most}, headers)
+        return f"{self.url}/v1/chat/completions", {"model": self.model, "messages": turns, "temperature": 0.3, "max_tokens": most}, headers
+
+    def _ask(self, turns: list[dict], most: int) -> str:
+        got = retried(lambda: self.post(*self._request(turns, most)), wait=self.wait)
         return got["choices"][0]["message"]["content"].strip()
 
     def summarize(self, text: str) -> str:
@@ -122,15 +149,75 @@ class ChatProvider(Session):
         return self._ask(messages(self.document, chunk), 200)
 
 
-def provider_factory(*, skip_context: bool = True, url: str | None = None, model: str | None = None, limit: int | None = None, local: bool = False) -> Callable[[], Session] | None:
-    """A factory that tasks call; None if contexts are switched off. An unclear choice is an error."""
+class ProjectChatProvider(ChatProvider):
+    """A hosted service whose chat interface takes a project and a token that is bought with an API key (the public
+    text-chat interface of watsonx.ai). Key and project come from WATSONX_API_KEY and WATSONX_PROJECT_ID unless given."""
+
+    #: Address of the token service and version of the interface (fixed values).
+    TOKENS, VERSION = "https://iam.cloud.ibm.com/identity/token", "2024-10-08"
+
+    def __init__(self, url: str, model: str, *, key: str | None = None, project: str | None = None, buy: Callable[[str], dict] | None = None, clock: Callable[[], float] = time.time, **settings):
+        key, project = key or os.environ.get("WATSONX_API_KEY"), project or os.environ.get("WATSONX_PROJECT_ID")
+        if not key or not project:
+            raise ConfigurationError("the provider needs WATSONX_API_KEY and WATSONX_PROJECT_ID")
+        super().__init__(url, model, key=key, **settings)
+        self.project, self.buy, self.clock = project, buy or self._buy, clock
+        self._token, self._until = "", 0.0
+
+    def _buy(self, key: str) -> dict:
+        form = urllib.parse.urlencode({"grant_type": "urn:ibm:params:oauth:grant-type:apikey", "apikey": key}).encode()
+        with urllib.request.urlopen(urllib.request.Request(self.TOKENS, form), timeout=self.timeout) as answer:
+            return json.load(answer)
+
+    def _request(self, turns: list[dict], most: int) -> tuple[str, dict, dict]:
+        if self.clock() > self._until - 60:
+            got = retried(lambda: self.buy(self.key), wait=self.wait)
+            self._token, self._until = got["access_token"], self.clock() + float(got.get("expires_in", 3600))
+        body = {"model_id": self.model, "project_id": self.project, "messages": turns, "temperature": 0.3, "max_tokens": most}
+        return f"{self.url}/ml/v1/text/chat?version={self.VERSION}", body, {"Authorization": f"Bearer {self._token}"}
+
+
+@dataclass(frozen=True)
+class Contexts:
+    """What makes contexts: called by tasks, it gives a provider. Its description is part of the chunking parameters, so
+    chunks are made again when it changes."""
+
+    provider: str
+    model: str | None = None
+    endpoint: str | None = None
+    context_limit_override: int | None = None
+
+    def __call__(self) -> Session:
+        if self.provider == "local":
+            return LocalContext(self.context_limit_override)
+        kind = ProjectChatProvider if self.provider == "watsonx" else ChatProvider
+        return kind(self.endpoint or "", self.model or "", limit=self.context_limit_override)
+
+    def description(self) -> dict:
+        return {k: v for k, v in asdict(self).items() if v is not None}
+
+
+#: Defaults of contexts (fixed values of the command line).
+DEFAULT_URL, DEFAULT_CONTEXT_MODEL = "http://localhost:11434", "qwen2.5:7b-instruct"
+
+
+def provider_factory(*, skip_context: bool = True, provider: str | None = None, url: str | None = None, watsonx_url: str | None = None, model: str | None = None, limit: int | None = None, local: bool = False) -> Contexts | None:
+    """What tasks call for a provider; None if contexts are switched off. The provider follows from the URL given; an
+    unclear choice is an error."""
     if skip_context:
         return None
     if local:
-        return lambda: LocalContext(limit)
-    if not url or not model:
-        raise ConfigurationError("contexts need a provider: give a URL and a model")
-    return lambda: ChatProvider(url, model, limit=limit)
+        return Contexts("local", context_limit_override=limit)
+    if url and watsonx_url:
+        raise ConfigurationError("two URLs are given; which provider is meant?")
+    kind = {"openai": "openai_compatible", None: "watsonx" if watsonx_url else "openai_compatible"}.get(provider, provider)
+    if kind not in ("openai_compatible", "watsonx"):
+        raise ConfigurationError(f"unknown provider {provider}: openai or watsonx")
+    if (kind == "watsonx") != bool(watsonx_url) and (watsonx_url or kind == "watsonx"):
+        raise ConfigurationError("provider and URL do not belong together")
+    if kind == "openai_compatible" and not url and not provider:
+        raise ConfigurationError("contexts need a provider: give a URL or name one")
+    return Contexts(kind, model or DEFAULT_CONTEXT_MODEL, watsonx_url or url or DEFAULT_URL, limit)
 
 
 class FunctionProvider(Session):

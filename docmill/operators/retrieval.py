@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from docmill.functions import textsearch as ts
 from docmill.functions import vectors as vx
 from docmill.functions.text import estimate_tokens
-from docmill.operators.embedding import DEFAULT_MODEL, hashing_provider, model_info
+from docmill.operators.embedding import DEFAULT_MODEL, model_info, provider_of
 
 #: Ranks of each list that enter the fusion.
 DEPTH = 100
@@ -65,7 +65,7 @@ def search(store, query: str, *, model: str = DEFAULT_MODEL, encode=None, rerank
     settings = store.table("rag_settings").first()
     get = lambda name: getattr(settings, name) if settings is not None else None
     _, dimensions, _ = model_info(model)
-    vector = [float(x) for x in (encode or hashing_provider(dimensions))([query])[0]]
+    vector = [float(x) for x in (encode or provider_of(model)(dimensions))([query])[0]]
     row = store.table("models").where(F.col("name") == model).first()
     embeddings = store.table("embeddings").where(F.col("model") == (row.id if row else -1))
     chunks = store.table("chunks")

@@ -43,10 +43,13 @@ def embeddings_stale(chunks_hash: Column | str, stored_hash: Column | str, model
     return ~exists | differs(chunks_hash, stored_hash) | differs(model, stored_model) | differs(dimensions, stored_dimensions)
 
 
-def work_list(current: DataFrame, stored: DataFrame, keys: list[str], compared: list[str], *, force: bool = False) -> DataFrame:
-    """Rows of ``current`` with no row of the same keys in ``stored`` or with one that differs in ``compared``."""
+def work_list(current: DataFrame, stored: DataFrame, keys: list[str], compared: list[str], *, force: bool = False, failed: Column | None = None) -> DataFrame:
+    """Rows of ``current`` with no row of the same keys in ``stored`` or with one that differs in ``compared``. Stored rows
+    that ``failed`` do not count, so what failed is made again by every run until it succeeds. Keys are unique in what counts."""
     if force:
         return current
+    if failed is not None:
+        stored = stored.where(~F.coalesce(failed, F.lit(False)))
     old = stored.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_old_{c}") for c in compared], F.lit(True).alias("_there"))
     same = [current[k].eqNullSafe(old[f"_k_{k}"]) for k in keys]
     stale = F.col("_there").isNull()

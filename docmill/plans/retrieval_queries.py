@@ -170,6 +170,21 @@ def load_skip(spark, d):
     return st.load_skip(docs, table(spark, d, "chunks").select("id", "document_id").distinct(), table(spark, d, "chunk_embeddings"), incoming, 1).select("path", "skip")
 
 
+@query("retry_work_list", f"""
+WITH h AS ({_HASHES}), c AS (SELECT DISTINCT document_id FROM chunks)
+SELECT d.doc_id FROM documents d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN c ON c.document_id = d.doc_id
+WHERE c.document_id IS NULL OR d.doc_id % 10 = 0 OR d.doc_id % 9 = 0 OR h.hash IS DISTINCT FROM (CASE WHEN d.doc_id % 7 = 0 THEN 'old' ELSE h.hash END)""")
+def retry_work_list(spark, d):
+    """What a stage makes again: missing, changed, and whatever failed last time, also beside a good older row."""
+    have = table(spark, d, "chunks").select(F.col("document_id").alias("doc_id")).distinct()
+    current = _docs(spark, d).select("doc_id").join(_hashes(spark, d).select("doc_id", "hash"), "doc_id", "left")
+    stored = current.join(have, "doc_id").select("doc_id", F.when(F.col("doc_id") % 7 == 0, F.lit("old")).otherwise(F.col("hash")).alias("hash"), F.when(F.col("doc_id") % 10 == 0, F.lit("TimeoutError")).alias("error"))
+    older = stored.where("doc_id % 9 = 0").select("doc_id", F.lit("older").alias("hash"), F.lit(None).cast("string").alias("error"))
+    failed = stored.where("doc_id % 9 = 0").select("doc_id", "hash", F.lit("ValueError").alias("error"))
+    stored = stored.where("doc_id % 9 <> 0").unionByName(older).unionByName(failed)
+    return st.work_list(current, stored, ["doc_id"], ["hash"], failed=F.col("error").isNotNull()).select("doc_id")
+
+
 # -- texts
 
 
@@ -280,7 +295,7 @@ def normalized(spark, d):
 
 @query("dimension_check", "SELECT e.id, len(e.embedding) AS found, m.dimensions AS expected FROM chunk_embeddings e JOIN models m ON m.id = e.model WHERE e.embedding IS NOT NULL AND len(e.embedding) <> m.dimensions")
 def dimension_check(spark, d):
-    rows = table(spark, d, "chunk_embeddings").join(F.broadcast(table(spark, d, "models").select(F.col("id").alias("model"), "dimensions").limit(10_000)), "model")
+    rows = table(spark, d, "chunk_embeddings").join(table(spark, d, "models").select(F.col("id").alias("model"), "dimensions"), "model")
     return rows.where(F.col("embedding").isNotNull() & (F.size("embedding") != F.col("dimensions"))).select("id", F.size("embedding").cast("bigint").alias("found"), F.col("dimensions").alias("expected"))
 
 
@@ -380,7 +395,9 @@ _REGISTRY = ", ".join(f"('{n}', {dims})" for n, (_, dims, _) in EMBEDDING_MODELS
 
 @query("models_insert", f"SELECT name, dimensions FROM models UNION ALL SELECT * FROM (VALUES {_REGISTRY}) r(name, dimensions) WHERE name NOT IN (SELECT name FROM models)")
 def models_insert(spark, d):
-    incoming = spark.createDataFrame([(n, v[1]) for n, v in EMBEDDING_MODELS.items()] + [(r.name, 1) for r in table(spark, d, "models").select("name").limit(100).collect()], "name string, dimensions int")
+    registry = spark.createDataFrame([(n, v[1]) for n, v in EMBEDDING_MODELS.items()], "name string, dimensions int")
+    again = table(spark, d, "models").select("name", F.lit(1).alias("dimensions"))  # known names: nothing of them may change
+    incoming = registry.join(again, "name", "left_anti").unionByName(again)
     return insert_missing(table(spark, d, "models"), incoming, keys=["name"], now=_now()).select("name", "dimensions")
 
 

@@ -78,3 +78,10 @@ CONTEXT_LIMITS = {
 DEFAULT_CONTEXT_LIMIT, CONTEXT_SHARE = 32768, 0.7
 INGESTIBLE_SUFFIXES = (".html", ".htm", ".pdf", ".docx", ".pptx", ".xlsx", ".md", ".csv")
 CONTENT_TYPES = {".json": "application/json", ".txt": "text/plain", ".md": "text/markdown", ".html": "text/html", ".pdf": "application/pdf"}
+#: types that are guessed for the files that are ingested (registered media types)
+GUESSED_TYPES = CONTENT_TYPES | {
+    ".htm": "text/html", ".csv": "text/csv",
+    ".docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
+    ".pptx": "application/vnd.openxmlformats-officedocument.presentationml.presentation",
+    ".xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
+}

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from docmill.schemas import BLOCKS
 
+#: Version of the parsers, kept with every document they made.
+PARSER_VERSION = "docmill-2"
 Block = tuple[str, int | None, str, int | None]  # kind, level, text, page
 _SKIPPED = {"script", "style", "template", "noscript"}
 _ENDS = {"p", "div", "li", "tr", "td", "th", "table", "ul", "ol", "br", "section", "article", "blockquote", "pre", "dt", "dd", "title", "body", "header", "footer", "nav", "caption"}
@@ -192,19 +194,41 @@ def parse_xlsx(data: bytes) -> tuple[str | None, list[Block]]:
     return None, blocks
 
 
+def parse_pdf(data: bytes) -> tuple[str | None, list[Block]]:
+    """Pages by whichever PDF library is installed (pypdf or pdfminer); without one an error that says so."""
+    try:
+        from pypdf import PdfReader
+    except ImportError:
+        try:
+            from pdfminer.high_level import extract_pages
+            from pdfminer.layout import LTTextContainer
+        except ImportError:
+            raise ValueError("PDF needs pypdf or pdfminer, or a parser given to register()") from None
+        pages = ["\n\n".join(x.get_text() for x in page if isinstance(x, LTTextContainer)) for page in extract_pages(io.BytesIO(data))]
+        title = None
+    else:
+        reader = PdfReader(io.BytesIO(data))
+        pages = [page.extract_text() or "" for page in reader.pages]
+        title = reader.metadata.title if reader.metadata else None
+    blocks: list[Block] = []
+    for n, text in enumerate(pages, 1):
+        blocks += [("text", None, " ".join(part.split()), n) for part in re.split(r"\n\s*\n", text) if part.strip()]
+    return title, blocks
+
+
 PARSERS: dict[str, Callable[[bytes], tuple[str | None, list[Block]]]] = {
-    ".html": parse_html, ".htm": parse_html, ".md": parse_markdown, ".csv": parse_csv, ".txt": parse_text, ".docx": parse_docx, ".pptx": parse_pptx, ".xlsx": parse_xlsx,
+    ".html": parse_html, ".htm": parse_html, ".md": parse_markdown, ".csv": parse_csv, ".txt": parse_text, ".docx": parse_docx, ".pptx": parse_pptx, ".xlsx": parse_xlsx, ".pdf": parse_pdf,
 }
 
 
 def register(suffix: str, parser: Callable[[bytes], tuple[str | None, list[Block]]]) -> None:
-    """Adds or replaces the parser of a suffix (PDF, for one, needs a library of the user's choice)."""
+    """Adds or replaces the parser of a suffix."""
     PARSERS[suffix.lower()] = parser
 
 
-def parse(name: str, data: bytes | str) -> tuple[str | None, list[Block]]:
+def parse(name: str, data: bytes | str, parsers: dict[str, Callable] | None = None) -> tuple[str | None, list[Block]]:
     ending = re.search(r"\.[^./]+$", name or "")
-    parser = PARSERS.get(ending[0].lower() if ending else "")
+    parser = (PARSERS if parsers is None else parsers).get(ending[0].lower() if ending else "")
     if parser is None:
         raise ValueError(f"no parser for {name}")
     return parser(data)
@@ -213,19 +237,18 @@ def parse(name: str, data: bytes | str) -> tuple[str | None, list[Block]]:
 def extract(files: DataFrame, *, name: str = "path", content: str = "content") -> DataFrame:
     """Adds title, blocks and error to rows of (name, content); a file that cannot be parsed keeps an error text and
     null blocks and does not disturb the others."""
-    parsers = dict(PARSERS)
+    parsers = dict(PARSERS)  # travels with the function: what is registered on the driver holds for the tasks
     kept = [f for f in files.schema.fields if f.name != content]
     schema = files.select(*[f.name for f in kept]).schema.add("title", "string").add("blocks", BLOCKS).add("error", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        PARSERS.update(parsers)
         for batch in batches:
             titles, blocks, errors = [], [], []
             for n, c in zip(batch.column(name).to_pylist(), batch.column(content).to_pylist()):
                 try:
                     if c is None:
                         raise ValueError("no content")
-                    title, found = parse(n, c)
+                    title, found = parse(n, c, parsers)
                     titles.append(title)
                     blocks.append([{"kind": k, "level": v, "text": t, "page": p} for k, v, t, p in found])
                     errors.append(None)

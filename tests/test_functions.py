@@ -67,6 +67,33 @@ def test_structural_chunks():
     assert structural_chunks(None, p) == structural_chunks([], p) == []
 
 
+def test_chunks_by_a_tokenizer(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    t = Tokenizer(models.WordLevel({"[UNK]": 0}, unk_token="[UNK]"))
+    t.pre_tokenizer = pre_tokenizers.Split("", "isolated")  # every character is a token
+    t.save(str(tmp_path / "t.json"))
+    p = ChunkParameters(max_tokens=40, tokenizer_file=str(tmp_path / "t.json"))
+    blocks = [{"kind": "heading", "level": 1, "text": "見出し", "page": None}, {"kind": "text", "level": None, "text": "語" * 130 + "。 " + "word " * 30, "page": None}]
+    got = structural_chunks(blocks, p)
+    assert all(len(c["text"]) + 4 <= 40 for c in got) and "".join(c["text"] for c in got).replace(" ", "") == ("語" * 130 + "。" + "word" * 30)
+    estimated = structural_chunks(blocks, ChunkParameters(max_tokens=40))
+    assert max(len(c["text"]) for c in estimated) > 100  # a third of the characters is far off here
+
+
+def test_sizes_and_media_types(spark):
+    frame = spark.createDataFrame([(0,), (10239,), (10240,), (10485247,), (10485248,), (5 << 30,), (123 << 40,), (-20480,), (None,)], "n long")
+    assert [r[0] for r in frame.select(tx.pretty_size("n")).collect()] == ["0 bytes", "10239 bytes", "10 kB", "10239 kB", "10 MB", "5120 MB", "123 TB", "-20 kB", None]
+    assert values(spark, ["a.DOCX", "b.csv", "c.htm", "d.x"], tx.guessed_type) == {"a.DOCX": "application/vnd.openxmlformats-officedocument.wordprocessingml.document", "b.csv": "text/csv", "c.htm": "text/html", "d.x": "application/octet-stream"}
+
+
+def test_work_list_tries_failures_again(spark):
+    current = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1"), (None, "1")], "k string, h string")
+    stored = spark.createDataFrame([("a", "1", None), ("b", "1", "failed"), ("c", "0", None), (None, "1", None)], "k string, h string, error string")
+    pick = lambda **s: {r.k for r in st.work_list(current, stored, ["k"], ["h"], **s).collect()}
+    assert pick() == {"c"} and pick(failed=F.col("error").isNotNull()) == {"b", "c"} and pick(force=True) == {"a", "b", "c", None}
+
+
 def test_extractors():
     title, blocks = parse_html("<p>a<p>b<script>x = '</p>'</script><h2>H")
     assert title == "H" and [b[:3] for b in blocks] == [("text", None, "a"), ("text", None, "b"), ("heading", 2, "H")]
@@ -94,6 +121,94 @@ def test_providers():
     assert chat.context_for("c") == "ok" and sent[0][0] == "http://h/v1/chat/completions" and [m["role"] for m in sent[0][1]["messages"]] == ["system", "user", "assistant", "user"]
 
 
+def test_requests_are_tried_again():
+    from urllib.error import HTTPError, URLError
+
+    waits, answers = [], [URLError("reset"), HTTPError("u", 503, "busy", {}, None), {"ok": 1}]
+
+    def call():
+        a = answers.pop(0)
+        if isinstance(a, Exception):
+            raise a
+        return a
+
+    assert providers.retried(call, sleep=waits.append) == {"ok": 1} and waits == [1.0, 2.0]
+    answers[:] = [HTTPError("u", 401, "no", {}, None)]
+    with pytest.raises(HTTPError):
+        providers.retried(call, sleep=waits.append)
+    answers[:] = [TimeoutError()] * 9
+    with pytest.raises(TimeoutError):
+        providers.retried(call, sleep=waits.append)
+    assert len(answers) == 5
+
+
+def test_project_provider_buys_tokens(monkeypatch):
+    monkeypatch.delenv("WATSONX_API_KEY", raising=False)
+    with pytest.raises(ConfigurationError):
+        providers.ProjectChatProvider("http://h", "m")
+    now, sent, bought = [1000.0], [], []
+    p = providers.ProjectChatProvider("http://h/", "m", key="k", project="p", clock=lambda: now[0], buy=lambda key: bought.append(key) or {"access_token": f"t{len(bought)}", "expires_in": 600}, post=lambda url, body, headers: sent.append((url, body, headers)) or {"choices": [{"message": {"content": " yes "}}]})
+    p.set_document("doc")
+    assert p.context_for("c") == "yes" == p.summarize("x")
+    now[0] += 700
+    p.context_for("c")
+    assert bought == ["k", "k"] and sent[0][0].startswith("http://h/ml/v1/text/chat?version=") and sent[0][1]["project_id"] == "p" and [s[2]["Authorization"] for s in sent] == ["Bearer t1", "Bearer t1", "Bearer t2"]
+
+
+def test_choice_of_contexts():
+    f = providers.provider_factory
+    assert f() is None and f(skip_context=False, local=True).description() == {"provider": "local"}
+    assert f(skip_context=False, url="http://h").description() == {"provider": "openai_compatible", "model": "qwen2.5:7b-instruct", "endpoint": "http://h"}
+    assert f(skip_context=False, watsonx_url="http://w", model="m", limit=9).description() == {"provider": "watsonx", "model": "m", "endpoint": "http://w", "context_limit_override": 9}
+    assert f(skip_context=False, provider="openai").endpoint == "http://localhost:11434"
+    for bad in ({}, {"provider": "watsonx"}, {"provider": "other", "url": "u"}, {"url": "u", "watsonx_url": "w"}, {"provider": "openai", "watsonx_url": "w"}):
+        with pytest.raises(ConfigurationError):
+            f(skip_context=False, **bad)
+
+
+def test_models_without_a_provider_are_refused(spark, tmp_path):
+    for model in ("ibm-granite/granite-embedding-30m-english", "intfloat/e5-small-v2"):
+        with pytest.raises(ConfigurationError):
+            embedding.embed("t", model)
+        with pytest.raises(ConfigurationError):
+            embedding.register_transformer(model, str(tmp_path))
+    (tmp_path / "model.onnx").write_text("")
+    (tmp_path / "tokenizer.json").write_text("")
+
+    class Tokens:
+        def __init__(self, text):
+            self.ids, self.attention_mask, self.type_ids = [len(text), 1], [1, 1], [0, 0]
+
+    class Tokenizer:
+        def enable_truncation(self, n):
+            self.most = n
+
+        def enable_padding(self):
+            pass
+
+        def encode_batch(self, texts):
+            return [Tokens(t[: self.most]) for t in texts]
+
+    class Input:
+        name = "input_ids"
+
+    class Session:
+        def get_inputs(self):
+            return [Input()]
+
+        def run(self, names, given):
+            ids = given["input_ids"].astype(float)
+            return [np.stack([np.stack([ids[:, 0], ids[:, 0] * 0 + 1], 1), np.ones((len(ids), 2))], 1)]
+
+    made = embedding.transformer_provider(str(tmp_path), max_tokens=3, open_session=lambda p: Session(), open_tokenizer=lambda p: Tokenizer())
+    assert np.allclose(made(2)(["a", "abcdef"]), [[2**-0.5, 2**-0.5], [0.9486833, 0.3162278]])
+    with pytest.raises(ConfigurationError):
+        made(384)(["a"])
+    assert embedding.best_device(["CPUExecutionProvider", "CUDAExecutionProvider"]) == "CUDAExecutionProvider" and embedding.best_device(["CPUExecutionProvider"]) == "CPUExecutionProvider"
+    with pytest.raises(ConfigurationError):
+        embedding.best_device(["CPUExecutionProvider"], "CUDAExecutionProvider")
+
+
 def test_embeddings(spark):
     encode = embedding.hashing_provider(384)
     a = encode(["alpha beta", "alpha beta", ""])
@@ -102,7 +217,7 @@ def test_embeddings(spark):
     assert np.allclose(got["alpha beta"], a[0]) and got[""] is None and got[None] is None
     with pytest.raises(ConfigurationError):
         embedding.model_info("none")
-    assert embedding.embedding_filename(embedding.DEFAULT_MODEL) == "gran.json"
+    assert embedding.embedding_filename(embedding.DEFAULT_MODEL) == "hash.json" and embedding.embedding_filename("ibm-granite/granite-embedding-30m-english") == "gran.json"
     f = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, [4.0, -3.0])], "id int, embedding array<float>")
     assert [(r.id, round(r.similarity, 6)) for r in vx.top_k(f, [1.0, 0.0], 5).collect()] == [(3, 0.8), (1, 0.6)]
     assert f.select(vx.normalized("embedding")).first()[0] == pytest.approx([0.6, 0.8])
