@@ -7,10 +7,14 @@ likeness to the title and to the host's name), its place and its neighbours. The
 before the article, article, frame within it, frame after it) and two transition tables, one for neighbours with
 an empty line between them. It is trained by maximum likelihood on labelled pages and decoded by Viterbi.
 
-The labelled pages are a bounded sample (``SAMPLE_PAGES``, chosen by a hash of the id) of the pages at hand, and
-labelled by ``label_page``: the title line splits top frame and article, known kinds of frame lines (consent,
-sharing, legal and so on) and what hangs on them are frame. Pages where these signs contradict each other are left
-out of training; every page is decoded by the field alone.
+Labelled pages are a table of the caller's (``labels``: source_id, line_no, is_frame), or a bounded sample
+(``SAMPLE_PAGES``, chosen by a hash of the id) that is labelled without any list of phrases, from the crawl itself: of
+every short line of every page it is counted on how many pages and hosts it recurs, whether it stands before titles and
+behind last paragraphs, is a title, a heading or a link, and whether links hang on it (``COUNTS``). From these counts
+``Lexicon`` tells topics, menu entries, list heads and other frame; the title line splits top frame and article. Pages
+where these signs contradict each other are left out of training; every page is decoded by the field alone. The most
+frequent ``LEXICON_LINES`` lines go to the driver. ``trained`` keeps the weights in the shared folder under a fingerprint
+of the table, so a table is trained on once.
 
 Defined results: null and empty content has no blocks and no rows; lines are counted at line feeds, from 0;
 repeated pages are decoded each for itself; a table with no page that can be labelled yields no frame lines.
@@ -18,9 +22,10 @@ repeated pages are decoded each for itself; a table with no page that can be lab
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,21 +33,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docmill.pointer import Pointer
+from docmill.session import shared_dir
+
+#: Version of features and training; stored weights of others are not used.
+VERSION = 2
 SAMPLE_PAGES = 2000
+#: Pages on which a line must recur to tell anything, and the lines (the most frequent ones) whose counts go to the driver.
+MIN_PAGES, LEXICON_LINES = 5, 200_000
 WIDTH = 1 << 17  # hashed features
 TOP, ARTICLE, WITHIN, AFTER = range(4)
 
-# Kinds of frame lines in the languages of the crawl, as whole lines (lower case, counters removed).
-_KINDS = {
-    "consent": r"we use cookies.*|this website stores small files.*|by continuing to browse.*|your privacy matters.*|some of our partners process.*|wir verwenden cookies.*|mit der nutzung dieser seite.*|ihre privatsphäre ist uns.*|nous utilisons des cookies.*|en poursuivant, vous acceptez.*|votre vie privée compte.*|usamos cookies para.*|al seguir navegando.*|su privacidad importa.*|当サイトは.*クッキー.*|閲覧を続けると.*|プライバシー設定を.*",
-    "button": r"accept all|reject|got it|ok|manage choices|alle akzeptieren|ablehnen|einstellungen|tout accepter|refuser|personnaliser|aceptar todo|rechazar|configurar|すべて許可|拒否|設定",
-    "share": r"print|share this page|follow us|email this article|subscribe to our newsletter|enter your address to get.*|drucken|seite teilen|newsletter abonnieren|imprimer|partager cette page|s'abonner à la lettre|imprimir|compartir esta página|suscríbase al boletín|印刷|このページを共有|メール配信に登録",
-    "side": r"(?:related articles|you may also like|most read|in this section|latest posts|tags|das könnte sie auch interessieren|meistgelesen|in diesem bereich|verwandte artikel|ähnliche beiträge|articles liés|les plus lus|dans cette rubrique|à lire aussi|artículos relacionados|lo más leído|en esta sección|le puede interesar|関連記事|この項目の一覧|よく読まれる記事|よく読まれている記事|おすすめ記事)\s?[:：]?",
-    "legal": r"privacy policy|terms of use|all rights reserved\.?|imprint|sitemap|back to top|accessibility statement|images are illustrative only\.?|the figures on this site are given without warranty\.?|datenschutz|impressum|nutzungsbedingungen|alle rechte vorbehalten\.?|alle angaben ohne gewähr\.?|nach oben|mentions légales|confidentialité|conditions d'utilisation|tous droits réservés\.?|données sans garantie\.?|haut de page|aviso legal|privacidad|condiciones de uso|todos los derechos reservados\.?|datos sin garantía\.?|volver arriba|利用規約|個人情報の取り扱い|無断転載を禁じます。|掲載値は保証されません。|サイトマップ|ページの先頭へ|©.*|.*\btel\. [0 ]+.*",
-    "top": r"skip to main content|zum inhalt springen|aller au contenu|saltar al contenido|本文へ移動|search this site|suche|rechercher|buscar|検索|a- a a\+|en \| de \| fr \| es",
-    "advert": r"(?:read also|see more|don't miss|lesen sie auch|à lire aussi|lea también|あわせて読みたい)\s?[:：].*|article continues below|advertisement|sponsored|anzeige|publicité|publicidad|広告|pr",
-}
-_KIND = regex.compile("|".join(f"(?P<{k}>{v})" for k, v in _KINDS.items()))
 _TAG = regex.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)[^<>]*>|<[^<>]*>")
 _LINK = regex.compile(r"\[([^\[\]]*)\]\([^()]*\)")
 _WORDY = regex.compile(r"[\p{L}\p{N}]")
@@ -133,76 +134,176 @@ def host_words(path: str | None) -> str:
     return host.rsplit(".", 1)[0].replace("-", " ").lower()
 
 
-def _kind(low: str) -> str | None:
-    m = _KIND.fullmatch(low)
-    return m.lastgroup if m else None
-
-
 def _joined(low: str) -> list[str]:
     parts = [p for p in _SEPARATED.split(low) if p]
     return parts if len(parts) > 1 else []
 
 
-def label_page(blocks: list[Block], title: str | None, site: str, menu: frozenset[str] = frozenset()) -> list[int] | None:
-    """States of the blocks of a page; None if the signs are missing or contradict each other. ``menu``: lines that
-    stand in the menus of several hosts."""
+def line_key(text: str) -> int:
+    """A 64-bit number of a line's text."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+#: What is counted of a line's text over the whole crawl. ``pages``: pages with it; ``before``, ``after``: occurrences before
+#: and after the title line; ``tail``: of the latter, those behind the last paragraph; ``marked``, ``head``: occurrences on
+#: pages with marked headings, and as one; ``linked``, ``link``: on pages with links, and as one; ``led``, ``leads``: those
+#: on pages with links that another line follows at once, and where that is a link; ``titles``: pages of that title.
+COUNTS = ("pages", "before", "after", "tail", "marked", "head", "linked", "link", "led", "leads", "titles")
+_SENTENCE = regex.compile(r"[.!?。！？…]$")
+_RECORD = regex.compile(r"\d{4}-\d\d-\d\d[T ]\d\d|[0-9a-f]{6,}:|```|>>>|\|")
+_LEAD = regex.compile(r"^([^:：]{3,40})\s?[:：]\s?(?=\S)")
+
+
+def _is_paragraph(b: Block) -> bool:
+    return not b.link and not b.head and b.text[:1] != "|" and len(b.text) >= (50 if _CJK.search(b.low) else 120)
+
+
+def title_at(blocks: list[Block], title: str | None) -> int:
+    """The block that is the page's title, the first of them; -1 if there is none."""
     name = (title or "").strip().lower()
-    kinds: list[str | None] = []
-    for b in blocks:
-        kind = _kind(b.low)
-        if kind is None and b.low == site:
-            kind = "site"
-        parts = _joined(b.low)
-        if kind is None and parts:
-            known = sum(_kind(_untailed(p)) is not None for p in parts)
-            if known * 2 >= len(parts):
-                kind = "legal"
-            elif name and parts[-1] == name:
-                kind = "top"
-        kinds.append(kind)
-    at = next((n for n, b in enumerate(blocks) if name and name in (b.full, b.text.lower()) and kinds[n] is None), -1)
+    return next((n for n, b in enumerate(blocks) if name and name in (b.full, b.text.lower())), -1)
+
+
+def bare(text: str) -> str:
+    """A line's text without the colon at its end."""
+    return text.rstrip(":： ") or text
+
+
+def keys_of(b: Block) -> list[int]:
+    """The texts a line is counted under: itself without counters and figures, and what leads it up to a colon."""
+    if not b.whole:
+        return []
+    out = [line_key(bare(b.whole))]
+    if m := _LEAD.match(b.whole):
+        out.append(line_key(m[1] + ":"))
+    return out
+
+
+def count_lines(pages: Iterator[tuple[str | None, str | None, str | None]]) -> dict[tuple[int, str], np.ndarray]:
+    """(line, host) -> COUNTS over some pages (path, title, content)."""
+    out: dict[tuple[int, str], np.ndarray] = {}
+    for path, title, content in pages:
+        blocks, site = blocks_of(content), host_words(path)
+        at = title_at(blocks, title)
+        marked, linked = any(b.head for b in blocks), any(b.link for b in blocks)
+        last = max((n for n, b in enumerate(blocks) if _is_paragraph(b)), default=len(blocks))
+        seen: set[int] = set()
+        for n, b in enumerate(blocks):
+            follows = linked and n + 1 < len(blocks) and not blocks[n + 1].gap
+            fact = (0, at >= 0 and n < at, at >= 0 and n > at, at >= 0 and n > max(at, last), marked, b.head > 0, linked, b.link, follows, follows and blocks[n + 1].link, 0)
+            for key in keys_of(b):
+                row = out.get((key, site))
+                if row is None:
+                    row = out[key, site] = np.zeros(len(COUNTS), np.int64)
+                row += fact
+                if key not in seen:
+                    seen.add(key)
+                    row[0] += 1
+        if title and title.strip():
+            key = line_key(_DIGITS.sub("0", _untailed(title.strip().lower())))
+            out.setdefault((key, site), np.zeros(len(COUNTS), np.int64))[-1] += 1
+    return out
+
+
+class Lexicon:
+    """Kinds of the lines that recur over the crawl, from their counts alone.
+
+    A line that recurs on ``MIN_PAGES`` pages is a ``topic`` if it is a title or a heading somewhere. Of the others a link
+    (or a line of a crawl without links) that stands before titles, and elsewhere at times without being one, is a ``menu`` entry, which counts only beside other frame; what links hang on is the
+    head of a ``list`` (a ``lead-in`` if it stands in the text only); what is mostly a link itself, stands before titles at times, or mostly there and behind last
+    paragraphs, or on one host only, is ``frame``; a short rest on several hosts, on pages where headings are marked, is an ``advert``. ``lead`` is what a line
+    with a topic behind its colon begins with.
+    """
+
+    def __init__(self, rows: dict[int, tuple]):
+        self.kinds: dict[int, str] = {}
+        for key, (hosts, *counts) in rows.items():
+            c = dict(zip(COUNTS, counts))
+            if c["titles"] or c["head"] > 0.1 * c["marked"]:
+                self.kinds[key] = "topic"
+            if c["pages"] < MIN_PAGES or key in self.kinds:
+                continue
+            total = max(1, c["before"] + c["after"])
+            edge = (c["before"] + c["tail"]) / total
+            linked = c["link"] / max(1, c["linked"])
+            if (linked >= 0.3 or not c["linked"]) and c["before"] >= (0.2 if linked < 0.98 else 0.5) * total:
+                self.kinds[key] = "menu"
+            elif c["led"] >= 3 and c["leads"] > 0.5 * c["led"] and linked <= 0.1 and hosts > 1:
+                self.kinds[key] = "list" if c["before"] >= 0.1 * total else "lead-in"
+            elif linked >= 0.6 or (c["linked"] and c["before"] >= 0.2 * total) or edge >= 0.6 or (hosts == 1 and edge >= 0.3):
+                self.kinds[key] = "frame"
+            elif hosts >= 3 and c["marked"] >= 3:
+                self.kinds[key] = "advert"
+
+    def of(self, text: str) -> str | None:
+        return self.kinds.get(line_key(bare(text)))
+
+    def kind(self, b: Block, site: str) -> str | None:
+        """The kind of a line: ``site``, ``frame``, ``list``, ``lead-in``, ``menu``, ``advert`` or None."""
+        if site and b.low == site:
+            return "site"
+        if not b.whole or b.head or _FILE.search(b.text) or _RECORD.match(b.text):
+            return None
+        if "©" in b.text:
+            return "frame"
+        kind = self.of(b.whole)
+        if kind == "topic":
+            return None
+        if kind is None and (m := _LEAD.match(b.whole)) and line_key(m[1] + ":") in self.kinds and self.of(b.whole[m.end() :]) == "topic":
+            return "advert"
+        if kind == "advert" and (_SENTENCE.search(b.whole) or b.whole[-1] in ":：" or len(b.whole) > 40 or b.bullet):
+            return None
+        if kind is None and (parts := _joined(b.low)):
+            known = [self.of(_DIGITS.sub("0", _untailed(p))) for p in parts]
+            if sum(k in ("frame", "list", "lead-in") for k in known) * 2 >= len(parts) or (sum(k in ("menu", "topic") for k in known) == len(parts) and "menu" in known):
+                return "frame"
+        return kind
+
+
+def label_page(blocks: list[Block], title: str | None, site: str, lexicon: Lexicon) -> list[int] | None:
+    """States of the blocks of a page from its title and the lines that recur; None if the signs are missing or
+    contradict each other."""
+    name = (title or "").strip().lower()
+    kinds = [lexicon.kind(b, site) for b in blocks]
+    for n, kind in enumerate(kinds):
+        if kind == "lead-in":  # a list of menu entries in the text is one that the article speaks of
+            kinds[n] = None if n + 1 < len(kinds) and kinds[n + 1] == "menu" else "list"
+    at = title_at(blocks, title)
     if at < 0:
         known = sum(k is not None for k in kinds)
-        if name and known >= 3 and "legal" in kinds and all(len(b.text) < 200 for b in blocks) and not any(b.gap and len(b.text) > 120 for b in blocks):
+        if name and known >= 3 and known * 2 >= len(blocks) and not any(_is_paragraph(b) for b in blocks):
             return [TOP] * len(blocks)  # nothing but frame
         return None
-    if any(b.text[:1] == "|" or len(b.text) > 220 or regex.match(r"\d{4}-\d\d-\d\dT", b.text) for b in blocks[:at]):
+    if any(b.text[:1] == "|" or len(b.text) > 220 or _RECORD.match(b.text) for b in blocks[:at]):
         return None  # that was not the title's first place
     states = [TOP] * at + [ARTICLE] * (len(blocks) - at)
     mode, hanging = "", 0
     for n in range(at + 1, len(blocks)):
         b, kind = blocks[n], kinds[n]
+        if kind == "menu":
+            kind = "frame" if not b.gap and states[n - 1] == WITHIN and mode != "advert" else None
         if kind:
-            states[n] = WITHIN
-            mode, hanging = kind, 0
+            states[n], mode, hanging = WITHIN, kind, 0
             continue
         if b.gap or b.head:
             mode = ""
             continue
         hanging += 1
-        if mode == "side" and not regex.match(r"[|#]", b.text):
+        if (mode == "list" and b.text[:1] != "|") or (mode == "site" and hanging <= 3):
             states[n] = WITHIN
-        elif mode == "site" and hanging <= 3:
-            states[n] = WITHIN
-    last = max((n for n, s in enumerate(states) if s == ARTICLE), default=-1)
-    # lines between the last share, side or site line and the legal lines, without an empty line, are the blurb
-    tail, legal = -1, False
+    # the last lines that hang together, from the first frame line among them that only short lines follow
+    start = len(blocks)
     for n in range(len(blocks) - 1, at, -1):
-        legal = legal or kinds[n] == "legal"
-        if legal and kinds[n] in ("share", "side", "site", "legal") and blocks[n].text[:1] != "|":
-            tail = n
-        if (blocks[n].gap and kinds[n] is None) or blocks[n].text[:1] == "|":
+        if states[n] == WITHIN:
+            start = n
+        elif _is_paragraph(blocks[n]) and states[n] == ARTICLE and not any(states[k] == WITHIN for k in range(max(at + 1, n - 2), n)):
+            break
+        if blocks[n].gap and states[n] == ARTICLE:
             break
-    end = tail if tail >= 0 else len(blocks)
-    for n in range(max(at + 1, end - 4), end):  # a menu line and the blurb, right before the legal lines
-        if tail >= 0 and kinds[tail] == "legal" and blocks[n].low in menu and not any(blocks[k].gap for k in range(n + 1, end + 1) if k < len(blocks)):
-            tail = n
+        if blocks[n].gap and n - 1 > at and states[n - 1] == ARTICLE:
             break
-    if tail >= 0:
-        states[tail:] = [AFTER] * (len(blocks) - tail)
-    elif last >= 0:
-        for n in range(last + 1, len(blocks)):
-            states[n] = AFTER
+    for n in range(start, len(blocks)):
+        states[n] = AFTER
     return states
 
 
@@ -384,19 +485,36 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
 
 
-def train_field(pages: list[tuple[str | None, str | None, str | None]], **settings) -> Field | None:
-    """A field trained on those of the pages (path, title, content) that can be labelled; None if there are none."""
-    parsed = [(blocks_of(content), title, host_words(path)) for path, title, content in pages]
-    hosts: dict[str, set[str]] = {}
-    for blocks, title, site in parsed:
-        states = label_page(blocks, title, site) if blocks else None
-        for b, state in zip(blocks, states or []):
-            if state == TOP and len(b.low) < 40:
-                hosts.setdefault(b.low, set()).add(site)
-    menu = frozenset(low for low, seen in hosts.items() if len(seen) >= 3)
+def _merged(counts: Iterable[tuple[int, str, tuple]]) -> dict[int, tuple]:
+    """line -> (hosts, *COUNTS)."""
+    out: dict[int, np.ndarray] = {}
+    for key, _, row in counts:
+        got = out.get(key)
+        if got is None:
+            got = out[key] = np.zeros(len(COUNTS) + 1, np.int64)
+        got[0] += row[0] > 0
+        got[1:] += row
+    return {k: tuple(map(int, v)) for k, v in out.items()}
+
+
+def states_of(blocks: list[Block], frame: set[int]) -> list[int]:
+    """States of a page whose frame lines are known."""
+    article = [n for n, b in enumerate(blocks) if b.line not in frame]
+    if not article:
+        return [TOP] * len(blocks)
+    first, last = article[0], article[-1]
+    return [ARTICLE if b.line not in frame else TOP if n < first else AFTER if n > last else WITHIN for n, b in enumerate(blocks)]
+
+
+def train_field(pages: list[tuple[str | None, str | None, str | None]], lexicon: Lexicon | None = None, frames: list[set[int]] | None = None, **settings) -> Field | None:
+    """A field trained on the pages (path, title, content) with their ``frames`` (line numbers), or on those of them that
+    can be labelled by the lexicon (else that of the pages themselves); None if there are none."""
+    if frames is None and lexicon is None:
+        lexicon = Lexicon(_merged((k, h, v) for (k, h), v in count_lines(iter(pages)).items()))
     rows = []
-    for blocks, title, site in parsed:
-        states = label_page(blocks, title, site, menu) if blocks else None
+    for n, (path, title, content) in enumerate(pages):
+        blocks, site = blocks_of(content), host_words(path)
+        states = (states_of(blocks, frames[n]) if frames is not None else label_page(blocks, title, site, lexicon)) if blocks else None
         if states:
             gaps = [b.gap for b in blocks]
             rows.append((features(blocks, title, site), gaps, states))
@@ -409,13 +527,65 @@ def train_field(pages: list[tuple[str | None, str | None, str | None]], **settin
     return field
 
 
-def fit(sources: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Field | None:
-    """The field for a table of pages, trained on about ``sample_pages`` of them (never more than twice that)."""
-    count = sources.count()
-    share = min(1.0, sample_pages / max(1, count))
-    sample = sources.where(F.pmod(F.xxhash64("source_id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("source_id", "path", "title", "content").limit(2 * sample_pages).collect()
+def crawl_lexicon(sources: DataFrame) -> Lexicon:
+    """Counts of the recurring lines of all pages: summed in each task first, then by line and host, then by line."""
+    schema = "line long, host string, " + ", ".join(f"{c} long" for c in COUNTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = count_lines(zip(*(batch.column(c).to_pylist() for c in ("path", "title", "content"))))
+            if found:
+                counts = np.array(list(found.values()), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _ in found], pa.int64()), pa.array([h for _, h in found]), *(pa.array(counts[:, n]) for n in range(len(COUNTS)))], ["line", "host", *COUNTS]
+                )
+
+    rows = sources.select("path", "title", "content").where("content is not null").mapInArrow(run, schema)
+    by_host = rows.groupBy("line", "host").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    lines = by_host.groupBy("line").agg(F.count_if(F.col("pages") > 0).alias("hosts"), *[F.sum(c).alias(c) for c in COUNTS]).where(F.col("pages") >= MIN_PAGES)
+    top = lines.orderBy(F.desc("pages"), "line").limit(LEXICON_LINES).toArrow()  # the most frequent lines, a bounded number
+    columns = [top.column(c).to_pylist() for c in ("line", "hosts", *COUNTS)]
+    return Lexicon({row[0]: row[1:] for row in zip(*columns)})
+
+
+def _sampled(sources: DataFrame, pages: int, of: int) -> DataFrame:
+    """About ``pages`` of ``of`` rows, by a hash of the id alone."""
+    return sources.where(F.pmod(F.xxhash64("source_id"), F.lit(1 << 30)) < int(min(1.0, pages / max(1, of)) * (1 << 30)))
+
+
+def fit(sources: DataFrame, sample_pages: int = SAMPLE_PAGES, labels: DataFrame | None = None) -> Field | None:
+    """The field for a table of pages, trained on about ``sample_pages`` of them, or of those in ``labels``."""
+    columns = ["source_id", "path", "title", "content"]
+    if labels is not None:
+        known = labels.where("source_id is not null").groupBy("source_id").agg(F.collect_set(F.when(F.col("is_frame"), F.col("line_no"))).alias("frame"))
+        pages = sources.join(known, "source_id").select(*columns, "frame")
+        sample = _sampled(pages, sample_pages, known.count()).collect()
+    else:
+        sample = _sampled(sources, sample_pages, sources.count()).select(*columns).collect()
     sample.sort(key=lambda r: (r.source_id is None, r.source_id, r.content or ""))
-    return train_field([(r.path, r.title, r.content) for r in sample])
+    given = [(r.path, r.title, r.content) for r in sample]
+    if labels is not None:
+        return train_field(given, frames=[set(r.frame) for r in sample])
+    return train_field(given, crawl_lexicon(sources))
+
+
+def trained(sources: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Field | None:
+    """The field of a table, trained once: its weights are kept in the shared folder under a fingerprint of all rows."""
+    spark = sources.sparkSession
+    row = sources.agg(F.count("*").alias("n"), F.sum(F.xxhash64("source_id", "path", "title", "content").cast("decimal(38,0)")).alias("sum")).first()
+    mark = hashlib.blake2b(f"{VERSION} {row.n} {row['sum']} {sample_pages}".encode(), digest_size=12).hexdigest()
+    folder = f"{shared_dir(spark)}/docmill/field-{mark}"
+    if not Pointer(spark, folder, "_SUCCESS").exists():
+        field = fit(sources, sample_pages)
+        rows = [(bytearray(x.astype("<f4").tobytes()),) for x in ((field.emit, field.move, field.first) if field else ())]
+        frame = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "part int, weights binary")
+        frame.coalesce(1).write.mode("overwrite").parquet(folder)
+    parts = spark.read.schema("part int, weights binary").parquet(folder).orderBy("part").collect()
+    if not parts:
+        return None
+    field = Field()
+    field.emit, field.move, field.first = (np.frombuffer(bytes(p.weights), "<f4").reshape(shape).astype(kind) for p, shape, kind in zip(parts, ((WIDTH, 4), (2, 4, 4), (4,)), (np.float32, np.float64, np.float64)))
+    return field
 
 
 def decode_page(model: Field | None, path: str | None, title: str | None, content: str | None) -> tuple[list[Block], list[int]]:
@@ -429,7 +599,7 @@ def decode_page(model: Field | None, path: str | None, title: str | None, conten
 def _mapped(sources: DataFrame, field: Field | None, sample_pages: int, schema: str, rows_of) -> DataFrame:
     """Each page through ``rows_of(id, blocks, states)``; the field (a fixed number of weights, 2 MB) is broadcast."""
     spark = sources.sparkSession
-    field = field or fit(sources, sample_pages)
+    field = field or trained(sources, sample_pages)
     shared = spark.sparkContext.broadcast((field.emit, field.move, field.first) if field else None)
     names = [part.split()[0] for part in schema.split(", ")]
     kinds = {"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}

@@ -16,14 +16,17 @@ def page(rng, n):
     sentence = lambda: f"The {rng.choice(WORDS)} of the {rng.choice(WORDS)} copies {rng.randint(2, 999)} rows before the {rng.choice(WORDS)} stops."
     title = f"{rng.choice(WORDS).title()} notes {n}"
     wrap = rng.choice([lambda x: x, lambda x: f"<p>{x}</p>", lambda x: f"<div class='x'>{x}</div>"])
-    lines: list[tuple[str, bool]] = [(wrap(x), True) for x in [site, *rng.sample(MENU, 3), "Search this site"]]
-    lines += [("", False), (wrap(title), False), ("", False)]
+    html = wrap("") != ""
+    link = (lambda x: f"<li><a href='/m'>{x}</a></li>") if html else (lambda x: x)
+    lines: list[tuple[str, bool]] = [(wrap(site), True), *[(link(x), True) for x in rng.sample(MENU, 3)], (wrap("Search this site"), True)]
+    lines += [("", False), (f"<h1>{title}</h1>" if html else title, False), ("", False)]
     for _ in range(rng.randint(1, 5)):
         lines += [(wrap(" ".join(sentence() for _ in range(rng.randint(2, 5)))), False), ("", False)]
         if rng.random() < 0.3:
             lines += [("Advertisement", True)]
         if rng.random() < 0.3:
-            lines += [(rng.choice(WORDS).title() + " limits", False)]
+            heading = rng.choice(WORDS).title() + " limits"
+            lines += [(f"<h2>{heading}</h2>" if html else heading, False)]
         if rng.random() < 0.3:
             lines += [("The console menu has these entries:", False), ("- Home", False), ("- News", False), ("", False)]
     lines += [("Share this page", True), ("Related articles", True), *[(sentence(), True) for _ in range(3)], (site, True), (sentence(), True), ("Privacy policy | Terms of use", True), (f"© 2031 {site}", True)]
@@ -123,3 +126,60 @@ def test_sources(spark):
     assert bp.classify(frame.limit(0)).count() == 0
     unlabelled = spark.createDataFrame([(1, None, None, "Some text\nmore")], "source_id long, path string, title string, content string")
     assert [r.is_frame for r in bp.classify(unlabelled).collect()] == [False, False]
+
+
+def foreign(rng, n):
+    """A page in no language the crawl ever had: frame and article are invented words."""
+    host = f"host{rng.randint(1, 12)}"
+    word = lambda: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiouõä") for _ in range(rng.randint(1, 4)))
+    sentence = lambda: " ".join(word() for _ in range(rng.randint(8, 25))).capitalize() + "."
+    title = f"{word()} {word()} {n}".capitalize()
+    lines = [(host, True), *[(f"<li><a href='/x'>{x}</a></li>", True) for x in rng.sample(["Avaleht", "Uudised", "Kontaktid", "Teenused", "Kaart"], 3)], ("Kasutame küpsiseid, et leht töötaks", True), ("", False), (f"<h1>{title}</h1>", False), ("", False)]
+    for _ in range(rng.randint(2, 5)):
+        lines += [(f"<p>{' '.join(sentence() for _ in range(3))}</p>", False), ("", False)]
+        if rng.random() < 0.4:
+            lines += [("Reklaam", True), ("", False)]
+    lines += [("<li><a href='/j'>Jaga seda lehte</a></li>", True), ("Seotud artiklid", True), *[(f"<li><a href='/t'>{word().title()} {word()}</a></li>", True) for _ in range(3)], ("<a href='/p'>Privaatsus</a>", True), (f"© 2031 {host}", True)]
+    return f"web/{host}.example/{n}", title, "\n".join(x for x, _ in lines), {k for k, (x, f) in enumerate(lines) if f}
+
+
+def accuracy(field, made):
+    right = total = 0
+    for path, title, content, frame in made:
+        blocks, states = bp.decode_page(field, path, title, content)
+        right += sum((s != bp.ARTICLE) == (b.line in frame) for b, s in zip(blocks, states))
+        total += len(blocks)
+    return right / total
+
+
+def test_a_language_that_nobody_listed():
+    rng = random.Random(21)
+    field = bp.train_field([foreign(rng, n)[:3] for n in range(200)])
+    assert accuracy(field, [foreign(rng, n) for n in range(900, 960)]) >= 0.97
+
+
+def test_given_labels_and_stored_weights(spark):
+    rng = random.Random(22)
+    made = [foreign(rng, n) for n in range(60)]
+    frame = spark.createDataFrame([(n, *m[:3]) for n, m in enumerate(made)], "source_id long, path string, title string, content string")
+    labels = spark.createDataFrame([(n, k, k in m[3]) for n, m in enumerate(made[:40]) for k in range(len(m[2].split("\n")))], "source_id long, line_no long, is_frame boolean")
+    field = bp.fit(frame, labels=labels)
+    assert accuracy(field, made[40:]) >= 0.97
+    first, again = bp.trained(frame), bp.trained(frame)
+    assert np.array_equal(first.emit, again.emit) and np.array_equal(first.move, again.move) and accuracy(again, made) >= 0.95
+    calls = []
+    old, bp.fit = bp.fit, lambda *a: calls.append(a) or old(*a)
+    try:
+        bp.trained(frame)
+        assert not calls  # trained once
+        bp.trained(frame.limit(59))
+        assert calls  # another table
+    finally:
+        bp.fit = old
+
+
+def test_counts_by_spark_and_by_hand_agree(spark):
+    made = pages(5, 60)
+    frame = spark.createDataFrame([(n, *m[:3]) for n, m in enumerate(made)], "source_id long, path string, title string, content string").repartition(5)
+    by_hand = bp.Lexicon({k: v for k, v in bp._merged((k, h, v) for (k, h), v in bp.count_lines(m[:3] for m in made).items()).items() if v[1] >= bp.MIN_PAGES})
+    assert bp.crawl_lexicon(frame).kinds == by_hand.kinds and {"menu", "frame"} <= set(by_hand.kinds.values())
