@@ -10,13 +10,18 @@ merge ``u v -> w`` adds the arc ``w`` wherever the path ``u v`` exists and takes
 
 So a state is fully named by its last token, and an arc ``b`` out of state ``a`` is missing exactly if a gadget
 cut it or it was missing when the younger of ``a`` and ``b`` was made. :meth:`Automaton.arc` evaluates that
-recurrence over the (left part, right part, birth) tables the gadgets leave and keeps each answer in the
-transition table, so a state's row is filled only as far as the corpus needs it.
+recurrence over the (left part, right part, birth) tables the gadgets leave. The driver compiles the automaton once:
+the gadget tables, the trie of arc labels and the transitions that the vocabulary's own words take, and broadcasts it.
+Workers keep further transitions that their texts ask for in the same table, at most ``TRANSITIONS`` of them; beyond
+that the table is the compiled one again (a bound of memory, not of results).
 
 Encoding runs the automaton over the bytes of each pre-split word: every word has exactly one accepted path,
 and the last arc into each byte position is the longest token whose arc leaves the state at its start. Equal
 words are encoded once per task. Decoding emits the byte labels of the arcs.
 
+The pattern that splits words is the vocabulary file's own; files with another kind of model, a normalizer or a
+splitting that is not known here are refused.
+
 Defined results: null and empty text give an empty list; blank text is encoded; strings that look like special
 tokens are plain text; lone surrogates cannot occur in Spark strings. Time is linear in the text for any length.
 """
@@ -25,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +44,8 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 #: Words kept per Python worker; beyond it the table starts anew (memory bound, not a result bound).
 WORD_TABLE_LIMIT = 400_000
+#: Transitions kept besides the compiled ones, per Python worker.
+TRANSITIONS = 1_000_000
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -60,12 +68,35 @@ def _byte_letters() -> dict[str, int]:
     return letters
 
 
+def split_pattern(spec: dict) -> str:
+    """The regular expression by which a vocabulary file splits words."""
+    if spec.get("normalizer"):
+        raise ValueError("vocabularies with a normalizer are not supported")
+    pre = spec.get("pre_tokenizer") or {}
+    steps = pre.get("pretokenizers", []) if pre.get("type") == "Sequence" else [pre]
+    pattern = None
+    for step in steps:
+        if step.get("type") == "Split" and step.get("behavior") == "Isolated" and not step.get("invert") and "Regex" in step.get("pattern", {}) and pattern is None:
+            pattern = step["pattern"]["Regex"]
+        elif step.get("type") == "ByteLevel" and not step.get("add_prefix_space") and (pattern is None or not step.get("use_regex", True)):
+            pattern = pattern or (SPLIT if step.get("use_regex", True) else None)
+        else:
+            raise ValueError(f"a splitting of words that is not supported: {step.get('type')}")
+    if pattern is None or steps[-1].get("type") != "ByteLevel":
+        raise ValueError("the vocabulary does not split words into bytes")
+    return pattern
+
+
 class Automaton:
     """The compiled merges; ``state`` and token are the same number, -1 is the start state."""
 
     def __init__(self, spec: bytes):
         letters = _byte_letters()
-        model = json.loads(spec)["model"]
+        whole = json.loads(spec)
+        self.pattern = split_pattern(whole)
+        model = whole["model"]
+        if model.get("type", "BPE") != "BPE" or any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+            raise ValueError("only plain byte-level BPE vocabularies are supported")
         vocab = model["vocab"]
         self.label: dict[int, bytes] = {}
         for text, token in vocab.items():
@@ -95,6 +126,25 @@ class Automaton:
                 end[node] = token
         self.trie, self.end = trie, end
         self.whole = {label: t for label, t in token_of.items() if t in self.birth and self._own_path(t)}
+        self.compiled = dict(self.table)
+
+    def bound(self) -> None:
+        """Back to the compiled transitions if too many have come besides."""
+        if len(self.table) > len(self.compiled) + TRANSITIONS:
+            self.table = dict(self.compiled)
+
+    def dump(self) -> bytes:
+        """The compiled automaton, to be broadcast."""
+        state = dict(self.__dict__)
+        state["table"] = None  # the compiled one
+        return pickle.dumps(state, protocol=5)
+
+    @classmethod
+    def load(cls, data: bytes) -> Automaton:
+        out = cls.__new__(cls)
+        out.__dict__.update(pickle.loads(data))
+        out.table = dict(out.compiled)
+        return out
 
     def _gadget(self, u: int, v: int, w: int, rank: int) -> None:
         self.cut[u << 20 | v] = rank
@@ -171,7 +221,7 @@ class Automaton:
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of one text."""
-        return [t for w in regex.findall(SPLIT, text or "") for t in self.encode_word(w)]
+        return [t for w in regex.findall(self.pattern, text or "") for t in self.encode_word(w)]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: the labels of the arcs, one after the other."""
@@ -209,22 +259,33 @@ class Encoder:
 
     _made: dict[str, Encoder] = {}
 
-    def __init__(self, spec: bytes):
-        self.automaton = Automaton(spec)
+    def __init__(self, automaton: Automaton):
+        self.automaton = automaton
         self.words = _Words(self.automaton)
-        self.find = regex.compile(SPLIT).findall
+        self.find = regex.compile(automaton.pattern).findall
 
     @classmethod
     def of(cls, spec: bytes) -> Encoder:
-        key = hashlib.sha256(spec).hexdigest()
+        """The encoder of a vocabulary file's content."""
+        return cls._cached(spec, Automaton)
+
+    @classmethod
+    def compiled(cls, data: bytes) -> Encoder:
+        """The encoder of a compiled automaton."""
+        return cls._cached(data, Automaton.load)
+
+    @classmethod
+    def _cached(cls, data: bytes, make) -> Encoder:
+        key = hashlib.sha256(data).hexdigest()
         if key not in cls._made:
-            cls._made[key] = cls(spec)
+            cls._made[key] = cls(make(data))
         return cls._made[key]
 
     def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (one more than texts) and the ids of all texts in one array."""
         if len(self.words) > WORD_TABLE_LIMIT:
             self.words = _Words(self.automaton)
+        self.automaton.bound()
         look, find = self.words.__getitem__, self.find
         rows: list[np.ndarray] = []
         counts = np.zeros(len(texts), np.int64)
@@ -251,6 +312,12 @@ def read_spec(path: str) -> bytes:
         return f.read()
 
 
+def compiled(path: str) -> bytes:
+    """The compiled automaton of a vocabulary file, made once per driver."""
+    spec = read_spec(path)
+    return Encoder.of(spec).automaton.dump()
+
+
 def _slices(batch: pa.RecordBatch, column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``limit`` bytes of text each, so one task's memory stays flat."""
     texts = batch.column(column)
@@ -268,15 +335,15 @@ def _slices(batch: pa.RecordBatch, column: str, limit: int = 4_000_000) -> Itera
 def encode_documents(documents: DataFrame, *, vocabulary: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, ids array<int>)``, one row per row of ``documents``; no shuffle.
 
-    The vocabulary (about 1.5 MB, fixed) is read on the driver and broadcast. Null or empty text gives an empty
+    The automaton (some MB, fixed by the vocabulary) is compiled on the driver and broadcast. Null or empty text gives an empty
     list. Further columns of ``documents``, whatever their names, are not read.
     """
     spark = documents.sparkSession
-    spec = spark.sparkContext.broadcast(read_spec(vocabulary or vocabulary_path()))
+    made = spark.sparkContext.broadcast(compiled(vocabulary or vocabulary_path()))
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(spec.value)
+        encoder = Encoder.compiled(made.value)
         for whole in batches:
             for batch in _slices(whole, "t"):
                 offsets, ids = encoder.batch(batch.column("t").to_pylist())
@@ -290,11 +357,11 @@ def encode_documents(documents: DataFrame, *, vocabulary: str | None = None, key
 def count_tokens(documents: DataFrame, *, vocabulary: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_tokens int)`` without the ids ever leaving Python."""
     spark = documents.sparkSession
-    spec = spark.sparkContext.broadcast(read_spec(vocabulary or vocabulary_path()))
+    made = spark.sparkContext.broadcast(compiled(vocabulary or vocabulary_path()))
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(spec.value)
+        encoder = Encoder.compiled(made.value)
         for whole in batches:
             for batch in _slices(whole, "t"):
                 offsets, _ = encoder.batch(batch.column("t").to_pylist())

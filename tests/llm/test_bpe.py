@@ -47,3 +47,43 @@ def test_documents(spark, public):
     counts = {r.doc_id: r.n_tokens for r in bpe.count_tokens(df.where("doc_id > 0")).collect()}
     assert counts == {k: len(public(t)) for k, t, _ in rows if k}
     assert bpe.encode_documents(df.limit(0)).collect() == []
+
+
+def test_the_table_of_transitions_is_bounded(public, monkeypatch):
+    monkeypatch.setattr(bpe, "TRANSITIONS", 2_000)
+    monkeypatch.setattr(bpe, "WORD_TABLE_LIMIT", 5_000)
+    encoder = bpe.Encoder(bpe.Automaton.load(bpe.compiled(bpe.vocabulary_path())))
+    rng = random.Random(5)
+    base, most, words = len(encoder.automaton.compiled), 0, 0
+    for _ in range(60):
+        texts = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 12))) for _ in range(20)) for _ in range(10)]
+        offsets, ids = encoder.batch(texts)
+        most, words = max(most, len(encoder.automaton.table)), max(words, len(encoder.words))
+        for n, text in enumerate(texts):
+            assert ids[offsets[n] : offsets[n + 1]].tolist() == public(text)
+    assert most <= base + 2_000 + 20_000 and words <= 5_000 + 400  # what one batch adds comes on top
+    encoder.automaton.bound()
+    assert len(encoder.automaton.table) <= base + 2_000
+
+
+def test_the_split_pattern_comes_from_the_file():
+    level = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    assert bpe.split_pattern({"pre_tokenizer": level}) == bpe.SPLIT
+    split = {"type": "Split", "pattern": {"Regex": r"\S+|\s+"}, "behavior": "Isolated", "invert": False}
+    assert bpe.split_pattern({"pre_tokenizer": {"type": "Sequence", "pretokenizers": [split, level | {"use_regex": False}]}}) == split["pattern"]["Regex"]
+    for bad in ({}, {"pre_tokenizer": {"type": "Metaspace"}}, {"pre_tokenizer": level | {"add_prefix_space": True}}, {"pre_tokenizer": split}, {"pre_tokenizer": level, "normalizer": {"type": "NFC"}}, {"pre_tokenizer": level | {"use_regex": False}}):
+        with pytest.raises(ValueError):
+            bpe.split_pattern(bad)
+
+
+def test_another_splitting_gives_that_tokenizers_ids(tmp_path):
+    import json
+
+    spec = json.loads(bpe.read_spec(bpe.vocabulary_path()))
+    spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": r"\p{L}{1,3}|[^\p{L}]"}, "behavior": "Isolated", "invert": False}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+    path = tmp_path / "v.json"
+    path.write_text(json.dumps(spec))
+    t = Tokenizer.from_file(str(path))
+    encoder = bpe.Encoder.compiled(bpe.compiled(str(path)))
+    for text in ["Standing there, 42 wires!", "ab  cdefg\n語のtest"]:
+        assert encoder.automaton.encode(text) == t.encode(text, add_special_tokens=False).ids
