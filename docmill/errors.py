@@ -15,3 +15,7 @@ class StoreError(DocmillError):
 
 class ContentError(DocmillError):
     """A source or stage is missing or unreadable."""
+
+
+class ConflictError(DocmillError):
+    """Another writer has committed in the meantime; nothing of this commit counts."""

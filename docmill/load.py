@@ -4,6 +4,9 @@ A document whose numbers of chunks and vectors differ, or that has a chunk witho
 leaves everything else alone. Without ``force`` a document is skipped if its vectors under the model are at least as
 new as the incoming ones; with it, its chunks and all their vectors are deleted first. ``prune`` also removes chunks
 behind the new last one on an ordinary load.
+
+A load reads and writes only the buckets of the store that its documents fall into, and each of them once: what the
+upserts give is written where the commit will name it.
 """
 
 from __future__ import annotations
@@ -18,8 +21,8 @@ from docmill.functions.textsearch import search_vector
 from docmill.operators.embedding import model_info
 from docmill.operators.staleness import load_skip
 from docmill.operators.upsert import delete_documents, insert_missing, upsert
-from docmill.session import written
-from docmill.store import Store, with_change, with_metadata
+from docmill.session import Scratch
+from docmill.store import BUCKETED, Store, bucket_of, with_change, with_metadata
 
 
 @dataclass
@@ -45,57 +48,62 @@ def checked(incoming: DataFrame, dimensions: int | None = None) -> DataFrame:
     return incoming.withColumn("error", e)
 
 
-def _counts(store: Store) -> dict[str, int]:
-    return {n: store.table(n).count() for n in ("documents", "chunks", "embeddings")}
-
-
 def load(store: Store, incoming: DataFrame, model: str, *, force: bool = False, prune: bool = False, strict_dimensions: bool = False, title: str | None = None, description: str | None = None, user: str | None = None, note: str | None = None, now: Column | None = None) -> LoadResult:
     """``incoming``: doc_path, filename, file_size, last_modified, chunks_file_path, chunks, vectors, embedded_at."""
     _, dimensions, _ = model_info(model)
     store.initialize(user=user)
+    buckets_of_store = store.bucketed()
+    number, _ = store.pointer.latest()
+    top = store.manifest()["max_ids"]
     now = now if now is not None else F.lit(store.spark.sql("select current_timestamp() t").first().t)
-    before = _counts(store)
     models_before = store.table("models")
     new_model = models_before.where(F.col("name") == model).isEmpty()
     entry = store.spark.range(1).select(F.lit(model).alias("name"), F.lit(dimensions).alias("dimensions"), F.lit("docmill").alias("provider"), F.lit(None).cast("string").alias("description"))
-    models = written(insert_missing(models_before, entry, keys=["name"], now=now), "models")
+    scratch = Scratch()
+    models = scratch.written(insert_missing(models_before, entry, keys=["name"], now=now), "models")
     model_id = models.where(F.col("name") == model).first().id
-    rows = checked(incoming, dimensions if strict_dimensions else None)
+    rows = checked(incoming, dimensions if strict_dimensions else None).withColumn("_bucket", bucket_of("doc_path", buckets_of_store))
     errors = rows.where(F.col("error").isNotNull()).select("doc_path", "error")
     good = rows.where(F.col("error").isNull())
-    docs, chunks, vectors = store.table("documents"), store.table("chunks"), store.table("embeddings")
+    buckets = sorted(r[0] for r in good.select("_bucket").distinct().collect())  # at most as many as the store has
+    docs, chunks, vectors = (store.table(n, buckets, marked=True) for n in BUCKETED)
     if not force:
         state = load_skip(docs, chunks, vectors, good.select(F.col("doc_path").alias("path"), "embedded_at"), model_id)
         good = good.join(state.where(~F.col("skip")).select(F.col("path").alias("doc_path")), "doc_path", "left_semi")
-    good = written(good, "incoming")
+    good = scratch.written(good, "incoming")
     given = incoming.count()
     loaded, failed = good.count(), errors.count()
-    facts = good.select(F.col("doc_path").alias("path"), "filename", tx.content_type("filename").alias("content_type"), "file_size", "last_modified", "chunks_file_path")
-    docs = written(upsert(docs, facts, keys=["path"], updated=["filename", "file_size", "last_modified", "chunks_file_path", "updated_at"], now=now), "documents")
+    buckets = sorted(r[0] for r in good.select("_bucket").distinct().collect())
+    docs, chunks, vectors = (store.table(n, buckets, marked=True) for n in BUCKETED)
+    before = {n: df.count() for n, df in zip(BUCKETED, (docs, chunks, vectors))}
+    facts = good.select(F.col("doc_path").alias("path"), "filename", tx.content_type("filename").alias("content_type"), "file_size", "last_modified", "chunks_file_path", "_bucket")
+    staged = {}
+    staged["documents"], docs = store.stage("documents", upsert(docs, facts, keys=["path"], updated=["filename", "file_size", "last_modified", "chunks_file_path", "updated_at"], now=now, start=top.get("documents", 0)))
     ids = docs.select(F.col("id").alias("document_id"), "path").join(good.select(F.col("doc_path").alias("path")), "path", "left_semi")
     if force:
         chunks, vectors = delete_documents(chunks, vectors, ids.select(F.col("document_id").alias("id")))
-    pieces = good.select(F.col("doc_path").alias("path"), F.posexplode(F.arrays_zip("chunks", "vectors")).alias("chunk_index", "z")).join(ids, "path")
-    pieces = written(pieces.select("document_id", "chunk_index", F.col("z.chunks.text").alias("text"), F.col("z.chunks.contextual_text").alias("contextual_text"), F.coalesce("z.chunks.metadata", F.lit("{}")).alias("metadata"), F.col("z.vectors").alias("embedding")), "pieces")
+    pieces = good.select(F.col("doc_path").alias("path"), "_bucket", F.posexplode(F.arrays_zip("chunks", "vectors")).alias("chunk_index", "z")).join(ids, "path")
+    pieces = scratch.written(pieces.select("document_id", "chunk_index", F.col("z.chunks.text").alias("text"), F.col("z.chunks.contextual_text").alias("contextual_text"), F.coalesce("z.chunks.metadata", F.lit("{}")).alias("metadata"), F.col("z.vectors").alias("embedding"), "_bucket"), "pieces")
     if prune:
         last = pieces.groupBy("document_id").agg(F.max("chunk_index").alias("last"))
         tail = chunks.join(last, "document_id").where("chunk_index > last").select("id")
         vectors = vectors.join(tail.withColumnRenamed("id", "chunk_id"), "chunk_id", "left_anti").select(*vectors.columns)
         chunks = chunks.join(tail, "id", "left_anti").select(*chunks.columns)
     new_chunks = pieces.drop("embedding").withColumn("text_search_vector", search_vector("contextual_text"))
-    chunks = written(upsert(chunks, new_chunks, keys=["document_id", "chunk_index"], updated=["text", "contextual_text", "metadata", "text_search_vector"], now=now), "chunks")
-    key = pieces.select("document_id", "chunk_index", "embedding").join(chunks.select(F.col("id").alias("chunk_id"), "document_id", "chunk_index"), ["document_id", "chunk_index"])
-    new_vectors = key.select("chunk_id", F.lit(model_id).cast("long").alias("model"), "embedding")
-    vectors = written(upsert(vectors, new_vectors, keys=["chunk_id", "model"], updated=["embedding", "created_at"], now=now), "embeddings")
-    after = {"documents": docs.count(), "chunks": chunks.count(), "embeddings": vectors.count()}
+    staged["chunks"], chunks = store.stage("chunks", upsert(chunks, new_chunks, keys=["document_id", "chunk_index"], updated=["text", "contextual_text", "metadata", "text_search_vector"], now=now, start=top.get("chunks", 0)))
+    key = pieces.select("document_id", "chunk_index", "embedding", "_bucket").join(chunks.select(F.col("id").alias("chunk_id"), "document_id", "chunk_index"), ["document_id", "chunk_index"])
+    new_vectors = key.select("chunk_id", F.lit(model_id).cast("long").alias("model"), "embedding", "_bucket")
+    staged["embeddings"], vectors = store.stage("embeddings", upsert(vectors, new_vectors, keys=["chunk_id", "model"], updated=["embedding", "created_at"], now=now, start=top.get("embeddings", 0)))
+    facts_of = {n: df.agg(F.count("*").alias("n"), F.max("id").alias("top")).first() for n, df in zip(BUCKETED, (docs, chunks, vectors))}
     deltas = {}
-    for name in after:
-        change = after[name] - before[name]
+    for name, fact in facts_of.items():
+        change = fact.n - before[name]
         deltas[f"{name}_added"], deltas[f"{name}_deleted"] = max(change, 0), max(-change, 0)
-    tables = {"documents": docs, "chunks": chunks, "embeddings": vectors, "models": models}
+    tables = {"models": models} if new_model else {}
     tables["schema_metadata"] = with_metadata(store, now, title=title, description=description, embedding_models_count=models.count())
     text = note or f"Loaded {given - failed} files with model {model}" + (f" ({failed} errors)" if failed else "")
     if given - failed:
         tables["schema_changes"] = with_change(store, now, user=user, deltas=deltas, models=[model] if new_model and deltas["embeddings_added"] else None, notes=text)
-    store.commit(tables)
+    store.commit(tables, staged=staged, buckets=buckets, max_ids={n: f.top or 0 for n, f in facts_of.items()}, after=number)
+    scratch.clear()
     return LoadResult(loaded, given - failed - loaded, errors, deltas)

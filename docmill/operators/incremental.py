@@ -1,10 +1,11 @@
 """Only new or changed records, run by run, with state that survives failures (problem 2).
 
-State is one row per key: the newest version seen and the content hash that was processed last. It lives in a
-folder of numbered versions; the file ``CURRENT`` names the one that counts and is replaced by an atomic rename,
-after the results and the state of that version are complete. A run that dies before the rename leaves the old
-version in force and its half-written folders are overwritten by the next attempt: nothing is skipped, nothing is
-handed out twice.
+State is one row per key: the newest version seen and the content hash that was processed last. A commit writes what it
+has to say only, its results and its part of the state, into new folders and then one manifest that names all folders
+that count (:mod:`docmill.pointer`). A run that dies before that leaves the old manifest in force: nothing is skipped,
+nothing is handed out twice. Of two runs at the same time the second to commit fails and its folders do not count.
+Parts are merged by size (a part that is not twice as large as the next one is merged with it), so there are as many as
+the logarithm of the state's size and a record is rewritten as often, whatever the number of commits.
 
 One call may catch up on several runs: arrivals are first reduced to the newest row of each (key, run), by a
 partial aggregate, so a key that holds a third of all rows shuffles one row per task and run. Then each key has
@@ -17,8 +18,13 @@ arrivals commit an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +37,8 @@ from docmill.session import new_folder, written
 _ISO = r"^(\d{4})-?(\d{2})-?(\d{2})[Tt ](\d{2}):?(\d{2})(?::?(\d{2})(?:[.,](\d{1,9}))?)?\s*([Zz]|[+-]\d{2}(?::?\d{2})?)?$"
 #: Runs handled between two commits when a backlog is replayed.
 RUNS_PER_COMMIT = 16
+#: Runs up to which their starts are literals, and folders of results that are not merged.
+TREE, PARTS = 256, 8
 
 
 def readable_time(text: Column) -> Column:
@@ -66,33 +74,56 @@ class ChangeState:
         self.pointer = Pointer(spark, self.root)
         self.pointer.make_folder()
 
+    RESULTS = "run long, key string, row_id long"
+
+    def _manifest(self) -> tuple[int, dict]:
+        number, text = self.pointer.latest()
+        return number, json.loads(text) if text else {"state": [], "cases": []}
+
     def current(self) -> int:
-        """The committed version; 0 before the first."""
-        return int(self.pointer.read() or 0)
+        """The number of the last commit; 0 before the first."""
+        return self.pointer.latest()[0]
+
+    def _read(self, parts: list, schema) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{folder}" for folder, _ in parts])
 
     def state(self) -> DataFrame:
         """The committed state: key, newest(version, row_id, hash)."""
-        version = self.current()
-        if not version:
-            return self.spark.createDataFrame([], self.SCHEMA)
-        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.root}/state/v{version}")
+        return self._newest(self._manifest()[1]["state"])
+
+    def _newest(self, parts: list) -> DataFrame:
+        rows = self._read(parts, self.SCHEMA)
+        return rows if len(parts) < 2 else rows.groupBy("key").agg(F.max("newest").alias("newest"))
 
     def results(self) -> DataFrame:
         """What all committed runs got: run, key, row_id."""
-        version = self.current()
-        schema = "run long, key string, row_id long"
-        if not version:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/cases/v{v}" for v in range(1, version + 1)])
+        return self._read(self._manifest()[1]["cases"], self.RESULTS)
+
+    def _added(self, parts: list, kind: str, rows: DataFrame, combine) -> tuple[list, list]:
+        """The parts with one more, merged by size, and the folders that leave."""
+        def put(frame: DataFrame) -> list:
+            folder = f"{kind}/{uuid.uuid4().hex}"
+            frame.write.parquet(f"{self.root}/{folder}")
+            return [folder, self.spark.read.parquet(f"{self.root}/{folder}").count()]
+
+        parts, gone = [*parts, put(rows)], []
+        while len(parts) > 1 and parts[-2][1] <= 2 * parts[-1][1]:
+            pair, parts = parts[-2:], parts[:-2]
+            gone += [folder for folder, _ in pair]
+            parts.append(put(combine(pair)))
+        return parts, gone
 
     def process(self, newest: DataFrame) -> DataFrame:
         """One commit. ``newest``: run (order number), key, newest struct, unique by (run, key).
 
-        Joins the arrivals with the state, selects per run what is new or changed, writes results and the next
-        state, then swaps the version. Returns the results of this commit.
+        Joins the arrivals with the state, selects per run what is new or changed, writes results and the state's
+        next part, then commits. Returns the results of this commit.
         """
-        version = self.current() + 1
-        before = self.state().withColumnRenamed("newest", "kept").withColumnRenamed("key", "state_key")
+        number, manifest = self._manifest()
+        kept = self._newest(manifest["state"])
+        before = kept.withColumnRenamed("newest", "kept").withColumnRenamed("key", "state_key")
         joined = newest.join(before, newest["key"].eqNullSafe(before["state_key"]), "left").drop("state_key")
         by_key = Window.partitionBy("key").orderBy("run")
         earlier = F.max("newest").over(by_key.rowsBetween(Window.unboundedPreceding, -1))
@@ -102,19 +133,27 @@ class ChangeState:
         same_row = F.col("newest.version").eqNullSafe(F.col("previous.version")) & F.col("newest.row_id").eqNullSafe(F.col("previous.row_id"))
         differs = F.col("previous").isNull() | F.coalesce(F.col("newest.hash") != F.col("previous.hash"), F.lit(True))
         cases = rows.where(arrived & ~F.coalesce(same_row, F.lit(False)) & differs).select(F.col("run").cast("long").alias("run"), "key", F.col("newest.row_id").alias("row_id"))
-        cases.write.mode("overwrite").parquet(f"{self.root}/cases/v{version}")
-        merged = self.state().select("key", "newest").unionByName(newest.select("key", "newest")).groupBy("key").agg(F.max("newest").alias("newest"))
-        merged.write.mode("overwrite").parquet(f"{self.root}/state/v{version}")
-        self.pointer.swap(str(version))
-        if version > 2:  # the version before stays for readers that opened it
-            self.pointer.delete(f"{self.root}/state/v{version - 2}")
-        return self.spark.read.schema("run long, key string, row_id long").parquet(f"{self.root}/cases/v{version}")
+        folder = f"cases/{uuid.uuid4().hex}"
+        cases.write.parquet(f"{self.root}/{folder}")
+        made = self.spark.read.schema(self.RESULTS).parquet(f"{self.root}/{folder}")
+        state, left = self._added(manifest["state"], "state", newest.groupBy("key").agg(F.max("newest").alias("newest")), self._newest)
+        found = [*manifest["cases"], [folder, made.count()]]
+        while len(found) > 1 and found[-2][1] <= 2 * found[-1][1] and len(found) > PARTS:
+            merged = f"cases/{uuid.uuid4().hex}"
+            self._read(found[-2:], self.RESULTS).write.parquet(f"{self.root}/{merged}")
+            left += [f for f, _ in found[-2:] if f != folder]  # this commit's own results stay readable
+            found = [*found[:-2], [merged, found[-2][1] + found[-1][1]]]
+        self.pointer.swap(json.dumps({"state": state, "cases": found, "left": left}), number)
+        for old in manifest.get("left", []):  # what left one commit ago: no reader of the last one needs it
+            self.pointer.delete(f"{self.root}/{old}")
+        return made
 
 
 def first_run_at(time: Column, starts: list[tuple[int, object]]) -> Column:
     """The order number of the first run that starts at or after ``time``; null beyond the last.
 
-    ``starts`` (number, time), rising, becomes a balanced decision tree of literals: generated code, no join.
+    ``starts`` (number, time), rising. Few of them become a balanced decision tree of literals, which is generated code;
+    more are searched by halving in Arrow batches. Neither needs a join.
     """
     if not starts:
         return F.lit(None).cast("int")
@@ -125,7 +164,19 @@ def first_run_at(time: Column, starts: list[tuple[int, object]]) -> Column:
         mid = (lo + hi) // 2
         return F.when(time <= F.lit(starts[mid][1]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    return F.when(time.isNotNull(), tree(0, len(starts)))
+    if len(starts) <= TREE:
+        return F.when(time.isNotNull(), tree(0, len(starts)))
+    epoch = datetime(1970, 1, 1)
+    at = np.array([(t - epoch) // timedelta(microseconds=1) for _, t in starts], np.int64)
+    number = np.array([n for n, _ in starts] + [-1], np.int64)
+
+    @F.pandas_udf("int")
+    def search(micros: pd.Series) -> pd.Series:
+        there = micros.notna().to_numpy()
+        found = number[np.searchsorted(at, micros.fillna(0).to_numpy(np.int64), "left")]
+        return pd.Series(found).astype("Int32").where((found >= 0) & there, None)
+
+    return search(F.unix_micros(time))
 
 
 def successful_runs(load_runs: DataFrame, limit: int = 100_000) -> list[tuple[int, object]]:
@@ -163,9 +214,8 @@ def replay(documents: DataFrame, meta: DataFrame, load_runs: DataFrame, *, root:
     parts = written(arrivals, "arrivals", partition_by=["part"])
     for part in range(-(-len(runs) // runs_per_commit)):
         state.process(parts.where(F.col("part") == part).select("run", "key", "newest"))
-    ids = [r for r, _ in runs]
-    name = F.element_at(F.array(*map(F.lit, ids)), F.col("run").cast("int") + 1) if ids else F.lit(None)
-    return state.results().select(name.cast("long").alias("run_id"), F.col("row_id").alias("doc_id"))
+    names = spark.createDataFrame([(n, r) for n, (r, _) in enumerate(runs)], "run long, run_id long")  # as many rows as runs
+    return state.results().join(F.broadcast(names), "run").select("run_id", F.col("row_id").alias("doc_id"))
 
 
 def process_changed(state: ChangeState, rows: DataFrame, *, key: str, row_id: str, version: str, hash_column: str | None = None, hash_of: Sequence[str] = (), run: int = 0) -> DataFrame:

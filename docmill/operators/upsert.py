@@ -26,10 +26,11 @@ def with_ids(rows: DataFrame, order: list[str], start: int, *, column: str = "id
     return kept.withColumn(column, (offset + place).cast("long")).drop("_part")
 
 
-def upsert(target: DataFrame, incoming: DataFrame, *, keys: list[str], updated: list[str], now: Column | None = None, id_column: str | None = "id") -> DataFrame:
+def upsert(target: DataFrame, incoming: DataFrame, *, keys: list[str], updated: list[str], now: Column | None = None, id_column: str | None = "id", start: int | None = None) -> DataFrame:
     """``target`` after inserting ``incoming``: on equal keys the ``updated`` columns are replaced, everything else (id,
     created_at) stays; new rows get the next ids in key order. Keys must be unique in ``incoming``. Columns that
-    ``incoming`` lacks are null in new rows, created_at and updated_at are ``now``."""
+    ``incoming`` lacks are null in new rows, created_at and updated_at are ``now``. ``start``: the highest id given so far,
+    if ``target`` is only part of a table."""
     stamp = now if now is not None else F.current_timestamp()
     same = [target[k].eqNullSafe(incoming[k]) for k in keys]
     marked = incoming.withColumn("_hit", F.lit(True))
@@ -49,7 +50,8 @@ def upsert(target: DataFrame, incoming: DataFrame, *, keys: list[str], updated:
         if c not in fresh.columns and c != id_column:
             fresh = fresh.withColumn(c, stamp if c in ("created_at", "updated_at") else F.lit(None))
     if id_column:
-        start = target.agg(F.max(id_column)).first()[0] or 0
+        if start is None:
+            start = target.agg(F.max(id_column)).first()[0] or 0
         fresh = with_ids(fresh, keys, start, column=id_column)
     return old.unionByName(fresh.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns]))
 

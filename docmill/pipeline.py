@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import uuid
 from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
@@ -56,19 +58,22 @@ class Content:
         return Pointer(self.spark, f"{self.root}/{stage}")
 
     def read(self, stage: str, schema: str) -> DataFrame:
-        version = self._pointer(stage).read()
-        if version is None:
+        folder = self._pointer(stage).read()
+        if folder is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{stage}/v{version}")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{stage}/{folder}")
 
     def replace(self, stage: str, rows: DataFrame) -> None:
+        """The next version of a stage; if another run has made one since, this one does not count."""
         pointer = self._pointer(stage)
-        pointer.make_folder()
-        version = int(pointer.read() or 0) + 1
-        rows.write.mode("overwrite").parquet(f"{self.root}/{stage}/v{version}")
-        pointer.swap(str(version))
-        if version > 2:
-            pointer.delete(f"{self.root}/{stage}/v{version - 2}")
+        number, _ = pointer.latest()
+        folder = f"v{number + 1}-{uuid.uuid4().hex[:8]}"
+        rows.write.parquet(f"{self.root}/{stage}/{folder}")
+        pointer.swap(folder, number)
+        for f in pointer.fs.listStatus(pointer.path(pointer.folder)):  # the version before stays for its readers
+            name = f.getPath().getName()
+            if (m := re.match(r"v(\d+)-", name)) and int(m[1]) < number:
+                pointer.delete(f"{pointer.folder}/{name}")
 
     def ensure_readme(self) -> None:
         """Written once, never overwritten; on local folders only."""

@@ -1,7 +1,9 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
+from docmill.errors import ConflictError
 from docmill.operators.incremental import ChangeState, process_changed, readable_time, replay
 
 T0 = datetime(2030, 1, 1)
@@ -77,8 +79,51 @@ def test_state_survives_a_failed_run(spark, tmp_path):
     assert run(rows([(1, "a", day(1), "x"), (2, "b", day(1), "y")]), 1) == [1, 2]
     assert run(rows([(1, "a", day(1), "x"), (2, "b", day(1), "y")]), 2) == []
     # a run that dies before the swap leaves half-written folders behind
-    spark.range(3).write.parquet(f"{state.root}/cases/v3")
-    spark.range(3).write.parquet(f"{state.root}/state/v3")
+    spark.range(3).write.parquet(f"{state.root}/cases/half")
+    spark.range(3).write.parquet(f"{state.root}/state/half")
     assert state.current() == 2
     assert run(rows([(3, "a", day(2), "x"), (4, "b", day(2), "z"), (5, None, None, None)]), 3) == [4, 5]
     assert sorted(r.row_id for r in state.results().collect()) == [1, 2, 4, 5]
+
+
+def test_two_writers(spark, tmp_path):
+    first, second = (ChangeState(spark, str(tmp_path / "s")) for _ in range(2))
+    rows = lambda data: spark.createDataFrame(data, "id long, k string, at timestamp, body string")
+    run = lambda state, df, n: sorted(r.row_id for r in process_changed(state, df, key="k", row_id="id", version="at", hash_of=["body"], run=n).collect())
+    assert run(first, rows([(1, "a", day(1), "x")]), 1) == [1]
+    swap = second.pointer.swap
+
+    def overtaken(text, after=None):
+        run(first, rows([(2, "b", day(1), "y")]), 2)
+        return swap(text, after)
+
+    second.pointer.swap = overtaken
+    with pytest.raises(ConflictError):
+        run(second, rows([(2, "b", day(1), "y"), (3, "c", day(1), "z")]), 2)
+    second.pointer.swap = swap
+    assert sorted(r.row_id for r in first.results().collect()) == [1, 2]  # nothing of the loser counts
+    assert run(second, rows([(2, "b", day(1), "y"), (3, "c", day(1), "z")]), 3) == [3]
+
+
+def test_commits_write_their_own_part(spark, tmp_path):
+    state = ChangeState(spark, str(tmp_path / "s"))
+    rows = lambda data: spark.createDataFrame(data, "id long, k string, at timestamp, body string")
+    run = lambda df, n: sorted(r.row_id for r in process_changed(state, df, key="k", row_id="id", version="at", hash_of=["body"], run=n).collect())
+    run(rows([(n, f"k{n}", day(1), "x") for n in range(500)]), 0)
+    for n in range(1, 14):
+        assert run(rows([(1000 + n, f"k{n}", day(1 + n), "y")]), n) == [1000 + n]
+    parts = state._manifest()[1]["state"]
+    assert parts[0][1] == 500 and len(parts) <= 6 and len(state._manifest()[1]["cases"]) <= 10  # the large part was written once
+    kept = {r.key: r.newest.row_id for r in state.state().collect()}
+    assert len(kept) == 500 and all(kept[f"k{n}"] == 1000 + n for n in range(1, 14)) and kept["k400"] == 400
+    assert state.results().count() == 513
+
+
+def test_many_runs_are_searched(spark):
+    from docmill.operators import incremental
+
+    starts = [(n, day(n)) for n in range(incremental.TREE + 40)]
+    times = [day(0) - timedelta(1), day(3), day(3) + timedelta(microseconds=1), day(len(starts) - 1), day(len(starts)), None]
+    f = spark.createDataFrame([(n, t) for n, t in enumerate(times)], "n int, t timestamp")
+    pick = lambda s: [r.x for r in f.select("n", incremental.first_run_at(F.col("t"), s).alias("x")).orderBy("n").collect()]
+    assert pick(starts) == [0, 3, 4, len(starts) - 1, None, None] and pick(starts[:10]) == [0, 3, 4, None, None, None]
