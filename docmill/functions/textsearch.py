@@ -179,6 +179,32 @@ def bm25(index: DataFrame, query: list[str], *, key: str, k1: float = 1.2, b: fl
     return hits.join(F.broadcast(frequency), "term").groupBy(key).agg(F.sum(part).alias("score"))
 
 
+def vector_size(vector: Column | str) -> Column:
+    """The number of words of a text-search vector."""
+    return F.aggregate(F.col(vector) if isinstance(vector, str) else vector, F.lit(0), lambda n, x: n + F.size(x["positions"]))
+
+
+def _frequency(term: str) -> Column:
+    return F.aggregate("v", F.lit(0), lambda n, x: F.when(x["lexeme"] == term, F.size(x["positions"])).otherwise(n))
+
+
+def bm25_vectors(rows: DataFrame, query: list[str], *, key: str, vector: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """(key, score) from stored text-search vectors: one scan for the corpus statistics, one for the scores; no text is
+    read, nothing is exploded and nothing but the statistics is shuffled."""
+    terms = sorted(set(query))
+    rows = rows.select(key, F.col(vector).alias("v")).where(F.size("v") > 0).withColumn("size", vector_size("v"))
+    for i, t in enumerate(terms):
+        rows = rows.withColumn(f"tf{i}", _frequency(t))
+    counts = rows.agg(F.count("*").alias("n"), F.avg("size").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))]).first()
+    score, hit = F.lit(0.0), F.lit(False)
+    for i in range(len(terms)):
+        df, tf = counts[f"df{i}"], F.col(f"tf{i}")
+        idf = math.log(1 + (counts.n - df + 0.5) / (df + 0.5))
+        score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("size") / F.lit(float(counts.mean or 1.0))))
+        hit = hit | (tf > 0)
+    return rows.where(hit).select(key, score.alias("score"))
+
+
 def _equal_to(term: str):
     return lambda w: w == term
 

@@ -30,10 +30,12 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     return F.when(n > 0, dot(a, b) / n)
 
 
-def top_k(vectors: DataFrame, query: list[float], k: int, *, vector: str = "embedding", key: str = "id", at_least: float | None = None) -> DataFrame:
+def top_k(vectors: DataFrame, query: list[float], k: int, *, vector: str = "embedding", key: str = "id", at_least: float | None = None, decimals: int | None = None) -> DataFrame:
     """The k rows most similar to one stated vector: a scan with a literal and TakeOrdered, no join, no shuffle."""
     literal = F.array(*[F.lit(float(x)) for x in query])
-    scored = vectors.withColumn("similarity", cosine(vector, literal)).where(F.col("similarity").isNotNull())
+    scored = vectors.withColumn("similarity", cosine(vector, literal)).where(F.col("similarity").isNotNull() & ~F.isnan("similarity"))
+    if decimals is not None:
+        scored = scored.withColumn("similarity", F.round("similarity", decimals))
     if at_least is not None:
         scored = scored.where(F.col("similarity") >= at_least)
     return scored.orderBy(F.desc("similarity"), key).limit(k)

@@ -6,6 +6,7 @@ are not yet in it and those whose id is divisible by 7 have changed since.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +15,15 @@ from docmill.functions import text as tx
 from docmill.functions import textsearch as ts
 from docmill.functions import vectors as vx
 from docmill.functions.hashing import content_hash
+from docmill.load import checked, load
 from docmill.operators import staleness as st
 from docmill.operators.chunking import chunk_documents
-from docmill.operators.embedding import embed
+from docmill.operators.embedding import DEFAULT_MODEL, embed
 from docmill.operators.ordered import previous_row
-from docmill.operators.providers import usable_tokens
+from docmill.operators.providers import SUMMARY_RESERVE, messages, usable_tokens
 from docmill.operators.upsert import delete_documents, insert_missing, upsert
 from docmill.schemas import EMBEDDING_MODELS, MAX_TOKENS, TABLES
-from docmill.session import new_folder, table
+from docmill.session import new_folder, table, written
 from docmill.sources.discovery import collisions, leaf_folders
 from docmill.sources.extract import extract, page_text
 
@@ -97,6 +99,16 @@ def source_hash(spark, d):
     return _docs(spark, d).select("doc_id", content_hash("text").alias("source_hash"))
 
 
+#: Published values of XXH64 with seed 0.
+_XXH64 = {"": "ef46db3751d8e999", "a": "d24ec4f1a98c6e5b", "abc": "44bc2cf5ad770999", "Nobody inspects the spammish repetition": "fbcea83c8a378bf1"}
+
+
+@query("hash_vectors", "SELECT * FROM (VALUES " + ", ".join(f"('{k}', 'xxh64:{v}')" for k, v in _XXH64.items()) + ") v(body, hash)")
+def hash_vectors(spark, d):
+    """The published hash on texts whose value is known."""
+    return spark.createDataFrame([(k,) for k in _XXH64], "body string").select("body", content_hash("body").alias("hash"))
+
+
 @query("meta_fields", r"""SELECT doc_id, '1.0' AS version, filename AS name, file_size, title, language FROM documents LEFT JOIN (SELECT doc_id AS m, max(content.title) AS title, max(content.language) AS language FROM meta GROUP BY doc_id) ON m = doc_id""")
 def meta_fields(spark, d):
     from docmill.pipeline import meta_json
@@ -206,21 +218,21 @@ r AS (
   UNION ALL
   SELECT doc_id, ws, n + 1, CASE WHEN size > 0 AND size + length(ws[n]) + 1 > {limit} THEN chunk + 1 ELSE chunk END,
     CASE WHEN size > 0 AND size + length(ws[n]) + 1 > {limit} THEN length(ws[n]) + 1 ELSE size + length(ws[n]) + 1 END, true FROM r WHERE n <= len(ws)
-), s AS (SELECT doc_id, chunk, max(size) - 1 AS n_chars, count(*) AS n_words FROM r WHERE fresh GROUP BY doc_id, chunk)
+), s AS (SELECT doc_id, chunk, max(size) - 1 AS n_chars, count(*) AS n_words, md5(string_agg(ws[n - 1], ' ' ORDER BY n)) AS digest FROM r WHERE fresh GROUP BY doc_id, chunk)
 SELECT {columns} FROM s"""
 
 
-@query("greedy_chunks", _packing_sql(1350, "doc_id, CAST(chunk AS INT) AS chunk_index, CAST(n_chars AS INT) AS n_chars, CAST(n_words AS INT) AS n_words"))
+@query("greedy_chunks", _packing_sql(1350, "doc_id, CAST(chunk AS INT) AS chunk_index, CAST(n_chars AS INT) AS n_chars, CAST(n_words AS INT) AS n_words, digest"))
 def greedy_chunks(spark, d):
     rows = _docs(spark, d).select("doc_id", F.posexplode(tx.greedy_chunks("text", MAX_TOKENS)).alias("chunk_index", "t"))
-    return rows.select("doc_id", "chunk_index", F.char_length("t").alias("n_chars"), F.size(F.split("t", " ")).alias("n_words"))
+    return rows.select("doc_id", "chunk_index", F.char_length("t").alias("n_chars"), F.size(F.split("t", " ")).alias("n_words"), F.md5("t").alias("digest"))
 
 
-@query("summary_parts", _packing_sql(15402, "doc_id, count(*) AS parts", "WHERE floor(length(text) / 3.0) > 5734") + " GROUP BY doc_id")
+@query("summary_parts", _packing_sql(15402, "doc_id, CAST(chunk AS INT) AS part, digest", "WHERE floor(length(text) / 3.0) > 5734"))
 def summary_parts(spark, d):
     most = usable_tokens(8192)
     big = _docs(spark, d).where(tx.estimate_tokens("text") > most)
-    return big.select("doc_id", F.size(tx.greedy_chunks("text", most - 600)).cast("bigint").alias("parts"))
+    return big.select("doc_id", F.posexplode(tx.greedy_chunks("text", most - SUMMARY_RESERVE)).alias("part", "t")).select("doc_id", "part", F.md5("t").alias("digest"))
 
 
 @query("nbsp_normalized", "SELECT id, replace(text, chr(160), ' ') AS text FROM chunks WHERE contains(text, chr(160))")
@@ -235,12 +247,23 @@ def contextual_text(spark, d):
     return rows.select("id", tx.shown_time("created_at").alias("made"), tx.contextual_text("title", "text").alias("contextual"))
 
 
-@query("context_messages", r"""SELECT id, 4 AS turns, length(text) AS passage FROM (SELECT DISTINCT id, text FROM chunks)""")
+_TURNS = messages("", "")  # what every request has besides document and passage
+_FIXED = [len(t["content"]) for t in _TURNS]
+
+
+@query("context_messages", f"""WITH c AS (SELECT id, min(document_id) AS document_id, arg_min(text, document_id) AS text FROM chunks WHERE text IS NOT NULL GROUP BY id)
+SELECT c.id, 'system,user,assistant,user' AS roles, {_FIXED[1]} + length(coalesce(d.text, '')) AS document, {_FIXED[3]} + length(c.text) AS passage FROM c LEFT JOIN documents d ON d.doc_id = c.document_id""")
 def context_messages(spark, d):
-    rows = table(spark, d, "chunks").select("id", "text").distinct()
-    turn = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
-    chat = F.array(turn("system", F.lit("You place passages in their document.")), turn("user", F.lit("document")), turn("assistant", F.lit("I have read it.")), turn("user", F.col("text")))
-    return rows.select("id", chat.alias("chat")).select("id", F.size("chat").alias("turns"), F.char_length(F.element_at("chat", 4)["content"]).alias("passage").cast("bigint"))
+    """The turns that are sent for every passage with its document, made by the provider's own function."""
+    one = table(spark, d, "chunks").where("text is not null").groupBy("id").agg(F.min("document_id").alias("document_id"), F.min_by("text", "document_id").alias("text"))
+    rows = one.join(_docs(spark, d).select(F.col("doc_id").alias("document_id"), F.col("text").alias("document")), "document_id", "left")
+
+    @F.pandas_udf("struct<roles:string,document:bigint,passage:bigint>")
+    def turns(document: pd.Series, passage: pd.Series) -> pd.DataFrame:
+        made = [messages(x or "", y) for x, y in zip(document, passage)]
+        return pd.DataFrame({"roles": [",".join(t["role"] for t in m) for m in made], "document": [len(m[1]["content"]) for m in made], "passage": [len(m[3]["content"]) for m in made]})
+
+    return rows.select("id", turns("document", "text").alias("t")).select("id", "t.roles", "t.document", "t.passage")
 
 
 @query("text_previews", "SELECT doc_id, CASE WHEN length(text) > 100 THEN substring(text, 1, 100) || '...' ELSE text END AS preview FROM documents")
@@ -279,7 +302,7 @@ def structural_chunks(spark, d):
 
 @query("hash_embeddings")
 def hash_embeddings(spark, d):
-    return table(spark, d, "chunks").select("id", "text").distinct().select("id", embed("text").alias("embedding"))
+    return table(spark, d, "chunks").groupBy("id").agg(F.min("text").alias("text")).select("id", embed("text").alias("embedding"))
 
 
 @query("l2_norms", "SELECT vec_id, round(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS norm, label FROM embeddings")
@@ -299,13 +322,17 @@ def dimension_check(spark, d):
     return rows.where(F.col("embedding").isNotNull() & (F.size("embedding") != F.col("dimensions"))).select("id", F.size("embedding").cast("bigint").alias("found"), F.col("dimensions").alias("expected"))
 
 
-@query("count_check", """SELECT c.document_id, c.n AS chunks, coalesce(e.n, 0) AS vectors FROM (SELECT document_id, count(DISTINCT id) AS n FROM chunks GROUP BY document_id) c
-LEFT JOIN (SELECT x.document_id, count(DISTINCT e.chunk_id) AS n FROM (SELECT DISTINCT id, document_id FROM chunks) x JOIN chunk_embeddings e ON e.chunk_id = x.id WHERE e.model = 1 GROUP BY x.document_id) e ON e.document_id = c.document_id WHERE c.n <> coalesce(e.n, 0)""")
+@query("count_check", """WITH c AS (SELECT document_id, id, bool_or(contextual_text IS NULL) AS bare FROM chunks WHERE text IS NOT NULL GROUP BY document_id, id),
+n AS (SELECT document_id, count(*) AS chunks, bool_or(bare) AS bare FROM c GROUP BY document_id),
+e AS (SELECT document_id, count(DISTINCT chunk_id) AS vectors FROM c JOIN chunk_embeddings e ON e.chunk_id = c.id WHERE e.model = 1 AND e.embedding IS NOT NULL GROUP BY document_id)
+SELECT CAST(n.document_id AS VARCHAR) AS doc_path, CASE WHEN n.chunks <> coalesce(e.vectors, 0) THEN 'chunks and vectors differ: ' || n.chunks || ' and ' || coalesce(e.vectors, 0) ELSE 'a chunk has no text' END AS error
+FROM n LEFT JOIN e ON e.document_id = n.document_id WHERE n.document_id IS NOT NULL AND (n.chunks <> coalesce(e.vectors, 0) OR n.bare)""")
 def count_check(spark, d):
-    ids = table(spark, d, "chunks").select("id", "document_id").distinct()
-    have = table(spark, d, "chunk_embeddings").where("model = 1").select(F.col("chunk_id").alias("id")).distinct().withColumn("has", F.lit(1))
-    rows = ids.join(have, "id", "left").groupBy("document_id").agg(F.count("*").alias("chunks"), F.count("has").alias("vectors"))
-    return rows.where("chunks <> vectors")
+    """The check that a load makes of every document."""
+    rows = table(spark, d, "chunks").where("text is not null and document_id is not null").groupBy("document_id", "id").agg(F.min("text").alias("text"), F.when(F.bool_or(F.col("contextual_text").isNull()), F.lit(None)).otherwise(F.min("contextual_text")).alias("contextual_text"))
+    have = table(spark, d, "chunk_embeddings").where("model = 1 and embedding is not null").groupBy(F.col("chunk_id").alias("id")).agg(F.lit(True).alias("has"))
+    sets = rows.join(have, "id", "left").groupBy(F.col("document_id").cast("string").alias("doc_path")).agg(F.collect_list(F.struct("text", "contextual_text", F.lit("{}").alias("metadata"))).alias("chunks"), F.collect_list(F.when(F.col("has"), F.array(F.lit(0.0)))).alias("vectors"))
+    return checked(sets).where(F.col("error").isNotNull()).select("doc_path", "error")
 
 
 def _query_vector(spark, d) -> list[float]:
@@ -401,10 +428,69 @@ def models_insert(spark, d):
     return insert_missing(table(spark, d, "models"), incoming, keys=["name"], now=_now()).select("name", "dimensions")
 
 
-@query("change_deltas", f"""WITH {_TARGET} SELECT (SELECT count(DISTINCT path) FROM documents) - (SELECT count(*) FROM t) AS documents_added""")
+_LOADED = """c AS (SELECT document_id, chunk_index, arg_min(text, id) AS text FROM chunks WHERE text IS NOT NULL AND document_id IS NOT NULL AND chunk_index IS NOT NULL GROUP BY document_id, chunk_index),
+n AS (SELECT document_id, count(*) AS n, md5(string_agg(text, chr(10) ORDER BY chunk_index)) AS digest FROM c GROUP BY document_id),
+p AS (SELECT path, max(doc_id) AS doc_id FROM documents WHERE path IS NOT NULL AND doc_id IN (SELECT document_id FROM n) GROUP BY path), i AS (SELECT p.path, p.doc_id, n.n, n.digest FROM p JOIN n ON n.document_id = p.doc_id)"""
+
+
+def _incoming(spark, d) -> DataFrame:
+    """Chunk and vector sets of the newest chunked delivery of every path, ready to be loaded."""
+    rows = table(spark, d, "chunks").where("text is not null and document_id is not null and chunk_index is not null").groupBy("document_id", "chunk_index").agg(F.min_by("text", "id").alias("text"))
+    rows = rows.withColumn("v", embed("text"))
+    piece = F.struct("chunk_index", F.struct("text", F.col("text").alias("contextual_text"), F.lit("{}").alias("metadata")).alias("c"), F.coalesce("v", F.array(F.lit(0.0).cast("float"))).alias("v"))
+    sets = rows.groupBy("document_id").agg(F.array_sort(F.collect_list(piece)).alias("z"))
+    docs = _docs(spark, d).where("path is not null").select("path", "doc_id", "filename", "file_size", "last_modified", "chunks_file_path")
+    newest = docs.join(sets, docs["doc_id"] == sets["document_id"]).groupBy("path").agg(F.max_by(F.struct("doc_id", "filename", "file_size", "last_modified", "chunks_file_path", "z"), "doc_id").alias("r"))
+    rows = newest.select(F.col("path").alias("doc_path"), "r.*")
+    return rows.select("doc_path", "doc_id", "filename", "file_size", "last_modified", "chunks_file_path", F.transform("z", lambda x: x["c"]).alias("chunks"), F.transform("z", lambda x: x["v"]).alias("vectors"), F.lit("2031-06-01").cast("timestamp").alias("embedded_at"))
+
+
+def _loaded_twice(spark, d):
+    """A store that got all paths but those of every tenth document (the ones of every eleventh in error), and then all paths again
+    with what is new for every seventh."""
+    from docmill.store import Store
+
+    store = Store(spark, new_folder(spark, "store"))
+    incoming = written(_incoming(spark, d), "incoming")
+    broken = incoming.withColumn("vectors", F.when(F.col("doc_id") % 11 == 0, F.slice("vectors", 1, F.size("vectors") - 1)).otherwise(F.col("vectors")))
+    load(store, broken.where("doc_id % 10 <> 0").drop("doc_id"), DEFAULT_MODEL, now=F.lit("2031-07-01").cast("timestamp"))
+    newer = broken.withColumn("embedded_at", F.when(F.col("doc_id") % 7 == 0, F.lit("2031-08-01").cast("timestamp")).otherwise(F.col("embedded_at")))
+    newer = newer.withColumn("chunks", F.when(F.col("doc_id") % 7 == 0, F.transform("chunks", lambda c: c.withField("text", F.concat(c["text"], F.lit("!"))))).otherwise(F.col("chunks")))
+    return store, load(store, newer.drop("doc_id"), DEFAULT_MODEL, now=F.lit("2031-09-01").cast("timestamp"))
+
+
+@query("load_store", f"""WITH {_LOADED}, t AS (SELECT c.document_id, md5(string_agg(c.text || '!', chr(10) ORDER BY c.chunk_index)) AS digest FROM c GROUP BY c.document_id)
+SELECT i.path, i.n AS chunks, i.n AS vectors, CASE WHEN i.doc_id % 7 = 0 THEN t.digest ELSE i.digest END AS digest, CASE WHEN i.doc_id % 7 = 0 OR i.doc_id % 10 = 0 THEN '2031-09-01' ELSE '2031-07-01' END AS updated
+FROM i JOIN t ON t.document_id = i.doc_id WHERE i.doc_id % 11 <> 0""")
+def load_store(spark, d):
+    """Two loads of all documents end to end: what the store holds of every path."""
+    store, _ = _loaded_twice(spark, d)
+    chunks = store.table("chunks").join(store.table("embeddings").select(F.col("chunk_id").alias("id"), F.lit(1).alias("has")), "id", "left")
+    held = chunks.groupBy(F.col("document_id").alias("id")).agg(F.count("*").alias("chunks"), F.count("has").alias("vectors"), F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "text"))), lambda x: x["text"]), "\n")).alias("digest"))
+    return store.table("documents").join(held, "id").select("path", "chunks", "vectors", "digest", F.date_format("updated_at", "yyyy-MM-dd").alias("updated"))
+
+
+@query("change_deltas", f"""WITH {_LOADED}, x AS (SELECT * FROM i WHERE doc_id % 10 = 0 AND doc_id % 11 <> 0), g AS (SELECT count(*) AS given FROM i), w AS (SELECT count(*) AS bad FROM i WHERE doc_id % 11 = 0)
+SELECT 3 AS id, (SELECT count(*) FROM x) AS documents_added, 0 AS documents_deleted, (SELECT coalesce(sum(n), 0) FROM x) AS chunks_added, 0 AS chunks_deleted, (SELECT coalesce(sum(n), 0) FROM x) AS embeddings_added, 0 AS embeddings_deleted,
+'Loaded ' || (given - bad) || ' files with model hashing-384' || CASE WHEN bad > 0 THEN ' (' || bad || ' errors)' ELSE '' END AS notes FROM g, w""")
 def change_deltas(spark, d):
-    counts = status.counts_row({"before": _target(spark, d), "after": _docs(spark, d).select("path").distinct()})
-    return counts.select((F.col("after") - F.col("before")).alias("documents_added"))
+    """The change row that a load writes."""
+    store, _ = _loaded_twice(spark, d)
+    return store.table("schema_changes").where("id = 3").select("id", *[c for c in store.table("schema_changes").columns if c.endswith(("_added", "_deleted")) and c != "embedding_models_added"], "notes")
+
+
+@query("status_report", f"""WITH {_LOADED}, x AS (SELECT * FROM i WHERE doc_id % 11 <> 0)
+SELECT 'documents' AS fact, CAST(count(*) AS VARCHAR) AS value FROM x UNION ALL SELECT 'chunks', CAST(sum(n) AS VARCHAR) FROM x UNION ALL SELECT 'embeddings', CAST(sum(n) AS VARCHAR) FROM x UNION ALL SELECT 'models', '1'
+UNION ALL SELECT 'hashing-384', CAST(sum(n) AS VARCHAR) FROM x UNION ALL SELECT 'change', '1' UNION ALL SELECT 'change', '2' UNION ALL SELECT 'change', '3'
+UNION ALL SELECT 'recent', path FROM (SELECT path FROM x ORDER BY (doc_id % 7 = 0 OR doc_id % 10 = 0) DESC, path LIMIT 5)""")
+def status_report(spark, d):
+    """What the status of a loaded store says."""
+    store, _ = _loaded_twice(spark, d)
+    found = status.status(store)
+    rows = found["totals"].select(F.explode(F.array(*[F.struct(F.lit(n).alias("fact"), F.col(n).cast("string").alias("value")) for n in ("documents", "chunks", "embeddings", "models")])).alias("x")).select("x.*")
+    rows = rows.unionByName(found["models"].select(F.col("name").alias("fact"), F.col("embeddings").cast("string").alias("value")))
+    rows = rows.unionByName(found["changes"].select(F.lit("change").alias("fact"), F.col("id").cast("string").alias("value")))
+    return rows.unionByName(found["documents"].select(F.lit("recent").alias("fact"), F.col("path").alias("value")))
 
 
 @query("stats_totals", "SELECT (SELECT count(*) FROM documents) AS documents, (SELECT count(*) FROM chunks) AS chunks, (SELECT count(*) FROM chunk_embeddings) AS embeddings, (SELECT count(*) FROM models) AS models")
@@ -422,16 +508,24 @@ def manifest(spark, d):
     return status.manifest(_docs(spark, d))
 
 
-@query("recent_documents", "SELECT path, doc_id FROM documents ORDER BY updated_at DESC NULLS LAST, path, doc_id LIMIT 5")
+@query("recent_documents", "SELECT path, doc_id FROM (SELECT path, max(doc_id) AS doc_id, arg_max({u: updated_at}, doc_id).u AS updated_at FROM documents WHERE path IS NOT NULL GROUP BY path) ORDER BY updated_at DESC NULLS LAST, path LIMIT 5")
 def recent_documents(spark, d):
-    return _docs(spark, d).orderBy(F.desc_nulls_last("updated_at"), "path", "doc_id").limit(5).select("path", "doc_id")
+    rows = _docs(spark, d).where("path is not null").groupBy("path").agg(F.max("doc_id").alias("doc_id"), F.max_by(F.struct("updated_at"), "doc_id").alias("s"))
+    return status.recent_documents(rows.select("path", "doc_id", F.col("s.updated_at").alias("updated_at"))).select("path", "doc_id")
 
 
-@query("run_log", """SELECT run_id, 'run ' || run_id || ' ' || strftime(min(started_at), '%Y-%m-%d %H:%M') || chr(10) || CASE WHEN bool_or(status = 'completed') THEN 'completed' ELSE 'nothing' END AS line FROM load_runs GROUP BY run_id""")
+@query("run_log", """SELECT run_id, chr(10) || 'Update #' || run_id || ':' || chr(10) || '  Timestamp      : ' || coalesce(strftime(min(started_at), '%Y-%m-%d %H:%M'), 'Unknown') || chr(10) || '  Tool           : loader'
+|| CASE WHEN run_id % 3 > 0 THEN chr(10) || '  Documents added: ' || run_id % 3 ELSE '' END || CASE WHEN run_id % 2 > 0 THEN chr(10) || '  Embeds deleted : ' || run_id % 2 ELSE '' END
+|| CASE WHEN bool_or(status = 'completed') THEN chr(10) || '  Models added   : a, b' || chr(10) || '  Notes          : completed' ELSE '' END AS line FROM load_runs GROUP BY run_id""")
 def run_log(spark, d):
-    rows = table(spark, d, "load_runs").groupBy("run_id").agg(F.min("started_at").alias("at"), F.max(F.col("status") == "completed").alias("ok"))
-    line = F.concat_ws("\n", F.concat(F.lit("run "), F.col("run_id").cast("string"), F.lit(" "), tx.shown_time("at")), F.when(F.col("ok"), "completed").otherwise("nothing"))
-    return rows.select("run_id", line.alias("line"))
+    """Runs as rows of the change log, shown as the status shows them."""
+    rows = table(spark, d, "load_runs").groupBy("run_id").agg(F.min("started_at").alias("changed_at"), F.max(F.col("status") == "completed").alias("ok"))
+    none = F.lit(0)
+    log = rows.select(
+        F.col("run_id").alias("id"), "changed_at", F.lit("loader").alias("changed_by_tool"), F.lit("").alias("changed_by_version"), F.lit(None).cast("string").alias("changed_by_user"), (F.col("run_id") % 3).alias("documents_added"), none.alias("documents_deleted"),
+        none.alias("chunks_added"), none.alias("chunks_deleted"), none.alias("embeddings_added"), (F.col("run_id") % 2).alias("embeddings_deleted"), F.when(F.col("ok"), F.array(F.lit("a"), F.lit("b"))).alias("embedding_models_added"), F.when(F.col("ok"), "completed").alias("notes"),
+    )
+    return log.select(F.col("id").alias("run_id"), status.change_text().alias("line"))
 
 
 def _stages(spark, d):
@@ -471,6 +565,20 @@ def audit_summary(spark, d):
     return row.select("sources", "chunks", "embeddings", "metadata", "missing_chunks", "stale_chunks", "stale_embeddings", "passed")
 
 
+@query("audit_passed", "SELECT count(*) AS sources, count(*) FILTER (doc_id % 5 <> 0) AS chunks, count(*) FILTER (doc_id % 5 = 0) AS zero_chunks, count(*) FILTER (doc_id % 5 <> 0) AS embeddings, count(*) AS metadata, 2 AS unknown_file, 0 AS orphan_folder, true AS passed FROM documents")
+def audit_passed(spark, d):
+    """Stages that agree: the audit passes, whatever unknown files lie about."""
+    sources = _docs(spark, d).select(F.col("doc_id").cast("string").alias("doc_path"), F.col("path").alias("source_hash"), "doc_id")
+    chunked = sources.select("doc_path", "source_hash", F.col("doc_path").alias("chunks_hash"), F.when(F.col("doc_id") % 5 == 0, 0).otherwise(3).alias("chunk_count"))
+    embedded = chunked.where("chunk_count > 0").select("doc_path", F.lit("m").alias("model"), "chunks_hash")
+    meta = sources.select("doc_path", F.lit("1.0").alias("metadata_version"))
+    others = spark.createDataFrame([("1", "notes.txt"), ("2", "x.tmp")], "doc_path string, file string")
+    stages = sources.drop("doc_id"), chunked, embedded, meta
+    messages_ = status.audit_messages(*stages, model="m", others=others, folders=sources.select(F.col("doc_path").alias("folder")))
+    row = status.audit_summary(*stages, messages_, model="m")
+    return row.select("sources", "chunks", "zero_chunks", "embeddings", "metadata", "unknown_file", "orphan_folder", "passed")
+
+
 _BOOLS = "('true'), ('F'), ('Yes'), ('n'), ('1'), ('0'), ('None'), (NULL)"
 
 
@@ -553,14 +661,32 @@ def document_terms(spark, d):
 
 @query("search_vectors")
 def search_vectors(spark, d):
-    rows = table(spark, d, "chunks").select("id", "contextual_text").distinct()
-    return rows.select("id", ts.search_vector("contextual_text").alias("text_search_vector"))
+    return _one_text(spark, d).select("id", ts.search_vector("contextual_text").alias("text_search_vector"))
+
 
+def _one_text(spark, d) -> DataFrame:
+    """One contextual text of every chunk id; texts move once, by id."""
+    return table(spark, d, "chunks").groupBy("id").agg(F.min("contextual_text").alias("contextual_text"))
 
-@query("fts_match")
+
+@query("fts_match", r"""SELECT id FROM (SELECT id, lower(min(contextual_text)) AS t FROM chunks GROUP BY id)
+WHERE regexp_matches(t, '(^|[^\p{L}\p{N}])(battery|batteries)([^\p{L}\p{N}]|$)') AND regexp_matches(t, '(^|[^\p{L}\p{N}])(reject|rejects|rejected|rejecting|rejection|rejections|column|columns)([^\p{L}\p{N}]|$)')""")
 def fts_match(spark, d):
-    rows = table(spark, d, "chunks").select("id", "contextual_text").distinct()
-    return rows.where(ts.matches(ts.search_vector("contextual_text"), "batteries rejecting")).select("id")
+    """Texts with every lexeme of one of two questions."""
+    v = ts.search_vector("contextual_text")
+    rows = _one_text(spark, d).select("id", v.alias("v"))
+    return rows.where(ts.matches("v", "batteries rejecting") | ts.matches("v", "battery columns")).select("id")
+
+
+#: Words and their published stems.
+_STEMS = "caresses caress flies fli dying die agreed agre owned own meeting meet hopping hop hoping hope traditional tradit reference refer colonizer colon relational relat happy happi generous generous communism communism knightly knight".split()
+
+
+@query("lexeme_stems", "SELECT * FROM (VALUES " + ", ".join(f"('the {w}, and {w}', '{s}', 2, 4)" for w, s in zip(_STEMS[::2], _STEMS[1::2])) + ") v(body, lexeme, first, second)")
+def lexeme_stems(spark, d):
+    """Text-search vectors of texts whose lexemes and positions are known; stop words count as positions."""
+    rows = spark.createDataFrame([(f"the {w}, and {w}",) for w in _STEMS[::2]], "body string")
+    return rows.select("body", F.explode(ts.search_vector("body")).alias("x")).select("body", "x.lexeme", F.col("x.positions")[0].alias("first"), F.col("x.positions")[1].alias("second"))
 
 
 _BM25 = f"""WITH {_TERMS}, f AS (SELECT term, count(*) AS df FROM i WHERE term IN ('turbine', 'battery', 'checksum') GROUP BY term),
@@ -588,6 +714,48 @@ def hybrid_rrf(spark, d):
     return ts.reciprocal_rank_fusion(words, vectors, key="key").select("key", F.round("rrf_score", 6).alias("rrf_score"))
 
 
+#: The question of ``search_passages``: its lexemes and the forms that the test texts have of them.
+_QUESTION = "turbines, battery and checksums"
+_FORMS = {"turbin": ["turbine", "turbines"], "batteri": ["battery", "batteries"], "checksum": ["checksum", "checksums"]}
+_IN = " ".join(f"WHEN word IN ({', '.join(repr(w) for w in words)}) THEN '{lexeme}'" for lexeme, words in _FORMS.items())
+
+
+@query("search_passages", rf"""WITH m AS (SELECT dimensions AS dims FROM models WHERE id = 1),
+c AS (SELECT id, min(document_id) AS document_id, min(chunk_index) AS chunk_index, min(text) AS text, min(contextual_text) AS t FROM chunks WHERE text IS NOT NULL GROUP BY id),
+v AS (SELECT chunk_id, embedding::DOUBLE[] AS v FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY created_at DESC, id DESC) AS n FROM chunk_embeddings, m WHERE model = 1 AND len(embedding) = dims AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0) WHERE n = 1),
+q AS (SELECT v AS q FROM v ORDER BY chunk_id LIMIT 1), s AS (SELECT chunk_id, round(list_cosine_similarity(v, q), 9) AS similarity FROM v, q),
+a AS (SELECT chunk_id, similarity, row_number() OVER (ORDER BY similarity DESC, chunk_id) AS r FROM s WHERE similarity >= 0.1 QUALIFY r <= 100),
+w AS (SELECT id, unnest(regexp_extract_all(lower(t), '[\p{{L}}\p{{N}}]+')) AS word FROM c WHERE t IS NOT NULL),
+z AS (SELECT id, count(*) AS size FROM w WHERE word NOT IN ({_STOP}) GROUP BY id), n AS (SELECT count(*) AS docs, avg(size) AS mean FROM z),
+i AS (SELECT id, lexeme, count(*) AS tf FROM (SELECT id, CASE {_IN} END AS lexeme FROM w) WHERE lexeme IS NOT NULL GROUP BY id, lexeme), f AS (SELECT lexeme, count(*) AS df FROM i GROUP BY lexeme),
+b AS (SELECT i.id AS chunk_id, round(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))), 9) AS bm25 FROM i JOIN f ON f.lexeme = i.lexeme JOIN z ON z.id = i.id, n GROUP BY i.id),
+br AS (SELECT chunk_id, bm25, row_number() OVER (ORDER BY bm25 DESC, chunk_id) AS r FROM b QUALIFY r <= 100),
+u AS (SELECT coalesce(a.chunk_id, br.chunk_id) AS id, coalesce(1.0 / (60 + a.r), 0) + coalesce(1.0 / (60 + br.r), 0) AS score, similarity, bm25 FROM a FULL JOIN br ON a.chunk_id = br.chunk_id),
+j AS (SELECT u.*, c.chunk_index, c.text, d.path FROM u JOIN c ON c.id = u.id JOIN documents d ON d.doc_id = c.document_id),
+k AS (SELECT *, row_number() OVER (ORDER BY score DESC, id) AS n FROM j QUALIFY n <= 25), l AS (SELECT *, sum(floor(length(text) / 3.0)) OVER (ORDER BY score DESC, id) AS tokens FROM k)
+SELECT path AS document_path, chunk_index, round(similarity, 6) AS similarity, round(bm25, 6) AS bm25, round(score, 6) AS rrf_score FROM l WHERE tokens <= 6000""")
+def search_passages(spark, d):
+    """A question put to a store of all chunks and vectors, under stored settings."""
+    from docmill.operators.retrieval import search
+    from docmill.store import Store
+
+    store = Store(spark, new_folder(spark, "store"))
+    store.initialize(now=_now())
+    dims = table(spark, d, "models").where("id = 1").first().dimensions
+    chunks = table(spark, d, "chunks").where("text is not null").groupBy("id").agg(*[F.min(c).alias(c) for c in ("document_id", "chunk_index", "text", "contextual_text")])
+    usable = (F.size("embedding") == dims) & F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v)) & F.exists("embedding", lambda v: v != 0)
+    vectors = table(spark, d, "chunk_embeddings").where("model = 1").where(usable).groupBy("chunk_id", "model").agg(F.max_by("embedding", F.struct("created_at", "id")).alias("embedding"), F.max("id").alias("id"))
+    model = spark.range(1).select(F.lit(1).alias("id"), F.lit(DEFAULT_MODEL).alias("name"), F.lit(dims).alias("dimensions"), F.lit("table").alias("provider"), F.lit(None).alias("description"), _now().alias("created_at"))
+    store.commit({
+        "documents": _docs(spark, d).withColumn("id", F.col("doc_id")), "models": model, "embeddings": vectors.withColumn("created_at", _now()),
+        "chunks": chunks.withColumn("metadata", F.lit("{}")).withColumn("text_search_vector", ts.search_vector("contextual_text")).withColumn("created_at", _now()),
+    })
+    status.configure(store, max_chunks="25", max_tokens_in_context="6000", similarity_threshold="0.1")
+    first = store.table("embeddings").orderBy("chunk_id").select("embedding").first()[0]
+    found = search(store, _QUESTION, encode=lambda questions: [first for _ in questions])
+    return found.select("document_path", "chunk_index", *[F.round(c, 6).alias(c) for c in ("similarity", "bm25", "rrf_score")])
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """By language: documents, greedy chunks, mean token estimate, and how many chunks got a vector."""
     docs = _docs(spark, d).select(F.coalesce(F.lower(F.substring_index("lang", "-", 1)), F.lit("und")).alias("lang"), "doc_id", "text")

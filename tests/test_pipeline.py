@@ -270,4 +270,18 @@ def test_search(spark, folder, tmp_path):
     status.configure(store, max_chunks="2", max_tokens_in_context="400", similarity_threshold="0.99")
     few = search(store, "first para").collect()
     assert len(few) <= 2 and all(r.similarity is None for r in few)
+    # an index of this snapshot gives the same passages; one of an older snapshot does not count
+    from docmill.operators.index import SearchIndex
+
+    status.configure(store, max_chunks="none", max_tokens_in_context="none", similarity_threshold="none", enable_refinement="yes", refinement_questions_count="2")
+    ask = lambda: [(r.document_path, r.chunk_index, round(r.rrf_score, 9)) for r in search(store, "first para", refine=lambda q, n: ["code text", "other"]).collect()]
+    scanned = ask()
+    index = SearchIndex(store)
+    assert index.current() is None
+    index.build()
+    assert index.current()["documents"] == store.table("chunks").count() and ask() == scanned
+    status.configure(store, max_chunks="1")
+    assert index.current() is not None and len(ask()) == 1
+    pipeline.load_content(content, store, force=True)
+    assert index.current() is None
     assert refined("q", 2, lambda q, n: [q + "?"] * 5) == ["q", "q?", "q?"] and refined("q", 3) == ["q"]
