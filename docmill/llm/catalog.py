@@ -114,4 +114,4 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 P7_SQL = "SELECT choose, (SELECT count(*) FROM documents WHERE text <> '') AS documents, true AS whole, true AS kept, true AS gapless FROM (VALUES ('residual'), ('dot')) v(choose)"
 QUERIES = {"p1_found": p1_found, "p1_neighbours": p1_neighbours, "p3_method": p3_method, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_bodies": p4_bodies, "p5_found": p5_found, "p5_classes": p5_classes, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_method": p7_method, "p8_found": p8_found}
-SQL: dict[str, str] = {"p1_found": similar.FOUND_SQL, "p3_method": cutting.METHOD_SQL, "p3_found": cutting.FOUND_SQL, "p5_found": neardup.FOUND_SQL, "p7_method": P7_SQL}
+SQL: dict[str, str] = {"p1_found": similar.FOUND_SQL, "p1_neighbours": similar.NEIGHBOURS_SQL, "p3_method": cutting.METHOD_SQL, "p3_found": cutting.FOUND_SQL, "p5_found": neardup.FOUND_SQL, "p5_classes": neardup.CLASSES_SQL, "p7_method": P7_SQL}

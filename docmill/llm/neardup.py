@@ -347,3 +347,9 @@ n AS (SELECT id, count(*) AS size FROM s GROUP BY id),
 p AS (SELECT a.id AS a, b.id AS b, count(*) AS common FROM s a JOIN s b ON a.run = b.run AND a.id < b.id GROUP BY a.id, b.id)
 SELECT a AS chunk_id_a, b AS chunk_id_b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 10 * common >= 7 * (x.size + y.size - common)
 """
+CLASSES_SQL = FOUND_SQL[: FOUND_SQL.rindex("SELECT a AS chunk_id_a")] + r"""
+, k AS (SELECT id, md5(string_agg(run, chr(10) ORDER BY run)) AS c FROM s GROUP BY id),
+e AS (SELECT a, b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 10 * common >= 7 * (x.size + y.size - common)),
+li AS (SELECT a.id, count(*) AS links FROM (SELECT a AS id, b AS other FROM e UNION ALL SELECT b, a FROM e) a JOIN k x ON x.id = a.id JOIN k y ON y.id = a.other WHERE x.c <> y.c GROUP BY a.id)
+SELECT k.id AS chunk_id, min(k.id) OVER (PARTITION BY k.c) AS class_id, coalesce(li.links, 0) AS links FROM k LEFT JOIN li ON li.id = k.id
+"""

@@ -491,3 +491,7 @@ s AS (SELECT a.model, a.chunk_id AS a, b.chunk_id AS b, list_cosine_similarity(a
 t AS (SELECT model, a, b FROM (SELECT *, row_number() OVER (PARTITION BY model, a ORDER BY round(c, 6) DESC, b) AS r FROM s WHERE c >= 0.75) WHERE r <= 10)
 SELECT t.model, t.a AS chunk_id_a, t.b AS chunk_id_b FROM t JOIN t r ON r.model = t.model AND r.a = t.b AND r.b = t.a WHERE t.a < t.b
 """
+NEIGHBOURS_SQL = FOUND_SQL[: FOUND_SQL.rindex("s AS (SELECT a.model")] + """
+s AS (SELECT a.model, a.chunk_id AS a, b.chunk_id AS b, list_cosine_similarity(a.v, b.v) AS c FROM u a JOIN u b ON a.model = b.model AND a.chunk_id <> b.chunk_id WHERE a.chunk_id % 100 = 0)
+SELECT model, a AS chunk_id, b AS neighbour, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY model, a ORDER BY round(c, 6) DESC, b) AS r FROM s) WHERE r <= 10
+"""
