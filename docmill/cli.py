@@ -64,7 +64,7 @@ def parser() -> argparse.ArgumentParser:
 def _audit(content: pipeline.Content, args) -> bool:
     sources = pipeline.matching(content.read("ingested", pipeline.INGESTED).where("error is null"), args.pattern)
     chunked = pipeline.matching(content.read("chunked", pipeline.CHUNKED).where("error is null"), args.pattern)
-    embedded = pipeline.matching(content.read("embedded", pipeline.EMBEDDED), args.pattern)
+    embedded = pipeline.matching(pipeline.sets_of(content.read("embedded", pipeline.EMBEDDED)), args.pattern)
     meta = sources.selectExpr("doc_path", "get_json_object(meta, '$.metadata_version') AS metadata_version")
     messages = status.audit_messages(sources, chunked, embedded, meta, model=args.model)
     messages.orderBy("doc_path", "kind").show(1000, False)

@@ -33,23 +33,32 @@ class LoadResult:
     deltas: dict[str, int]
 
 
-def incoming_documents(chunk_sets: DataFrame, embed_sets: DataFrame, model: str) -> DataFrame:
-    """Documents that have both chunks and vectors of the model: path, file facts, chunks, vectors, embedded_at."""
-    vectors = embed_sets.where(F.col("model") == model).select("doc_path", "vectors", "embedded_at")
-    return chunk_sets.join(vectors, "doc_path")
-
-
 def checked(incoming: DataFrame, dimensions: int | None = None) -> DataFrame:
-    """Adds ``error``: unequal counts, chunks without text, and (if asked) vectors of other dimensions."""
-    e = F.when(F.size("chunks") != F.size("vectors"), F.concat(F.lit("chunks and vectors differ: "), F.size("chunks").cast("string"), F.lit(" and "), F.size("vectors").cast("string")))
+    """Adds ``error``: unequal counts, chunks without text, and (if asked) vectors of other dimensions. ``incoming`` has
+    the vectors of a document as an array, or their number and sizes as ``n_vectors``, ``least`` and ``most``."""
+    if "vectors" in incoming.columns:
+        n, other = F.size("vectors"), F.exists("vectors", lambda v: F.size(v) != dimensions) if dimensions else F.lit(False)
+    else:
+        n, other = F.col("n_vectors"), (F.col("least") != dimensions) | (F.col("most") != dimensions) if dimensions else F.lit(False)
+    e = F.when(F.size("chunks") != n, F.concat(F.lit("chunks and vectors differ: "), F.size("chunks").cast("string"), F.lit(" and "), n.cast("string")))
     e = e.when(F.exists("chunks", lambda c: c["text"].isNull() | c["contextual_text"].isNull()), F.lit("a chunk has no text"))
-    if dimensions:
-        e = e.when(F.exists("vectors", lambda v: F.size(v) != dimensions), F.lit("a vector has other dimensions"))
-    return incoming.withColumn("error", e)
+    return incoming.withColumn("error", e.when(other, F.lit("a vector has other dimensions")))
+
+
+def _counted(incoming: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``incoming`` with the number and sizes of its documents' vectors; counted by partial aggregation, not gathered."""
+    size = F.coalesce(F.size("embedding"), F.lit(-1))
+    held = vectors.groupBy("doc_path").agg(F.count("*").cast("int").alias("n_vectors"), F.min(size).alias("least"), F.max(size).alias("most"))
+    return incoming.join(held, "doc_path", "left").withColumn("n_vectors", F.coalesce("n_vectors", F.lit(0)))
 
 
-def load(store: Store, incoming: DataFrame, model: str, *, force: bool = False, prune: bool = False, strict_dimensions: bool = False, title: str | None = None, description: str | None = None, user: str | None = None, note: str | None = None, now: Column | None = None) -> LoadResult:
-    """``incoming``: doc_path, filename, file_size, last_modified, chunks_file_path, chunks, vectors, embedded_at."""
+def load(store: Store, incoming: DataFrame, model: str, *, vectors: DataFrame | None = None, force: bool = False, prune: bool = False, strict_dimensions: bool = False, title: str | None = None, description: str | None = None, user: str | None = None, note: str | None = None, now: Column | None = None) -> LoadResult:
+    """``incoming``: doc_path, filename, file_size, last_modified, chunks_file_path, chunks, embedded_at, and the vectors as an
+    array ``vectors`` unless they are given as rows (doc_path, chunk_index, embedding)."""
+    if vectors is None:
+        vectors = incoming.select("doc_path", F.posexplode("vectors").alias("chunk_index", "embedding"))
+        incoming = incoming.drop("vectors")
+    given_vectors = vectors
     _, dimensions, _ = model_info(model)
     store.initialize(user=user)
     buckets_of_store = store.bucketed()
@@ -62,7 +71,7 @@ def load(store: Store, incoming: DataFrame, model: str, *, force: bool = False,
     scratch = Scratch()
     models = scratch.written(insert_missing(models_before, entry, keys=["name"], now=now), "models")
     model_id = models.where(F.col("name") == model).first().id
-    rows = checked(incoming, dimensions if strict_dimensions else None).withColumn("_bucket", bucket_of("doc_path", buckets_of_store))
+    rows = checked(_counted(incoming, given_vectors), dimensions if strict_dimensions else None).withColumn("_bucket", bucket_of("doc_path", buckets_of_store))
     errors = rows.where(F.col("error").isNotNull()).select("doc_path", "error")
     good = rows.where(F.col("error").isNull())
     buckets = sorted(r[0] for r in good.select("_bucket").distinct().collect())  # at most as many as the store has
@@ -82,8 +91,8 @@ def load(store: Store, incoming: DataFrame, model: str, *, force: bool = False,
     ids = docs.select(F.col("id").alias("document_id"), "path").join(good.select(F.col("doc_path").alias("path")), "path", "left_semi")
     if force:
         chunks, vectors = delete_documents(chunks, vectors, ids.select(F.col("document_id").alias("id")))
-    pieces = good.select(F.col("doc_path").alias("path"), "_bucket", F.posexplode(F.arrays_zip("chunks", "vectors")).alias("chunk_index", "z")).join(ids, "path")
-    pieces = scratch.written(pieces.select("document_id", "chunk_index", F.col("z.chunks.text").alias("text"), F.col("z.chunks.contextual_text").alias("contextual_text"), F.coalesce("z.chunks.metadata", F.lit("{}")).alias("metadata"), F.col("z.vectors").alias("embedding"), "_bucket"), "pieces")
+    pieces = good.select("doc_path", "_bucket", F.posexplode("chunks").alias("chunk_index", "c")).join(ids.withColumnRenamed("path", "doc_path"), "doc_path").join(given_vectors, ["doc_path", "chunk_index"])
+    pieces = scratch.written(pieces.select("document_id", "chunk_index", "c.text", "c.contextual_text", F.coalesce("c.metadata", F.lit("{}")).alias("metadata"), "embedding", "_bucket"), "pieces")
     if prune:
         last = pieces.groupBy("document_id").agg(F.max("chunk_index").alias("last"))
         tail = chunks.join(last, "document_id").where("chunk_index > last").select("id")

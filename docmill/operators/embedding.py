@@ -164,12 +164,8 @@ def embed(text: Column | str, model: str = DEFAULT_MODEL) -> Column:
 
 
 def embed_chunks(chunk_sets: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
-    """(doc_path, model, dimensions, vectors, count) from (doc_path, chunks): one row for each document with chunks.
-
-    Chunks are encoded as rows, so a document with very many of them is spread over batches, then gathered in order.
-    """
+    """(doc_path, model, dimensions, chunk_index, vector, chunks_hash) from (doc_path, chunks, chunks_hash): one row for
+    each chunk, so a document with very many of them is spread over batches and never gathered."""
     _, dimensions, _ = model_info(model)
-    rows = chunk_sets.where(F.size("chunks") > 0).select("doc_path", F.posexplode("chunks").alias("n", "c")).select("doc_path", "n", embed("c.contextual_text", model).alias("v"))
-    gathered = rows.groupBy("doc_path").agg(F.array_sort(F.collect_list(F.struct("n", "v"))).alias("nv"))
-    vectors = F.transform("nv", lambda x: x["v"])
-    return gathered.select("doc_path", F.lit(model).alias("model"), F.lit(dimensions).alias("dimensions"), vectors.alias("vectors"), F.size("nv").alias("count"))
+    rows = chunk_sets.where(F.size("chunks") > 0).select("doc_path", "chunks_hash", F.posexplode("chunks").alias("chunk_index", "c"))
+    return rows.select("doc_path", F.lit(model).alias("model"), F.lit(dimensions).alias("dimensions"), "chunk_index", embed("c.contextual_text", model).alias("vector"), "chunks_hash")

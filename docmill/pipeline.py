@@ -23,7 +23,7 @@ from docmill import schemas
 from docmill.errors import ContentError
 from docmill.functions import text as tx
 from docmill.functions.hashing import content_hash
-from docmill.load import LoadResult, incoming_documents, load
+from docmill.load import LoadResult, load
 from docmill.operators.chunking import ChunkParameters, chunk_documents, chunks_hash
 from docmill.operators.embedding import DEFAULT_MODEL, embed_chunks, model_info
 from docmill.operators.staleness import work_list
@@ -35,7 +35,7 @@ from docmill.store import Store
 
 INGESTED = "doc_path string, filename string, file_size long, last_modified timestamp, source_hash string, title string, blocks array<struct<kind:string,level:int,text:string,page:int>>, meta string, error string"
 CHUNKED = "doc_path string, filename string, file_size long, last_modified timestamp, source_hash string, parameters string, chunks array<struct<text:string,contextual_text:string,metadata:string>>, chunk_count int, chunks_hash string, chunks_file_path string, enrichment string, failed_contexts int, error string"
-EMBEDDED = "doc_path string, model string, dimensions int, vectors array<array<float>>, count int, chunks_hash string, embedded_at timestamp"
+EMBEDDED = "doc_path string, model string, dimensions int, chunk_index int, vector array<float>, chunks_hash string, embedded_at timestamp"
 #: Error of a source whose path another one of the same stem has.
 _TAKEN = "ContentError: its path belongs to "
 _README = "# Content folder\n\nStage tables of docmill; they are made again from the sources where they are stale.\n"
@@ -219,20 +219,26 @@ def generate_embeddings(content: Content, *, model: str = DEFAULT_MODEL, pattern
     sets = matching(content.read("chunked", CHUNKED).where("error is null and chunk_count > 0"), pattern)
     old = content.read("embedded", EMBEDDED)
     current = sets.select("doc_path", "chunks", "chunks_hash", F.lit(model).alias("model"), F.lit(dimensions).alias("dimensions"))
-    todo = work_list(current, old.select("doc_path", "model", "chunks_hash", "dimensions"), ["doc_path", "model"], ["chunks_hash", "dimensions"], force=force)
+    todo = work_list(current, sets_of(old).select("doc_path", "model", "chunks_hash", "dimensions"), ["doc_path", "model"], ["chunks_hash", "dimensions"], force=force)
     if dry_run:
         return todo.select("doc_path", "model")
-    rows = embed_chunks(todo, model).join(todo.select("doc_path", "chunks_hash"), "doc_path").withColumn("embedded_at", now)
-    rows = written(rows, "embedded")
-    n = rows.count()
+    rows = written(embed_chunks(todo, model).withColumn("embedded_at", now), "embedded")
+    n = sets_of(rows).count()
     if n:
-        content.replace("embedded", old.join(rows.select("doc_path", "model"), ["doc_path", "model"], "left_anti").select(*old.columns).unionByName(rows.select(*old.columns)))
-    return StageResult(n, old.count(), 0)
+        content.replace("embedded", old.join(sets_of(rows).select("doc_path", "model"), ["doc_path", "model"], "left_anti").select(*old.columns).unionByName(rows.select(*old.columns)))
+    return StageResult(n, sets_of(old).count(), 0)
+
+
+def sets_of(embedded: DataFrame) -> DataFrame:
+    """One row for each document and model that has vectors: that of its first chunk."""
+    return embedded.where("chunk_index = 0")
 
 
 def load_content(content: Content, store: Store, *, model: str = DEFAULT_MODEL, pattern: str | None = None, **settings) -> LoadResult:
     sets = matching(content.read("chunked", CHUNKED).where("error is null"), pattern)
-    return load(store, incoming_documents(sets, content.read("embedded", EMBEDDED), model), model, **settings)
+    embedded = content.read("embedded", EMBEDDED).where(F.col("model") == model)
+    incoming = sets.join(sets_of(embedded).select("doc_path", "embedded_at"), "doc_path")
+    return load(store, incoming, model, vectors=embedded.select("doc_path", "chunk_index", F.col("vector").alias("embedding")), **settings)
 
 
 def run(spark: SparkSession, source: str, content: Content, store: Store, *, model: str = DEFAULT_MODEL, dump: str | None = None, provider=None, force: bool = False, **facts) -> dict:
@@ -251,7 +257,8 @@ def export_tree(content: Content, target: str, *, model: str = DEFAULT_MODEL) ->
     made = datetime.now(UTC).isoformat()
     s = content.read("ingested", INGESTED).where("error is null").select("doc_path", "title", F.to_json("blocks").alias("blocks"), "meta", "source_hash")
     c = content.read("chunked", CHUNKED).where("error is null").select("doc_path", F.to_json("chunks").alias("chunks"), "parameters", "chunks_hash", "enrichment")
-    e = content.read("embedded", EMBEDDED).where(F.col("model") == model).select("doc_path", F.to_json("vectors").alias("vectors"))
+    # a file holds all vectors of a document, so here they are gathered
+    e = content.read("embedded", EMBEDDED).where(F.col("model") == model).groupBy("doc_path").agg(F.array_sort(F.collect_list(F.struct("chunk_index", "vector"))).alias("v")).select("doc_path", F.to_json(F.transform("v", lambda x: x["vector"])).alias("vectors"))
     rows = s.join(c, "doc_path", "left").join(e, "doc_path", "left")
 
     def write(batches):
