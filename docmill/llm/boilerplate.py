@@ -37,7 +37,7 @@ from docmill.pointer import Pointer
 from docmill.session import shared_dir
 
 #: Version of features and training; stored weights of others are not used.
-VERSION = 2
+VERSION = 3
 SAMPLE_PAGES = 2000
 #: Pages on which a line must recur to tell anything, and the lines (the most frequent ones) whose counts go to the driver.
 MIN_PAGES, LEXICON_LINES = 5, 200_000
@@ -75,15 +75,16 @@ class Block:
     def __init__(self, line: int, raw: str, gap: int, path: tuple[str, ...] = ()):
         self.line, self.gap, self.path = line, gap, path
         self.region = next((x for x in reversed(path) if x in _REGIONS), "")
-        tags = [m[2].lower() for m in _TAG.finditer(raw) if m[2] and not m[1]]
+        tags = [m[2].lower() for m in _TAG.finditer(raw) if m[2] and not m[1]] if "<" in raw else []
         text = _TAG.sub(" ", raw).strip() if "<" in raw else raw.strip()
         self.head = len(text) - len(text.lstrip("#")) if text.startswith("#") else next((int(x[1]) for x in (*tags[:1], *path[-1:]) if _LEVEL.fullmatch(x)), 0)
         text = text.lstrip("#").strip()
         self.bullet = bool(_BULLET.match(text)) or "li" in tags or "li" in path[-2:]
-        self.full = _LINK.sub(r"\1", text).strip().lower()
+        linked = "](" in text
+        self.full = (_LINK.sub(r"\1", text) if linked else text).strip().lower()
         plain = _BULLET.sub("", text)
-        self.link = "a" in tags or "a" in path or bool(_LINK.search(plain))
-        self.text = _LINK.sub(r"\1", plain).strip()
+        self.link = "a" in tags or "a" in path or (linked and bool(_LINK.search(plain)))
+        self.text = (_LINK.sub(r"\1", plain) if linked else plain).strip()
         self.tags = tags
         self.low = _untailed(self.text.lower())
         self.words = _WORD.findall(self.low)
@@ -318,66 +319,116 @@ class _Names(dict):
 _NAMES = _Names()
 
 
+class _Texts(dict):
+    """A line's text (whole line, lower case) -> number of its joined parts, hashed features of its words and parts."""
+
+    def __missing__(self, key: tuple[str, str]) -> tuple[int, list[int]]:
+        whole, low = key
+        parts = _joined(low)
+        f = [f"W{whole}"] if whole else []
+        f += ["P" + _DIGITS.sub("0", _untailed(p)) for p in parts]
+        if len(low) < 120:
+            f += [f"w{w}" for w in _WORD.findall(low)]
+            if _CJK.search(low):
+                f += [f"b{low[at : at + 3]}" for at in range(len(low))]
+        value = len(parts), list(map(_NAMES.__getitem__, f))
+        if len(low) < 400:  # lines that can recur
+            if len(self) > 50_000:
+                self.clear()
+            self[key] = value
+        return value
+
+
+_TEXTS = _Texts()
+
+
 def _bucket(n: int) -> int:
     return n if n < 4 else 4 + int(np.log2(n / 4) * 2)
 
 
+_BUCKETS = [_bucket(n) for n in range(4096)]
+
+
+class _Groups(dict):
+    """Values of features that go together -> their hashed numbers. Few combinations occur, so a look-up stands for many."""
+
+    def __init__(self, names):
+        super().__init__()
+        self.names = names
+
+    def __missing__(self, key: tuple) -> list[int]:
+        if len(self) > 50_000:
+            self.clear()
+        value = self[key] = list(map(_NAMES.__getitem__, self.names(*key)))
+        return value
+
+
+def _form(k, words, end, gap, tags, head, kind, parts, path, region, link, upper, marks) -> list[str]:
+    tag = tags[0] if tags else ""
+    return [
+        f"l{k}", f"n{words}", f"e{end}", f"g{gap}", f"t{'.'.join(tags)}", f"h{head}", f"a{kind}", f"s{min(parts, 5)}", f"le{k}{end}", f"tg{tag}{kind}{k}", f"gl{gap}{k}",
+        f"A{'>'.join(path[-3:])}", f"R{region}", f"RK{region}{k}{link:d}", *{f"I{x}" for x in path}, f"U{upper:d}", *marks,
+    ]
+
+
+def _place(title, seen, k, end, crumb, site, within, gap, ahead, behind) -> list[str]:
+    return [
+        f"T{title:d}", f"S{seen:d}", f"SL{seen:d}{k}{end}", f"C{crumb}", f"H{site:d}{within:d}", f"G{min(ahead, 3)}{min(behind, 3)}", f"GA{min(ahead, 2)}{k}{end}", f"GS{min(ahead, 2)}{seen:d}{gap}",
+    ]
+
+
+def _beside(label, size, site, tag, kind, head, own, regions, gap) -> list[str]:
+    out = [f"{label}l{size}", f"{label}h{site:d}", f"{label}t{tag}{kind}{head}", f"{label}ll{size},{own}", f"{label}R{regions[0]}>{regions[1]}"]
+    return [*out, f">g{gap}"] if label == ">" else out
+
+
+_FORMS, _PLACES, _BESIDE = _Groups(_form), _Groups(_place), _Groups(_beside)
+_ENDS = frozenset(".!?。！？:：…)]")
+
+
 def features(blocks: list[Block], title: str | None, site: str) -> list[list[int]]:
     """Hashed features of each block."""
     name = (title or "").strip().lower()
     n = len(blocks)
-    own: list[list[str]] = []
-    seen = False
     if len(_NAMES) > 500_000:
-        _NAMES.clear()
+        for table in (_NAMES, _TEXTS, _FORMS, _PLACES, _BESIDE):
+            table.clear()
     look = _NAMES.__getitem__
-    gaps = np.cumsum([min(b.gap, 1) for b in blocks])
-    for i, b in enumerate(blocks):
-        low, size, k = b.low, len(b.text), b.size
-        last = b.text[-1:] or " "
-        end = last if last in ".!?。！？:：…)]" else "w" if last.isalpha() else "n" if last.isdigit() else "o"
-        parts = _joined(low)
-        f = [f"l{k}", f"n{_bucket(len(b.words))}", f"e{end}", f"g{min(b.gap, 2)}", f"t{'.'.join(b.tags[:2])}", f"h{b.head}", f"a{b.link:d}{b.bullet:d}", f"s{min(len(parts), 5)}"]
-        f += [f"le{k}{end}", f"tg{b.tags[0] if b.tags else ''}{b.link:d}{b.bullet:d}{k}", f"gl{min(b.gap, 2)}{k}"]
-        f += [f"A{'>'.join(b.path[-3:])}", f"R{b.region}", f"RK{b.region}{k}{b.link:d}", *{f"I{x}" for x in b.path}]
-        is_title = bool(name) and name in (b.full, b.text.lower())
-        seen = seen or is_title or (not name and b.head == 1)
-        f += [f"T{is_title:d}", f"S{seen:d}", f"SL{seen:d}{k}{end}", f"C{bool(name) and not is_title and low.endswith(name):d}{min(len(parts), 3)}"]
-        f += [f"H{low == site:d}{bool(site) and site in low:d}", f"p{min(i, 12)}", f"q{min(n - 1 - i, 12)}", f"U{b.text.isupper():d}"]
-        ahead, behind = int(gaps[-1] - gaps[i]), int(gaps[i])
-        f += [f"G{min(ahead, 3)}{min(behind, 3)}", f"GA{min(ahead, 2)}{k}{end}", f"GS{min(ahead, 2)}{seen:d}{min(b.gap, 2)}"]
-        if "©" in b.text:
-            f.append("copyright")
-        if _FILE.search(b.text):
-            f.append("file")
-        if b.text[:1] == "|":
-            f.append("row")
-        if _DATE.match(b.text):
-            f.append(f"date{b.text[10:11] == 'T':d}")
-        if _COUNTER.search(b.text):
-            f.append("counter")
-        # the line's own words count for short lines; long ones tell little by them
-        if size < 160:
-            f += [f"W{b.whole}", f"WS{seen:d}{b.whole}"]
-        for p in parts if size < 400 else ():
-            f.append("P" + _DIGITS.sub("0", _untailed(p)))
-        if size < 120:
-            f += [f"w{w}" for w in b.words]
-            if _CJK.search(low):
-                f += [f"b{low[at : at + 3]}" for at in range(len(low))]
-        own.append(f)
+    gaps = np.cumsum([min(b.gap, 1) for b in blocks]).tolist()
+    seen = False
     out = []
+    kinds = [f"{b.link:d}{b.bullet:d}" for b in blocks]
+    at_site = [b.low == site for b in blocks]
+    whole = [look("<W" + b.whole) for b in blocks], [look(">W" + b.whole) for b in blocks]
+    alone = look("<none"), look(">none")
     for i, b in enumerate(blocks):
-        f = list(own[i])
-        for label, j in (("<", i - 1), (">", i + 1)):
+        low, k, gap, text = b.low, b.size, min(b.gap, 2), b.text
+        last = text[-1:] or " "
+        end = last if last in _ENDS else "w" if last.isalpha() else "n" if last.isdigit() else "o"
+        parts, of_text = _TEXTS[b.whole, low]
+        words = len(b.words)
+        marks = (
+            ("copyright",) * ("©" in text) + ("file",) * bool(_FILE.search(text)) + ("row",) * (text[:1] == "|")
+            + ((f"date{text[10:11] == 'T':d}",) if _DATE.match(text) else ()) + ("counter",) * bool(_COUNTER.search(text))
+        )
+        is_title = bool(name) and name in (b.full, text.lower())
+        seen = seen or is_title or (not name and b.head == 1)
+        crumb = f"{bool(name) and not is_title and low.endswith(name):d}{min(parts, 3)}"
+        f = [
+            *_FORMS[k, _BUCKETS[words] if words < 4096 else _bucket(words), end, gap, tuple(b.tags[:2]), b.head, kinds[i], min(parts, 5), b.path, b.region, b.link, text.isupper(), marks],
+            *_PLACES[is_title, seen, k, end, crumb, at_site[i], bool(site) and site in low, gap, min(gaps[-1] - gaps[i], 3), min(gaps[i], 3)],
+            look(f"p{min(i, 12)}"), look(f"q{min(n - 1 - i, 12)}"), *of_text,
+        ]
+        if b.whole:  # the line's own words count for short lines; long ones tell little by them
+            f.append(look(f"WS{seen:d}{b.whole}"))
+        for side, (label, j) in enumerate((("<", i - 1), (">", i + 1))):
             if 0 <= j < n:
                 o = blocks[j]
-                f += [f"{label}l{o.size}", f"{label}h{o.low == site:d}", f"{label}W{o.whole}", f"{label}t{o.tags[0] if o.tags else ''}{o.link:d}{o.bullet:d}{o.head}", f"{label}ll{o.size},{b.size}", f"{label}R{o.region}>{b.region}"]
-                if label == ">":
-                    f.append(f">g{min(o.gap, 2)}")
+                f += _BESIDE[label, o.size, at_site[j], o.tags[0] if o.tags else "", kinds[j], o.head, k, (o.region, b.region), min(o.gap, 2)]
+                f.append(whole[side][j])
             else:
-                f.append(f"{label}none")
-        out.append(list(map(look, f)))
+                f.append(alone[side])
+        out.append(f)
     return out
 
 
