@@ -626,7 +626,8 @@ def trained(sources: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Field | Non
     row = sources.agg(F.count("*").alias("n"), F.sum(F.xxhash64("source_id", "path", "title", "content").cast("decimal(38,0)")).alias("sum")).first()
     mark = hashlib.blake2b(f"{VERSION} {row.n} {row['sum']} {sample_pages}".encode(), digest_size=12).hexdigest()
     folder = f"{shared_dir(spark)}/docmill/field-{mark}"
-    if not Pointer(spark, folder, "_SUCCESS").exists():
+    files = Pointer(spark, folder)
+    if not files.fs.exists(files.path(f"{folder}/_SUCCESS")):
         field = fit(sources, sample_pages)
         rows = [(bytearray(x.astype("<f4").tobytes()),) for x in ((field.emit, field.move, field.first) if field else ())]
         frame = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "part int, weights binary")
