@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -141,17 +143,14 @@ def pack_words(text: str | None, max_tokens: int) -> list[str]:
     """Greedy chunks of whole words: at most ``max_tokens`` estimated tokens, counting a space behind every word; a
     longer single word stays whole; white space is folded; empty text gives none."""
     most = int(max_tokens * CHARS_PER_TOKEN)
+    words = (text or "").split()
+    ends = list(accumulate(len(w) + 1 for w in words))
     out: list[str] = []
-    held: list[str] = []
-    size = 0
-    for word in (text or "").split():
-        if held and size + len(word) + 1 > most:
-            out.append(" ".join(held))
-            held, size = [], 0
-        held.append(word)
-        size += len(word) + 1
-    if held:
-        out.append(" ".join(held))
+    start = held = 0
+    while start < len(words):
+        end = max(start + 1, bisect_right(ends, held + most, start))
+        out.append(" ".join(words[start:end]))
+        start, held = end, ends[end - 1]
     return out
 
 

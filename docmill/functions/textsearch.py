@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.schemas import LEXEMES
+from docmill.session import written
 
 #: The English stop list of the Snowball project (fixed values).
 STOP_WORDS = frozenset(
@@ -210,20 +211,21 @@ def _equal_to(term: str):
 
 
 def bm25_scan(docs: DataFrame, query: list[str], *, key: str, text: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """The same scores straight from the texts: one scan for the corpus statistics (all documents), one for the scores;
-    nothing is exploded and nothing but the statistics is shuffled."""
+    """The same scores straight from the texts: one scan leaves the size and the frequencies of the query's words of every
+    document, a narrow table that is written; statistics (of all documents) and scores come from that. Nothing is exploded."""
     terms = sorted(set(query))
-    rows = docs.select(key, words(text).alias("ws")).withColumn("size", F.size("ws")).where(F.col("size") > 0)
-    counts = rows.agg(F.count("*").alias("n"), F.avg("size").alias("mean"), *[F.count_if(F.array_contains("ws", t)).alias(f"df{i}") for i, t in enumerate(terms)]).first()
+    rows = docs.select(key, words(text).alias("ws")).where(F.size("ws") > 0)
+    rows = written(rows.select(key, F.size("ws").alias("size"), *[F.size(F.filter("ws", _equal_to(t))).alias(f"tf{i}") for i, t in enumerate(terms)]), "frequencies")
+    counts = rows.agg(F.count("*").alias("n"), F.avg("size").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))]).first()
     if not counts.n:
         return rows.select(key, F.lit(None).cast("double").alias("score")).limit(0)
-    score = F.lit(0.0)
-    for i, t in enumerate(terms):
-        df = counts[f"df{i}"]
+    score, hit = F.lit(0.0), F.lit(False)
+    for i in range(len(terms)):
+        df, tf = counts[f"df{i}"], F.col(f"tf{i}")
         idf = math.log(1 + (counts.n - df + 0.5) / (df + 0.5))
-        tf = F.size(F.filter("ws", _equal_to(t)))
         score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("size") / F.lit(float(counts.mean))))
-    return rows.where(F.arrays_overlap("ws", F.array(*map(F.lit, terms)))).select(key, score.alias("score"))
+        hit = hit | (tf > 0)
+    return rows.where(hit).select(key, score.alias("score"))
 
 
 def reciprocal_rank_fusion(left: DataFrame, right: DataFrame, *, key: str, constant: int = 60) -> DataFrame:

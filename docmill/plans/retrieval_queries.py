@@ -23,7 +23,7 @@ from docmill.operators.ordered import previous_row
 from docmill.operators.providers import SUMMARY_RESERVE, messages, usable_tokens
 from docmill.operators.upsert import delete_documents, insert_missing, upsert
 from docmill.schemas import EMBEDDING_MODELS, MAX_TOKENS, TABLES
-from docmill.session import new_folder, table, written
+from docmill.session import new_folder, spread, table, written
 from docmill.sources.discovery import collisions, leaf_folders
 from docmill.sources.extract import extract, page_text
 
@@ -224,7 +224,7 @@ SELECT {columns} FROM s"""
 
 @query("greedy_chunks", _packing_sql(1350, "doc_id, CAST(chunk AS INT) AS chunk_index, CAST(n_chars AS INT) AS n_chars, CAST(n_words AS INT) AS n_words, digest"))
 def greedy_chunks(spark, d):
-    rows = _docs(spark, d).select("doc_id", F.posexplode(tx.greedy_chunks("text", MAX_TOKENS)).alias("chunk_index", "t"))
+    rows = spread(_docs(spark, d).select("doc_id", "text")).select("doc_id", F.posexplode(tx.greedy_chunks("text", MAX_TOKENS)).alias("chunk_index", "t"))
     return rows.select("doc_id", "chunk_index", F.char_length("t").alias("n_chars"), F.size(F.split("t", " ")).alias("n_words"), F.md5("t").alias("digest"))
 
 
@@ -283,7 +283,7 @@ def page_text_query(spark, d):
 
 def _parsed(spark, d):
     kind = F.when(F.col("content").contains("</"), F.lit("page.html")).otherwise(F.lit("page.md"))
-    return extract(table(spark, d, "sources").select(F.col("source_id"), kind.alias("name"), F.encode("content", "utf-8").alias("content")), name="name")
+    return extract(spread(table(spark, d, "sources").select(F.col("source_id"), kind.alias("name"), F.encode("content", "utf-8").alias("content"))), name="name")
 
 
 @query("page_blocks")
@@ -655,7 +655,7 @@ WORDS = ["turbine", "battery", "checksum"]
 
 @query("document_terms", f"WITH {_TERMS} SELECT term, count(*) AS docs, sum(tf) AS total FROM i GROUP BY term")
 def document_terms(spark, d):
-    index = ts.inverted_index(_docs(spark, d), key="doc_id", text="text")
+    index = ts.inverted_index(spread(_docs(spark, d).select("doc_id", "text")), key="doc_id", text="text")
     return index.groupBy("term").agg(F.count("*").alias("docs"), F.sum("tf").alias("total"))
 
 
@@ -695,7 +695,7 @@ s AS (SELECT i.doc_id, sum(ln(1 + (n.docs - f.df + 0.5) / (f.df + 0.5)) * i.tf *
 
 @query("bm25", _BM25 + " SELECT doc_id, round(score, 6) AS score FROM s")
 def bm25(spark, d):
-    return ts.bm25_scan(_docs(spark, d), WORDS, key="doc_id", text="text").select("doc_id", F.round("score", 6).alias("score"))
+    return ts.bm25_scan(spread(_docs(spark, d).select("doc_id", "text")), WORDS, key="doc_id", text="text").select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query("hybrid_rrf", _BM25.replace("WITH", f"WITH {_QUERY},", 1) + f""",
@@ -709,7 +709,7 @@ def hybrid_rrf(spark, d):
         top = rows.select(F.col(key).alias("key"), F.round(score, 6).alias("score")).orderBy(F.desc("score"), "key").limit(50)
         return top.groupBy().agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "key"))).alias("l")).select(F.posexplode("l").alias("n", "x")).select("x.key", (F.col("n") + 1).alias("rank"))
 
-    words = ranked(ts.bm25_scan(_docs(spark, d), WORDS, key="doc_id", text="text"), "doc_id", "score")
+    words = ranked(ts.bm25_scan(spread(_docs(spark, d).select("doc_id", "text")), WORDS, key="doc_id", text="text"), "doc_id", "score")
     vectors = ranked(vx.top_k(table(spark, d, "embeddings"), _query_vector(spark, d), 60, key="vec_id"), "vec_id", "similarity")
     return ts.reciprocal_rank_fusion(words, vectors, key="key").select("key", F.round("rrf_score", 6).alias("rrf_score"))
 

@@ -122,10 +122,14 @@ def audit_messages(sources: DataFrame, chunk_sets: DataFrame, embed_sets: DataFr
 def audit_summary(sources: DataFrame, chunk_sets: DataFrame, embed_sets: DataFrame, meta: DataFrame, messages: DataFrame, *, model: str) -> DataFrame:
     """One row of counters and the verdict. Unknown files are counted and do not fail."""
     kinds = ("missing chunks", "stale chunks", "missing embeddings", "stale embeddings", "missing metadata", "metadata version", "invalid metadata", "unknown file", "orphan folder")
-    row = counts_row({
-        "sources": sources, "chunks": chunk_sets.where("chunk_count > 0"), "zero_chunks": chunk_sets.where("chunk_count = 0"), "embeddings": embed_sets.where(F.col("model") == model), "metadata": meta,
-        **{k.replace(" ", "_"): messages.where(F.col("kind") == k) for k in kinds},
-    })
+    counts = [
+        sources.agg(F.count("*").alias("sources")), chunk_sets.agg(F.count_if(F.col("chunk_count") > 0).alias("chunks"), F.count_if(F.col("chunk_count") == 0).alias("zero_chunks")),
+        embed_sets.agg(F.count_if(F.col("model") == model).alias("embeddings")), meta.agg(F.count("*").alias("metadata")), messages.agg(*[F.count_if(F.col("kind") == k).alias(k.replace(" ", "_")) for k in kinds]),
+    ]
+    rows = counts[0]  # each frame is read once; a row each is put side by side
+    for more in counts[1:]:
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    row = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
     passed = (F.col("sources") == F.col("chunks") + F.col("zero_chunks")) & (F.col("sources") == F.col("metadata")) & (F.col("embeddings") == F.col("chunks"))
     for k in ("stale chunks", "stale embeddings", "metadata version", "invalid metadata", "orphan folder"):
         passed = passed & (F.col(k.replace(" ", "_")) == 0)
