@@ -191,6 +191,23 @@ def test_single_file_and_stream(spark, folder, tmp_path):
     assert pick(streamed) == pick(content)
 
 
+def test_late_and_repeated_deliveries(spark, tmp_path):
+    from docmill.streaming.ingest import delivered, stream_documents
+
+    schema = "doc_id long, updated_at timestamp, body string"
+    put = lambda n, rows: spark.createDataFrame(rows, "doc_id long, updated_at string, body string").withColumn("updated_at", F.col("updated_at").cast("timestamp")).coalesce(1).write.parquet(str(tmp_path / f"in/{n}"))
+    run = lambda: stream_documents(spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")), str(tmp_path / "out"), checkpoint=str(tmp_path / "log")).awaitTermination()
+    rows = lambda: sorted((r.doc_id or -1, r.body) for r in delivered(spark, str(tmp_path / "out"), schema).collect())
+    put(1, [(1, "2031-05-01", "a"), (1, "2031-05-01", "a"), (2, None, "b"), (None, None, "n")])
+    run()
+    assert rows() == [(-1, "n"), (1, "a"), (2, "b")]
+    put(2, [(1, "2031-05-01", "a"), (2, None, "b"), (3, "2020-01-01", "late"), (1, "2031-06-01", "a2")])  # years late, and not dropped
+    run()
+    assert rows() == [(-1, "n"), (1, "a"), (1, "a2"), (2, "b"), (3, "late")]
+    run()
+    assert len(rows()) == 5
+
+
 def test_sources_of_one_stem(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
