@@ -9,7 +9,7 @@ centroid than the vector does. A query visits the lists within ``probe`` times t
 ``least_probes``. Where a table needs more lists than ``max_lists`` centroids can head, each of them is divided by a
 second level of up to ``fine`` centroids, fitted on what the sample's vectors differ from their list's centroid by and
 common to all lists; replication and pruning work on it in the same way, so lists keep their size up to
-``max_lists * fine`` of them (16,384 x 4,096 of 256: 1.7e10 vectors; of 1,024: 6.9e10).
+``max_lists * fine`` of them (16,384 x 4,096 of 256: 1.7e10 vectors; of 1,536: 1e11).
 
 The assignments are written, and the lists counted. A list of more data or queries than ``block`` is cut into blocks
 by those true counts, each (list, data block, query block) is one group of at most about twice ``block`` rows: a
@@ -64,7 +64,7 @@ class Settings:
 
 
 #: For neighbours with a clear similarity (0.75 and more): near vectors share one of the few nearest lists.
-CLEAR = Settings(list_size=1024, sample_per_list=16, probe=1.1, probes=4, least_probes=3, replicate=1.15, replicas=3, beam=16, rounds=6)
+CLEAR = Settings(list_size=1536, sample_per_list=16, probe=1.1, probes=4, least_probes=3, replicate=1.15, replicas=3, beam=16, rounds=6)
 #: For neighbours far below that: more lists for each query.
 WIDE = Settings(probe=1.6, probes=48, beam=64, rounds=16, least_probes=12)
 
