@@ -1,7 +1,8 @@
 """Loading chunk sets and embedding sets into the store: three upserts, one commit.
 
-A document whose numbers of chunks and vectors differ, or that has a chunk without text, becomes an error row and
-leaves everything else alone. Without ``force`` a document is skipped if its vectors under the model are at least as
+A failure stays where it is: a document whose numbers of chunks and vectors differ is not loaded, a chunk without text is
+left out with its vector, a chunk whose vector is missing (or, if asked, has other dimensions) is loaded without it. Each
+is an error row, and everything else of the batch and of the document is loaded. Without ``force`` a document is skipped if its vectors under the model are at least as
 new as the incoming ones; with it, its chunks and all their vectors are deleted first. ``prune`` also removes chunks
 behind the new last one on an ordinary load.
 
@@ -21,7 +22,7 @@ from docmill.functions.textsearch import search_vector
 from docmill.operators.embedding import model_info
 from docmill.operators.staleness import load_skip
 from docmill.operators.upsert import delete_documents, insert_missing, upsert
-from docmill.session import Scratch
+from docmill.session import Scratch, written
 from docmill.store import BUCKETED, Store, bucket_of, with_change, with_metadata
 
 
@@ -33,22 +34,23 @@ class LoadResult:
     deltas: dict[str, int]
 
 
-def checked(incoming: DataFrame, dimensions: int | None = None) -> DataFrame:
-    """Adds ``error``: unequal counts, chunks without text, and (if asked) vectors of other dimensions. ``incoming`` has
-    the vectors of a document as an array, or their number and sizes as ``n_vectors``, ``least`` and ``most``."""
-    if "vectors" in incoming.columns:
-        n, other = F.size("vectors"), F.exists("vectors", lambda v: F.size(v) != dimensions) if dimensions else F.lit(False)
-    else:
-        n, other = F.col("n_vectors"), (F.col("least") != dimensions) | (F.col("most") != dimensions) if dimensions else F.lit(False)
-    e = F.when(F.size("chunks") != n, F.concat(F.lit("chunks and vectors differ: "), F.size("chunks").cast("string"), F.lit(" and "), n.cast("string")))
-    e = e.when(F.exists("chunks", lambda c: c["text"].isNull() | c["contextual_text"].isNull()), F.lit("a chunk has no text"))
-    return incoming.withColumn("error", e.when(other, F.lit("a vector has other dimensions")))
+def checked(incoming: DataFrame) -> DataFrame:
+    """Adds ``error``: unequal numbers of chunks and vectors. ``incoming`` has the vectors of a document as an array, or
+    their number as ``n_vectors``."""
+    n = F.size("vectors") if "vectors" in incoming.columns else F.col("n_vectors")
+    differ = F.concat(F.lit("chunks and vectors differ: "), F.size("chunks").cast("string"), F.lit(" and "), n.cast("string"))
+    return incoming.withColumn("error", F.when(F.size("chunks") != n, differ))
+
+
+def piece_error(dimensions: int | None = None) -> Column:
+    """What is wrong with a chunk (text, contextual_text) and its vector (embedding): null if nothing is."""
+    e = F.when(F.col("text").isNull() | F.col("contextual_text").isNull(), F.lit("a chunk has no text")).when(F.col("embedding").isNull(), F.lit("a chunk has no vector"))
+    return e.when(F.size("embedding") != dimensions, F.lit("a vector has other dimensions")) if dimensions else e
 
 
 def _counted(incoming: DataFrame, vectors: DataFrame) -> DataFrame:
-    """``incoming`` with the number and sizes of its documents' vectors; counted by partial aggregation, not gathered."""
-    size = F.coalesce(F.size("embedding"), F.lit(-1))
-    held = vectors.groupBy("doc_path").agg(F.count("*").cast("int").alias("n_vectors"), F.min(size).alias("least"), F.max(size).alias("most"))
+    """``incoming`` with the number of its documents' vectors; counted by partial aggregation, not gathered."""
+    held = vectors.groupBy("doc_path").agg(F.count("*").cast("int").alias("n_vectors"))
     return incoming.join(held, "doc_path", "left").withColumn("n_vectors", F.coalesce("n_vectors", F.lit(0)))
 
 
@@ -71,8 +73,8 @@ def load(store: Store, incoming: DataFrame, model: str, *, vectors: DataFrame |
     scratch = Scratch()
     models = scratch.written(insert_missing(models_before, entry, keys=["name"], now=now), "models")
     model_id = models.where(F.col("name") == model).first().id
-    rows = checked(_counted(incoming, given_vectors), dimensions if strict_dimensions else None).withColumn("_bucket", bucket_of("doc_path", buckets_of_store))
-    errors = rows.where(F.col("error").isNotNull()).select("doc_path", "error")
+    rows = checked(_counted(incoming, given_vectors)).withColumn("_bucket", bucket_of("doc_path", buckets_of_store))
+    refused = rows.where(F.col("error").isNotNull()).select("doc_path", F.lit(None).cast("int").alias("chunk_index"), "error")
     good = rows.where(F.col("error").isNull())
     buckets = sorted(r[0] for r in good.select("_bucket").distinct().collect())  # at most as many as the store has
     docs, chunks, vectors = (store.table(n, buckets, marked=True) for n in BUCKETED)
@@ -81,7 +83,7 @@ def load(store: Store, incoming: DataFrame, model: str, *, vectors: DataFrame |
         good = good.join(state.where(~F.col("skip")).select(F.col("path").alias("doc_path")), "doc_path", "left_semi")
     good = scratch.written(good, "incoming")
     given = incoming.count()
-    loaded, failed = good.count(), errors.count()
+    loaded, failed = good.count(), refused.count()
     buckets = sorted(r[0] for r in good.select("_bucket").distinct().collect())
     docs, chunks, vectors = (store.table(n, buckets, marked=True) for n in BUCKETED)
     before = {n: df.count() for n, df in zip(BUCKETED, (docs, chunks, vectors))}
@@ -92,15 +94,19 @@ def load(store: Store, incoming: DataFrame, model: str, *, vectors: DataFrame |
     if force:
         chunks, vectors = delete_documents(chunks, vectors, ids.select(F.col("document_id").alias("id")))
     pieces = good.select("doc_path", "_bucket", F.posexplode("chunks").alias("chunk_index", "c")).join(ids.withColumnRenamed("path", "doc_path"), "doc_path").join(given_vectors, ["doc_path", "chunk_index"])
-    pieces = scratch.written(pieces.select("document_id", "chunk_index", "c.text", "c.contextual_text", F.coalesce("c.metadata", F.lit("{}")).alias("metadata"), "embedding", "_bucket"), "pieces")
+    pieces = pieces.select("doc_path", "document_id", "chunk_index", "c.text", "c.contextual_text", F.coalesce("c.metadata", F.lit("{}")).alias("metadata"), "embedding", "_bucket")
+    pieces = scratch.written(pieces.withColumn("error", piece_error(dimensions if strict_dimensions else None)), "pieces")
+    errors = written(refused.unionByName(pieces.where("error is not null").select("doc_path", "chunk_index", "error")), "errors")
+    wrong = errors.count()
     if prune:
         last = pieces.groupBy("document_id").agg(F.max("chunk_index").alias("last"))
         tail = chunks.join(last, "document_id").where("chunk_index > last").select("id")
         vectors = vectors.join(tail.withColumnRenamed("id", "chunk_id"), "chunk_id", "left_anti").select(*vectors.columns)
         chunks = chunks.join(tail, "id", "left_anti").select(*chunks.columns)
-    new_chunks = pieces.drop("embedding").withColumn("text_search_vector", search_vector("contextual_text"))
+    texts = pieces.where(F.col("text").isNotNull() & F.col("contextual_text").isNotNull())
+    new_chunks = texts.drop("embedding", "error", "doc_path").withColumn("text_search_vector", search_vector("contextual_text"))
     staged["chunks"], chunks = store.stage("chunks", upsert(chunks, new_chunks, keys=["document_id", "chunk_index"], updated=["text", "contextual_text", "metadata", "text_search_vector"], now=now, start=top.get("chunks", 0)))
-    key = pieces.select("document_id", "chunk_index", "embedding", "_bucket").join(chunks.select(F.col("id").alias("chunk_id"), "document_id", "chunk_index"), ["document_id", "chunk_index"])
+    key = pieces.where("error is null").select("document_id", "chunk_index", "embedding", "_bucket").join(chunks.select(F.col("id").alias("chunk_id"), "document_id", "chunk_index"), ["document_id", "chunk_index"])
     new_vectors = key.select("chunk_id", F.lit(model_id).cast("long").alias("model"), "embedding", "_bucket")
     staged["embeddings"], vectors = store.stage("embeddings", upsert(vectors, new_vectors, keys=["chunk_id", "model"], updated=["embedding", "created_at"], now=now, start=top.get("embeddings", 0)))
     facts_of = {n: df.agg(F.count("*").alias("n"), F.max("id").alias("top")).first() for n, df in zip(BUCKETED, (docs, chunks, vectors))}
@@ -110,7 +116,7 @@ def load(store: Store, incoming: DataFrame, model: str, *, vectors: DataFrame |
         deltas[f"{name}_added"], deltas[f"{name}_deleted"] = max(change, 0), max(-change, 0)
     tables = {"models": models} if new_model else {}
     tables["schema_metadata"] = with_metadata(store, now, title=title, description=description, embedding_models_count=models.count())
-    text = note or f"Loaded {given - failed} files with model {model}" + (f" ({failed} errors)" if failed else "")
+    text = note or f"Loaded {given - failed} files with model {model}" + (f" ({wrong} errors)" if wrong else "")
     if given - failed:
         tables["schema_changes"] = with_change(store, now, user=user, deltas=deltas, models=[model] if new_model and deltas["embeddings_added"] else None, notes=text)
     store.commit(tables, staged=staged, buckets=buckets, max_ids={n: f.top or 0 for n, f in facts_of.items()}, after=number)

@@ -15,7 +15,7 @@ from docmill.functions import text as tx
 from docmill.functions import textsearch as ts
 from docmill.functions import vectors as vx
 from docmill.functions.hashing import content_hash
-from docmill.load import checked, load
+from docmill.load import checked, load, piece_error
 from docmill.operators import staleness as st
 from docmill.operators.chunking import chunk_documents
 from docmill.operators.embedding import DEFAULT_MODEL, embed
@@ -322,19 +322,28 @@ def dimension_check(spark, d):
     return rows.where(F.col("embedding").isNotNull() & (F.size("embedding") != F.col("dimensions"))).select("id", F.size("embedding").cast("bigint").alias("found"), F.col("dimensions").alias("expected"))
 
 
-@query("count_check", """WITH c AS (SELECT document_id, id, bool_or(contextual_text IS NULL) AS bare FROM chunks WHERE text IS NOT NULL GROUP BY document_id, id),
-n AS (SELECT document_id, count(*) AS chunks, bool_or(bare) AS bare FROM c GROUP BY document_id),
-e AS (SELECT document_id, count(DISTINCT chunk_id) AS vectors FROM c JOIN chunk_embeddings e ON e.chunk_id = c.id WHERE e.model = 1 AND e.embedding IS NOT NULL GROUP BY document_id)
-SELECT CAST(n.document_id AS VARCHAR) AS doc_path, CASE WHEN n.chunks <> coalesce(e.vectors, 0) THEN 'chunks and vectors differ: ' || n.chunks || ' and ' || coalesce(e.vectors, 0) ELSE 'a chunk has no text' END AS error
-FROM n LEFT JOIN e ON e.document_id = n.document_id WHERE n.document_id IS NOT NULL AND (n.chunks <> coalesce(e.vectors, 0) OR n.bare)""")
+@query("count_check", """WITH c AS (SELECT DISTINCT document_id, id FROM chunks WHERE document_id IS NOT NULL), n AS (SELECT document_id, count(*) AS chunks FROM c GROUP BY document_id),
+e AS (SELECT document_id, count(DISTINCT chunk_id) AS vectors FROM c JOIN chunk_embeddings e ON e.chunk_id = c.id WHERE e.model = 1 GROUP BY document_id)
+SELECT CAST(n.document_id AS VARCHAR) AS doc_path, 'chunks and vectors differ: ' || n.chunks || ' and ' || coalesce(e.vectors, 0) AS error FROM n LEFT JOIN e ON e.document_id = n.document_id WHERE n.chunks <> coalesce(e.vectors, 0)""")
 def count_check(spark, d):
     """The check that a load makes of every document."""
-    rows = table(spark, d, "chunks").where("text is not null and document_id is not null").groupBy("document_id", "id").agg(F.min("text").alias("text"), F.when(F.bool_or(F.col("contextual_text").isNull()), F.lit(None)).otherwise(F.min("contextual_text")).alias("contextual_text"))
-    have = table(spark, d, "chunk_embeddings").where("model = 1 and embedding is not null").groupBy(F.col("chunk_id").alias("id")).agg(F.lit(True).alias("has"))
-    sets = rows.join(have, "id", "left").groupBy(F.col("document_id").cast("string").alias("doc_path")).agg(F.collect_list(F.struct("text", "contextual_text", F.lit("{}").alias("metadata"))).alias("chunks"), F.collect_list(F.when(F.col("has"), F.array(F.lit(0.0)))).alias("vectors"))
+    rows = table(spark, d, "chunks").where("document_id is not null").groupBy("document_id", "id").agg(F.min("text").alias("text"))
+    have = table(spark, d, "chunk_embeddings").where("model = 1").groupBy(F.col("chunk_id").alias("id")).agg(F.lit(True).alias("has"))
+    sets = rows.join(have, "id", "left").groupBy(F.col("document_id").cast("string").alias("doc_path")).agg(F.collect_list("id").alias("chunks"), F.count("has").cast("int").alias("n_vectors"))
     return checked(sets).where(F.col("error").isNotNull()).select("doc_path", "error")
 
 
+@query("piece_errors", """WITH e AS (SELECT chunk_id, arg_max({v: embedding}, id).v AS v FROM chunk_embeddings WHERE model = 1 GROUP BY chunk_id), c AS (SELECT id, min(text) AS t, min(contextual_text) AS x FROM chunks GROUP BY id)
+SELECT id, CASE WHEN t IS NULL OR x IS NULL THEN 'a chunk has no text' WHEN v IS NULL THEN 'a chunk has no vector' ELSE 'a vector has other dimensions' END AS error FROM c LEFT JOIN e ON e.chunk_id = c.id
+WHERE t IS NULL OR x IS NULL OR v IS NULL OR len(v) <> (SELECT dimensions FROM models WHERE id = 1)""")
+def piece_errors(spark, d):
+    """What a load leaves out of a document: chunks without text, vectors that are missing or of other dimensions."""
+    dims = table(spark, d, "models").where("id = 1").first().dimensions
+    vectors = table(spark, d, "chunk_embeddings").where("model = 1").groupBy("chunk_id").agg(F.max_by(F.struct("embedding"), "id").alias("s")).select(F.col("chunk_id").alias("id"), "s.embedding")
+    rows = table(spark, d, "chunks").groupBy("id").agg(F.min("text").alias("text"), F.min("contextual_text").alias("contextual_text")).join(vectors, "id", "left")
+    return rows.withColumn("error", piece_error(dims)).where(F.col("error").isNotNull()).select("id", "error")
+
+
 def _query_vector(spark, d) -> list[float]:
     return [float(x) for x in table(spark, d, "embeddings").orderBy("vec_id").select("embedding").first()[0]]
 

@@ -66,3 +66,20 @@ def test_two_writers(spark, tmp_path):
     assert sorted(r.path for r in store.table("documents").collect()) == ["a", "b"]
     load(store, documents(spark, ["c"]), DEFAULT_MODEL)
     assert sorted((r.path, r.id) for r in store.table("documents").collect()) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_failures_stay_where_they_are(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    rows = [
+        ("good", "good.md", 1, None, "c", [("a", "a", "{}"), ("b", "b", "{}")], [[1.0] * 384, [2.0] * 384], None),
+        ("count", "count.md", 1, None, "c", [("a", "a", "{}"), ("b", "b", "{}")], [[1.0] * 384], None),
+        ("text", "text.md", 1, None, "c", [("a", "a", "{}"), (None, "b", "{}"), ("c", "c", None)], [[1.0] * 384] * 3, None),
+        ("vector", "vector.md", 1, None, "c", [("a", "a", "{}"), ("b", "b", "{}"), ("c", "c", "{}")], [[1.0] * 384, None, [1.0]], None),
+    ]
+    incoming = spark.createDataFrame(rows, INCOMING).withColumn("embedded_at", F.lit("2031-01-01").cast("timestamp"))
+    result = load(store, incoming, DEFAULT_MODEL, strict_dimensions=True)
+    assert sorted((r.doc_path, r.chunk_index, r.error) for r in result.errors.where("chunk_index is not null").collect()) == [("text", 1, "a chunk has no text"), ("vector", 1, "a chunk has no vector"), ("vector", 2, "a vector has other dimensions")]
+    assert [(r.doc_path, r.error) for r in result.errors.where("chunk_index is null").collect()] == [("count", "chunks and vectors differ: 2 and 1")] and result.loaded == 3
+    held = store.table("chunks").join(store.table("documents").select(F.col("id").alias("document_id"), "path"), "document_id").join(store.table("embeddings").select(F.col("chunk_id").alias("id"), F.size("embedding").alias("n")), "id", "left")
+    assert sorted((r.path, r.chunk_index, r.n) for r in held.collect()) == [("good", 0, 384), ("good", 1, 384), ("text", 0, 384), ("text", 2, 384), ("vector", 0, 384), ("vector", 1, None), ("vector", 2, None)]
+    assert store.table("schema_changes").where("id = 2").first().notes == "Loaded 3 files with model hashing-384 (4 errors)"
