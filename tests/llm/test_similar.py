@@ -16,9 +16,9 @@ def brute(vectors, k, at_least=-2.0):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     c = x @ x.T
     np.fill_diagonal(c, -9)
-    out = {}
+    out, number = {}, np.array(ids)
     for n, i in enumerate(ids):
-        order = sorted(range(len(ids)), key=lambda j: (-round(c[n, j], 5), ids[j]))[:k]
+        order = np.lexsort((number, -np.round(c[n], 5)))[:k]
         out[i] = [ids[j] for j in order if c[n, j] >= at_least and j != n]
     return out
 
