@@ -4,8 +4,8 @@ State is one row per key: the newest version seen and the content hash that was
 has to say only, its results and its part of the state, into new folders and then one manifest that names all folders
 that count (:mod:`docmill.pointer`). A run that dies before that leaves the old manifest in force: nothing is skipped,
 nothing is handed out twice. Of two runs at the same time the second to commit fails and its folders do not count.
-Parts are merged by size (a part that is not twice as large as the next one is merged with it), so there are as many as
-the logarithm of the state's size and a record is rewritten as often, whatever the number of commits.
+Beyond a few, parts are merged by size (a part that is not twice as large as the next one is merged with it), so there are
+about as many as the logarithm of the state's size and a record is rewritten as often, whatever the number of commits.
 
 One call may catch up on several runs: arrivals are first reduced to the newest row of each (key, run), by a
 partial aggregate, so a key that holds a third of all rows shuffles one row per task and run. Then each key has
@@ -39,6 +39,8 @@ _ISO = r"^(\d{4})-?(\d{2})-?(\d{2})[Tt ](\d{2}):?(\d{2})(?::?(\d{2})(?:[.,](\d{1
 RUNS_PER_COMMIT = 16
 #: Runs up to which their starts are literals, and folders of results that are not merged.
 TREE, PARTS = 256, 8
+#: Parts of the state that are not merged.
+STATE_PARTS = 4
 
 
 def readable_time(text: Column) -> Column:
@@ -109,7 +111,7 @@ class ChangeState:
             return [folder, self.spark.read.parquet(f"{self.root}/{folder}").count()]
 
         parts, gone = [*parts, put(rows)], []
-        while len(parts) > 1 and parts[-2][1] <= 2 * parts[-1][1]:
+        while len(parts) > STATE_PARTS and parts[-2][1] <= 2 * parts[-1][1]:
             pair, parts = parts[-2:], parts[:-2]
             gone += [folder for folder, _ in pair]
             parts.append(put(combine(pair)))

@@ -624,8 +624,8 @@ def dump_roundtrip(spark, d):
     store = Store(spark, new_folder(spark, "store"))
     store.initialize(now=_now())
     documents = _docs(spark, d).withColumn("id", F.col("doc_id"))
-    chunks = table(spark, d, "chunks").withColumn("text_search_vector", ts.search_vector("contextual_text"))
-    store.commit({"documents": documents, "chunks": chunks, "embeddings": table(spark, d, "chunk_embeddings"), "models": table(spark, d, "models")})
+    chunks = spread(table(spark, d, "chunks")).withColumn("text_search_vector", ts.search_vector("contextual_text"))
+    store.commit({"documents": documents, "chunks": chunks, "embeddings": spread(table(spark, d, "chunk_embeddings")), "models": table(spark, d, "models")})
     bundle = new_folder(spark, "bundle")
     store.dump(bundle)
     other = Store(spark, new_folder(spark, "store"))
