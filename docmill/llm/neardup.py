@@ -194,9 +194,9 @@ def _similar(a: str, b: str, numerator: int, denominator: int):
     return common * denominator >= (F.size(a) + F.size(b) - common) * numerator
 
 
-def _counted(signature: DataFrame, block: int, numerator: int, denominator: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def _counted(signature: DataFrame, block: int, numerator: int, denominator: int, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
     """Of (rep, size, key): the pairs (a, b) under keys of 2 to ``block`` representatives whose sizes allow the
-    similarity, and the crowded keys (key, n).
+    similarity, and the crowded keys (key, n), None if there are none.
 
     Rows of crowded keys leave before the others are shuffled; where too many keys are crowded to be broadcast, the
     join leaves them behind (and splits the partitions that they skew)."""
@@ -208,7 +208,7 @@ def _counted(signature: DataFrame, block: int, numerator: int, denominator: int,
     a, b = F.col("a.size"), F.col("b.size")
     pairs = buckets.select(F.posexplode("reps").alias("n", "a"), "reps").select("a", F.explode(F.slice("reps", F.col("n") + 2, F.lit(block))).alias("b"))
     pairs = pairs.where((F.least(a, b) * denominator >= F.greatest(a, b) * numerator)).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
-    return scratch.written(pairs, "candidates"), crowded
+    return scratch.written(pairs, "candidates"), crowded if few else None
 
 
 def _rarest(sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -248,8 +248,8 @@ class NearDuplicates:
         # an id on several rows is in one class: its least
         one = sketch.groupBy("id").agg(F.min("class").alias("class"), F.count("*").alias("rows"))
         reps = one.groupBy("class").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-        known = scratch.written(one.join(reps, "class").select("id", "rep", "copies", "rows"), "classes")
-        self.members = written(known.select("id", "rep", "copies"), "members")
+        known = written(one.join(reps, "class").select("id", "rep", "copies", "rows"), "members")
+        self.members = known.select("id", "rep", "copies")
         stands = known.where("id = rep").select("id", "rows")
         kept = sketch.join(F.broadcast(stands) if stands.count() <= BROADCAST_IDS else stands, "id")
         again = kept.where("rows > 1").groupBy("id").agg(F.min_by("size", "class").alias("size"), F.min_by("keys", "class").alias("keys"))
@@ -257,7 +257,7 @@ class NearDuplicates:
         pairs, crowded = _counted(signature, block, numerator, denominator, scratch)
         ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
         hot = None
-        if not crowded.isEmpty():
+        if crowded is not None:
             hot = scratch.written(signature.join(crowded.select("key"), "key", "left_semi").select("rep").distinct(), "hot")
             ids = ids.union(hot)
         sets = scratch.written(_sets_table(chunks, ids.distinct(), key, text, width, min_words), "sets")
@@ -266,7 +266,7 @@ class NearDuplicates:
             rare = scratch.written(_rarest(sets.join(hot, "rep", "left_semi"), numerator, denominator), "rare")
             more, crowded = _counted(rare, block, numerator, denominator, scratch)
             pairs = pairs.union(more).distinct()
-            if not crowded.isEmpty():
+            if crowded is not None:
                 found = _blockwise(rare, crowded, sets, crowd, numerator, denominator)
         a, b = sets.select(F.col("rep").alias("a"), F.col("words").alias("wa")), sets.select(F.col("rep").alias("b"), F.col("words").alias("wb"))
         links = pairs.join(a, "a").join(b, "b").where(_similar("wa", "wb", numerator, denominator)).select("a", "b")
