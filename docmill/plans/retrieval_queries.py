@@ -644,7 +644,7 @@ def stream_documents(spark, d):
     out = new_folder(spark, "streamed")
     rows = spark.readStream.schema(_docs(spark, d).schema).option("pathGlobFilter", "*.parquet").parquet(_stream_folder(d)).select(*columns)
     twice = rows.withColumn("again", F.explode(F.sequence(F.lit(0), F.when(F.col("doc_id") % 5 == 0, 1).otherwise(0)))).drop("again")
-    stream_documents(twice, out, checkpoint=f"{out}-log").awaitTermination()
+    stream_documents(twice, out, checkpoint=f"{out}/_log").awaitTermination()
     return delivered(spark, out, twice.schema).groupBy("source").agg(F.count("*").alias("n"))
 
 

@@ -73,9 +73,14 @@ def ship(spark: SparkSession) -> None:
     _shipped_to["context"] = context
 
 
+_folders: list[str] = []  # of this process, all removed at exit
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A name, not yet used, for a table in the shared folder."""
-    return f"{shared_dir(spark)}/docmill/{label}-{uuid.uuid4().hex}"
+    """A name, not yet used, for a table in the shared folder; what is there at exit is deleted."""
+    path = f"{shared_dir(spark)}/docmill/{label}-{uuid.uuid4().hex}"
+    _folders.append(path)
+    return path
 
 
 def written(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -83,7 +88,6 @@ def written(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     deleted at exit, or by :class:`Scratch` before."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    _folders.append(path)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -91,9 +95,6 @@ def written(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
-_folders: list[str] = []  # of written tables, all removed at exit
-
-
 def _delete(path: str) -> None:
     jvm = SparkContext._jvm
     if jvm is None:
