@@ -1,5 +1,6 @@
 import itertools
 import random
+import uuid
 
 import numpy as np
 
@@ -161,7 +162,8 @@ def test_a_language_that_nobody_listed():
 def test_given_labels_and_stored_weights(spark):
     rng = random.Random(22)
     made = [foreign(rng, n) for n in range(60)]
-    frame = spark.createDataFrame([(n, *m[:3]) for n, m in enumerate(made)], "source_id long, path string, title string, content string")
+    fresh = uuid.uuid4().hex  # weights of earlier runs of this test may lie in the shared folder
+    frame = spark.createDataFrame([(n, m[0] + fresh, *m[1:3]) for n, m in enumerate(made)], "source_id long, path string, title string, content string")
     labels = spark.createDataFrame([(n, k, k in m[3]) for n, m in enumerate(made[:40]) for k in range(len(m[2].split("\n")))], "source_id long, line_no long, is_frame boolean")
     field = bp.fit(frame, labels=labels)
     assert accuracy(field, made[40:]) >= 0.97
